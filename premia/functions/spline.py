@@ -1,30 +1,50 @@
-"""Uniform cubic B-spline basis as column expressions."""
+"""Uniform cubic B-splines as SQL expressions.
+
+On each of the knot intervals exactly four basis functions are non-zero. With t in [0, 1] the position inside the
+interval they are, from the oldest to the newest: (1-t)^3/6, (3t^3-6t^2+4)/6, (-3t^3+3t^2+3t+1)/6, t^3/6.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+def number(x: float) -> str:
+    """A double literal that Spark SQL reads back to the same bits."""
+    return f"({float(x)!r}D)" if "e" not in repr(float(x)) else f"({float(x):.17e}D)"
 
 
-def basis(x: Column, low: float, high: float, knots: int = 5) -> list[Column]:
-    """``knots + 2`` basis values for ``knots`` even knots on [low, high]; x is clamped to that interval."""
-    count = knots + 2
+def position(column: str, low: float, high: float, knots: int) -> str:
+    """Distance from ``low`` in knot steps, with the value clamped to [low, high]."""
     if high <= low:
         raise ValueError("spline range is empty")
     step = (high - low) / (knots - 1)
-    u = (F.least(F.greatest(x.cast("double"), F.lit(float(low))), F.lit(float(high))) - F.lit(float(low))) / F.lit(step)
-    columns = []
-    for i in range(count):
-        v = u - float(i - 3)
-        rise = v * v * v / 6
-        crest = (((v * -3 + 12) * v - 12) * v + 4) / 6
-        slope = (((v * 3 - 24) * v + 60) * v - 44) / 6
-        fall = (4 - v) * (4 - v) * (4 - v) / 6
-        columns.append(
-            F.when((v < 0) | (v >= 4), F.lit(0.0))
-            .when(v < 1, rise)
-            .when(v < 2, crest)
-            .when(v < 3, slope)
-            .otherwise(fall)
+    clamped = f"least(greatest(cast({column} AS double), {number(low)}), {number(high)})"
+    return f"(({clamped} - {number(low)}) / {number(step)})"
+
+
+def basis(column: str, low: float, high: float, knots: int = 5) -> list[str]:
+    """``knots + 2`` basis values for even knots on [low, high]."""
+    u = position(column, low, high, knots)
+    out = []
+    for i in range(knots + 2):
+        v = f"({u} - {number(i - 3)})"
+        out.append(
+            f"CASE WHEN {v} < 0 OR {v} >= 4 THEN 0D "
+            f"WHEN {v} < 1 THEN {v} * {v} * {v} / 6 "
+            f"WHEN {v} < 2 THEN ((({v} * -3 + 12) * {v} - 12) * {v} + 4) / 6 "
+            f"WHEN {v} < 3 THEN ((({v} * 3 - 24) * {v} + 60) * {v} - 44) / 6 "
+            f"ELSE (4 - {v}) * (4 - {v}) * (4 - {v}) / 6 END"
         )
-    return columns
+    return out
+
+
+def combination(column: str, low: float, high: float, knots: int, weights: list[float]) -> str:
+    """sum(weights_i * basis_i), collapsed to one cubic per knot interval."""
+    u = position(column, low, high, knots)
+    branches = []
+    for j in range(knots - 1):
+        a, b, c, d = weights[j : j + 4]
+        cubic = [(a + 4 * b + c) / 6, (c - a) / 2, (a - 2 * b + c) / 2, (3 * b - a - 3 * c + d) / 6]
+        t = f"({u} - {number(j)})"
+        value = f"((({number(cubic[3])} * {t} + {number(cubic[2])}) * {t} + {number(cubic[1])}) * {t} + {number(cubic[0])})"
+        branches.append(f"WHEN {u} < {number(j + 1)} THEN {value}" if j < knots - 2 else f"ELSE {value}")
+    return "CASE " + " ".join(branches) + " END"

@@ -103,16 +103,20 @@ def psi_from_reference(stored: DataFrame, current: DataFrame, features: list[str
     return psi_from_long(stored, long_features(current, features), settings)
 
 
-def psi_from_long(stored: DataFrame, long: DataFrame, settings: Monitoring) -> DataFrame:
-    bins = stored.select(
+def psi_from_long(stored_bins: DataFrame, long: DataFrame, settings: Monitoring) -> DataFrame:
+    return psi_from_counts(stored_bins, value_counts(long), settings)
+
+
+def psi_from_counts(stored_bins: DataFrame, counts: DataFrame, settings: Monitoring) -> DataFrame:
+    """From (feature, value, rows), for example the summed counts of many micro-batches."""
+    bins = stored_bins.select(
         "feature",
         inner(F.col("bin_edges")).alias("inner_edges"),
         (F.size("bin_edges") - 1).alias("n_bins"),
         "bin_counts",
     )
     ref = bins.select("feature", F.posexplode("bin_counts").alias("bin", "ref_rows"))
-    cur = _bin_counts(value_counts(long), bins, "cur_rows")
-    return _compare(bins, ref, cur, settings)
+    return _compare(bins, ref, _bin_counts(counts, bins, "cur_rows"), settings)
 
 
 # Chart colour per status.

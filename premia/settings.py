@@ -67,7 +67,7 @@ class Modelling:
     tweedie_alpha: float = 1.0
     folds: int = 5
     max_iter: int = 1000
-    parallel_fits: int = 4
+    parallel_fits: int = 8
     offset_summary: bool = False
 
 
