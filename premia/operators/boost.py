@@ -275,13 +275,19 @@ def grow_tree(rows: DataFrame, binning: Binning, params: BoostParams, features:
     return tree
 
 
-def fit_boosted(train: DataFrame, params: BoostParams, offset: Column | None = None) -> BoostedModel:
+def fit_boosted(
+    train: DataFrame,
+    params: BoostParams,
+    offset: Column | None = None,
+    numeric=NUMERIC_FEATURES,
+    categorical=CATEGORICAL_FEATURES,
+) -> BoostedModel:
     """``train`` carries y, w and the raw features.
 
     With ``offset`` (a log exposure) y is a count and w is 1; without it y is a rate and w the exposure. Both forms
     give the same model, and predictions are rates in both.
     """
-    binning = fit_binning(train, params.bins)
+    binning = fit_binning(train, params.bins, numeric, categorical)
     keep = train.withColumn("o", offset if offset is not None else F.lit(0.0))
     totals = keep.agg(F.sum(F.col("w") * F.col("y")).alias("wy"), F.sum(F.col("w") * F.exp("o")).alias("w")).first()
     base = math.log(totals["wy"] / totals["w"])

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from premia.operators.digest import content_digest
 from premia.sources.sinks import append_table
 
-LINEAGE = T.StructType.fromDDL(
+LINEAGE = (
     "layer string, table_name string, rows bigint, cols int, table_schema map<string,string>, content_digest string, "
     "bundle string, upstream string, extra string, created_at timestamp"
 )
@@ -32,21 +33,15 @@ def table_entry(name: str, df: DataFrame, digest: DataFrame | None = None) -> Da
     )
 
 
-def with_bundle(entries: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Adds the layer's bundle: a hash over its sorted table digests (one short row per table)."""
-    digests = F.array_sort(F.collect_list("content_digest"))
-    bundle = F.sha2(F.concat_ws("", digests).cast("binary"), 256).alias("bundle")
-    keys = by or ["_layer"]
-    source = entries if by else entries.withColumn("_layer", F.lit("x"))
-    return source.join(F.broadcast(source.groupBy(*keys).agg(bundle)), keys).drop("_layer")
+def with_bundle(entries: DataFrame) -> DataFrame:
+    """Adds each layer's bundle: a hash over its sorted table digests (one short row per table)."""
+    digests = F.array_sort(F.collect_list("content_digest").over(W.partitionBy("layer")))
+    return entries.withColumn("bundle", F.sha2(F.concat_ws("", digests).cast("binary"), 256))
 
 
-def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    entries = None
-    for name, df in tables.items():
-        entry = table_entry(name, df)
-        entries = entry if entries is None else entries.unionByName(entry)
-    return with_bundle(entries)
+def manifest(layer: str, tables: dict[str, DataFrame]) -> DataFrame:
+    entries = reduce(DataFrame.unionByName, [table_entry(name, df) for name, df in tables.items()])
+    return with_bundle(entries.withColumn("layer", F.lit(layer)))
 
 
 def record(
@@ -58,8 +53,8 @@ def record(
     extra: dict | None = None,
 ) -> None:
     stamp = datetime.now(timezone.utc).isoformat()
-    rows = manifest(tables).select(
-        F.lit(layer).alias("layer"),
+    rows = manifest(layer, tables).select(
+        "layer",
         "table_name",
         F.col("rows").cast("bigint"),
         F.col("cols").cast("int"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 RAW_POLICY_FIELDS = (
     ("IDpol", "bigint"),
     ("ClaimNb", "bigint"),
@@ -53,9 +51,5 @@ def ddl(fields) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in fields)
 
 
-def struct(fields) -> T.StructType:
-    return T.StructType.fromDDL(ddl(fields))
-
-
-BRONZE_POLICIES = struct(RAW_POLICY_FIELDS + AUDIT_FIELDS)
-BRONZE_CLAIMS = struct(RAW_CLAIM_FIELDS + AUDIT_FIELDS)
+BRONZE_POLICIES = ddl(RAW_POLICY_FIELDS + AUDIT_FIELDS)
+BRONZE_CLAIMS = ddl(RAW_CLAIM_FIELDS + AUDIT_FIELDS)
