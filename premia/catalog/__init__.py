@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from premia.catalog import metrics, modelling, tables  # noqa: F401
+    from premia.catalog import metrics, modelling, online, tables  # noqa: F401
 
 
 def all_queries():

@@ -129,7 +129,12 @@ TABLES = {
                BonusMalus AS bonus_malus, VehBrand AS veh_brand, VehGas AS veh_gas, Density AS density,
                Region AS region
         FROM freq""",
-    "good_quotes": "SELECT *, ln(density) AS log_density FROM quotes WHERE driv_age <= 100",
+    "good_quotes": """
+        SELECT *, ln(density) AS log_density,
+               CASE WHEN veh_power < 6 THEN '[4.0, 6.0)' WHEN veh_power < 8 THEN '[6.0, 8.0)'
+                    WHEN veh_power < 10 THEN '[8.0, 10.0)' WHEN veh_power < 15 THEN '[10.0, 15.0)'
+                    ELSE 'nan' END AS veh_power_band
+        FROM quotes WHERE driv_age <= 100""",
 }
 
 

@@ -53,17 +53,17 @@ class FittedGlm:
         return FittedGlm(**{**raw, "design": DesignSpec(**raw["design"])})
 
 
-def _estimator(family: str, power: float, reg: float, max_iter: int) -> GeneralizedLinearRegression:
+def _estimator(family: str, power: float, reg: float, max_iter: int, tol: float = 1e-9) -> GeneralizedLinearRegression:
     base = GeneralizedLinearRegression(
-        featuresCol="features", labelCol="label", weightCol="w", regParam=reg, maxIter=max_iter, tol=1e-9
+        featuresCol="features", labelCol="label", weightCol="w", regParam=reg, maxIter=max_iter, tol=tol
     )
     if family == "tweedie":
         return base.setFamily("tweedie").setVariancePower(power).setLinkPower(0.0)
     return base.setFamily(family).setLink("log")
 
 
-def _solve(encoded: DataFrame, family: str, power: float, reg: float, max_iter: int):
-    model = _estimator(family, power, reg, max_iter).fit(encoded)
+def _solve(encoded: DataFrame, family: str, power: float, reg: float, max_iter: int, tol: float = 1e-9):
+    model = _estimator(family, power, reg, max_iter, tol).fit(encoded)
     if model.summary.numIterations >= max_iter:
         raise NotConverged(f"{family} GLM did not converge in {max_iter} iterations")
     return model
@@ -85,15 +85,34 @@ class EncodedRows:
         self.rows.unpersist()
 
 
+ROWS_PER_TASK = 50_000
+
+
 def encode_rows(cells: DataFrame, design: DesignSpec) -> EncodedRows:
-    """``cells`` carry the design's source columns, ``y`` and ``w``."""
-    totals = cells.agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy")).first()
+    """``cells`` carry the design's source columns, ``y`` and ``w``. Tasks get even shares of a fixed size, because
+    every iteration costs the same per row and a job start per pass."""
+    totals = cells.agg(
+        F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy"), F.count(F.lit(1)).alias("n")
+    ).first()
     scale = totals["wy"] / totals["w"]
-    even = cells.repartition(max(cells.rdd.getNumPartitions(), cells.sparkSession.sparkContext.defaultParallelism))
+    even = cells.repartition(max(1, math.ceil(totals["n"] / ROWS_PER_TASK)))
     rows = encode(even.withColumn("label", F.col("y") / F.lit(scale)), design, ["label", "w"])
     return EncodedRows(rows.persist(StorageLevel.MEMORY_AND_DISK), scale, totals["w"])
 
 
+def _working_weights(scored: DataFrame, scale: float, powers: list[float]) -> list[float]:
+    """sum(w * mu^(2 - p)) for each power, in one pass over (w, prediction)."""
+    mu = F.col("prediction") * F.lit(scale)
+    sums = scored.agg(*[F.sum(F.col("w") * F.pow(mu, F.lit(2 - p))).alias(f"s{i}") for i, p in enumerate(powers)])
+    return list(sums.first())
+
+
+def start_penalties(data: EncodedRows, alpha: float, powers: list[float], max_iter: int) -> list[float]:
+    """First ``regParam`` per Tweedie power, from the means of one Poisson fit shared by all powers."""
+    pilot = _solve(data.rows, "poisson", 1.0, alpha / data.scale, max_iter, tol=1e-6)
+    return [alpha * data.weight / s for s in _working_weights(pilot.transform(data.rows), data.scale, powers)]
+
+
 def fit_encoded(
     data: EncodedRows,
     design: DesignSpec,
@@ -101,19 +120,18 @@ def fit_encoded(
     alpha: float,
     power: float | None = None,
     max_iter: int = 1000,
+    start_reg: float | None = None,
     updates: int = 5,
     tolerance: float = 1e-9,
 ) -> FittedGlm:
     p = POWERS.get(family, power)
     if p is None:
         raise ValueError("power is required for the tweedie family")
-    reg = alpha * data.scale ** (p - 2)
+    reg = start_reg if start_reg is not None else alpha * data.scale ** (p - 2)
     model = _solve(data.rows, family, p, reg, max_iter)
     if family == "tweedie" and alpha:
         for _ in range(updates):
-            mu = F.col("prediction") * F.lit(data.scale)
-            working = model.transform(data.rows).agg(F.sum(F.col("w") * F.pow(mu, F.lit(2 - p)))).first()[0]
-            renewed = alpha * data.weight / working
+            renewed = alpha * data.weight / _working_weights(model.transform(data.rows), data.scale, [p])[0]
             if abs(renewed / reg - 1) < tolerance:
                 break
             reg = renewed
@@ -125,7 +143,8 @@ def fit_encoded(
 def fit_glm(cells: DataFrame, design: DesignSpec, family: str, alpha: float, power: float | None = None, max_iter: int = 1000) -> FittedGlm:
     data = encode_rows(cells, design)
     try:
-        return fit_encoded(data, design, family, alpha, power, max_iter)
+        start = start_penalties(data, alpha, [power], max_iter)[0] if family == "tweedie" and alpha else None
+        return fit_encoded(data, design, family, alpha, power, max_iter, start)
     finally:
         data.release()
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from premia.functions.deviance import mean_deviance
 from premia.operators.design import GLM_SOURCES, design_cells, fit_design
 from premia.operators.features import kfold_assign
-from premia.operators.glm import FittedGlm, encode_rows, fit_encoded, fit_glm
+from premia.operators.glm import FittedGlm, encode_rows, fit_encoded, fit_glm, start_penalties
 from premia.settings import Settings
 from premia.workspace import stored
 
@@ -34,20 +34,27 @@ def cross_validate(train: DataFrame, family: str, grid: list[tuple[float, float
     sources = model_sources(settings)
     rows = kfold_assign(train, m.folds)
     cells = stored(design_cells(rows, sources, ["fold"]), "cv-cells")
-    folds = []
-    for fold in range(m.folds):
+    submit = inheritable_thread_target(train.sparkSession)
+
+    def prepare(fold):
         inside = cells.where(F.col("fold") != fold)
         design = fit_design(inside, settings.features, rows="n_rows")
-        folds.append((fold, design, encode_rows(inside, design)))
+        data = encode_rows(inside, design)
+        starts = [None] * len(grid)
+        if family == "tweedie" and m.tweedie_alpha:
+            starts = start_penalties(data, m.tweedie_alpha, [p for _, p in grid], m.max_iter)
+        return fold, design, data, dict(zip(grid, starts))
 
     def one(task):
-        (_, design, data), (alpha, power) = task
-        return fit_encoded(data, design, family, alpha, power, m.max_iter, updates=3, tolerance=1e-3)
+        (_, design, data, starts), point = task
+        alpha, power = point
+        return fit_encoded(data, design, family, alpha, power, m.max_iter, starts[point], updates=2, tolerance=1e-3)
 
-    tasks = [(f, point) for f in folds for point in grid]
     with ThreadPoolExecutor(m.parallel_fits) as pool:
-        fitted = list(pool.map(inheritable_thread_target(train.sparkSession)(one), tasks))
-    for _, _, data in folds:
+        folds = list(pool.map(submit(prepare), range(m.folds)))
+        tasks = [(f, point) for f in folds for point in grid]
+        fitted = list(pool.map(submit(one), tasks))
+    for _, _, data, _ in folds:
         data.release()
 
     out = []
