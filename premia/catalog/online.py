@@ -124,7 +124,8 @@ CODES_SQL = f"""SELECT policy_id, string_agg(feature || CASE WHEN factor > 1 THE
 
 
 def _codes_text():
-    return F.array_join(F.transform("reason_codes", lambda c: F.concat(c["feature"], F.lit(" "), c["direction"])), ", ")
+    codes = [F.get("reason_codes", F.lit(i)) for i in range(S.pricing.reason_codes)]
+    return F.concat_ws(", ", *[F.concat_ws(" ", c["feature"], c["direction"]) for c in codes])
 
 
 @query(
@@ -153,7 +154,8 @@ def glm_contributions(spark, sf):
 )
 def top_reason_codes(spark, sf):
     rows = quotes.quote_features(_good_quotes(spark, sf), S)
-    codes = rows.select("policy_id", F.posexplode(explain.top_reason_codes(FREQUENCY, 3)).alias("position", "c"))
+    rows = explain.with_reason_codes(rows, FREQUENCY, 3)
+    codes = rows.select("policy_id", F.posexplode_outer("reason_codes").alias("position", "c"))
     return rounded(codes.select("policy_id", "position", "c.feature", "c.factor", "c.direction"), 6, "factor")
 
 

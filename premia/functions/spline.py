@@ -21,30 +21,23 @@ def position(column: str, low: float, high: float, knots: int) -> str:
     return f"(({clamped} - {number(low)}) / {number(step)})"
 
 
-def basis(column: str, low: float, high: float, knots: int = 5) -> list[str]:
-    """``knots + 2`` basis values for even knots on [low, high]."""
-    u = position(column, low, high, knots)
-    out = []
-    for i in range(knots + 2):
-        v = f"({u} - {number(i - 3)})"
-        out.append(
-            f"CASE WHEN {v} < 0 OR {v} >= 4 THEN 0D "
-            f"WHEN {v} < 1 THEN {v} * {v} * {v} / 6 "
-            f"WHEN {v} < 2 THEN ((({v} * -3 + 12) * {v} - 12) * {v} + 4) / 6 "
-            f"WHEN {v} < 3 THEN ((({v} * 3 - 24) * {v} + 60) * {v} - 44) / 6 "
-            f"ELSE (4 - {v}) * (4 - {v}) * (4 - {v}) / 6 END"
-        )
-    return out
-
-
 def combination(column: str, low: float, high: float, knots: int, weights: list[float]) -> str:
-    """sum(weights_i * basis_i), collapsed to one cubic per knot interval."""
+    """sum(weights_i * basis_i), collapsed to one cubic per knot interval.
+
+    The cubic's coefficients are looked up by interval number, so the generated code stays small and free of branches.
+    """
     u = position(column, low, high, knots)
-    branches = []
+    cubics = []
     for j in range(knots - 1):
         a, b, c, d = weights[j : j + 4]
-        cubic = [(a + 4 * b + c) / 6, (c - a) / 2, (a - 2 * b + c) / 2, (3 * b - a - 3 * c + d) / 6]
-        t = f"({u} - {number(j)})"
-        value = f"((({number(cubic[3])} * {t} + {number(cubic[2])}) * {t} + {number(cubic[1])}) * {t} + {number(cubic[0])})"
-        branches.append(f"WHEN {u} < {number(j + 1)} THEN {value}" if j < knots - 2 else f"ELSE {value}")
-    return "CASE " + " ".join(branches) + " END"
+        cubics.append([(a + 4 * b + c) / 6, (c - a) / 2, (a - 2 * b + c) / 2, (3 * b - a - 3 * c + d) / 6])
+    interval = f"cast(least(floor({u}), {knots - 2}) AS int)"
+    t = f"({u} - {interval})"
+    c0, c1, c2, c3 = (f"array({', '.join(number(c[k]) for c in cubics)})[{interval}]" for k in range(4))
+    return f"((({c3} * {t} + {c2}) * {t} + {c1}) * {t} + {c0})"
+
+
+def basis(column: str, low: float, high: float, knots: int = 5) -> list[str]:
+    """``knots + 2`` basis values for even knots on [low, high]."""
+    count = knots + 2
+    return [combination(column, low, high, knots, [float(i == k) for k in range(count)]) for i in range(count)]

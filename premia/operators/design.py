@@ -54,10 +54,10 @@ def _text(value: str) -> str:
 
 
 def _by_level(column: str, values: dict[str, float]) -> str:
-    """The value of each level; an unknown level raises."""
-    branches = " ".join(f"WHEN {_text(level)} THEN {number(v)}" for level, v in values.items())
+    """The value of each level, looked up in a constant map; an unknown level raises."""
+    pairs = ", ".join(f"{_text(level)}, {number(v)}" for level, v in values.items())
     message = f"concat('unseen {column}: ', coalesce({column}, 'null'))"
-    return f"CASE {column} {branches} ELSE cast(raise_error({message}) AS double) END"
+    return f"coalesce(try_element_at(map({pairs}), {column}), cast(raise_error({message}) AS double))"
 
 
 def area_rank(levels, column: str = "area") -> str:

@@ -16,7 +16,8 @@ def long_features(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def _shares(settings: Monitoring) -> list[float]:
-    return [i / settings.bins for i in range(settings.bins + 1)]
+    step = 1 / settings.bins
+    return [i * step for i in range(settings.bins)] + [1.0]
 
 
 def _quantile_table(counts: DataFrame, settings: Monitoring) -> DataFrame:

@@ -15,40 +15,37 @@ def contribution_columns(model: FittedGlm) -> dict[str, Column]:
     return {source: F.exp(F.expr(sql)) for source, sql in logs.items()}
 
 
-def _codes(model: FittedGlm) -> Column:
-    logs = log_contributions(model.design, model.coefficients)
-    shown = {s: "cast(NULL AS string)" if s == PRODUCT else f"cast({s} AS string)" for s in logs}
-    entries = [f"struct('{s}' AS feature, {shown[s]} AS value, exp({sql}) AS factor)" for s, sql in logs.items()]
-    return F.expr("array(" + ", ".join(entries) + ")")
+def _shown(source: str) -> str:
+    return "cast(NULL AS string)" if source == PRODUCT else f"cast({source} AS string)"
 
 
 def glm_contributions(df: DataFrame, model: FittedGlm, keep: list[str]) -> DataFrame:
     """One row per input row and source feature: feature, value, factor."""
-    return df.select(*keep, F.inline(_codes(model)))
-
-
-def top_reason_codes(model: FittedGlm, k: int) -> Column:
-    """The k features with the largest |ln factor|, sorted inside the row: no shuffle."""
-    ranked = F.array_sort(
-        F.transform(
-            _codes(model),
-            lambda c: F.struct(
-                (-F.abs(F.log(c["factor"]))).alias("strength"),
-                c["feature"].alias("feature"),
-                c["value"].alias("value"),
-                c["factor"].alias("factor"),
-            ),
-        )
-    )
-    return F.transform(
-        F.slice(ranked, 1, k),
-        lambda c: F.struct(
-            c["feature"].alias("feature"),
-            c["value"].alias("value"),
-            c["factor"].alias("factor"),
-            F.when(c["factor"] > 1, "increases").otherwise("decreases").alias("direction"),
-        ),
-    )
+    logs = log_contributions(model.design, model.coefficients)
+    entries = [f"struct('{s}' AS feature, {_shown(s)} AS value, exp({sql}) AS factor)" for s, sql in logs.items()]
+    return df.selectExpr(*keep, f"inline(array({', '.join(entries)}))")
+
+
+def with_reason_codes(df: DataFrame, model: FittedGlm, k: int, name: str = "reason_codes") -> DataFrame:
+    """Adds an array of the k features with the largest |ln factor|: feature, value, factor, direction.
+
+    The few features are sorted inside the row, so nothing is shuffled. Expressions without lambdas are used because
+    those stay inside generated code.
+    """
+    logs = log_contributions(model.design, model.coefficients)
+    logged = df.selectExpr("*", *[f"{sql} AS `_log_{s}`" for s, sql in logs.items()])
+    entries = [
+        f"struct(-abs(`_log_{s}`) AS strength, '{s}' AS feature, {_shown(s)} AS value, exp(`_log_{s}`) AS factor)"
+        for s in logs
+    ]
+    ranked = logged.withColumn("_ranked", F.expr(f"slice(sort_array(array({', '.join(entries)})), 1, {k})"))
+    codes = [
+        f"struct(_ranked[{i}].feature AS feature, _ranked[{i}].value AS value, _ranked[{i}].factor AS factor, "
+        f"CASE WHEN _ranked[{i}].factor > 1 THEN 'increases' ELSE 'decreases' END AS direction)"
+        for i in range(min(k, len(logs)))
+    ]
+    coded = ranked.withColumn(name, F.expr(f"array({', '.join(codes)})"))
+    return coded.drop("_ranked", *[f"_log_{s}" for s in logs])
 
 
 def spline_effect(grid: DataFrame, model: FittedGlm, feature: str) -> DataFrame:

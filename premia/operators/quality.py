@@ -178,15 +178,17 @@ def validate_strict(df: DataFrame, rules: TableRules) -> DataFrame:
 def with_reasons(df: DataFrame, rules: TableRules) -> DataFrame:
     """Adds ``_reason``: the sorted distinct names of the failed checks, empty for a good row."""
     check_layout(df, rules)
-    failed = [F.when(c.failed(), F.lit(c.reason)) for c in rules.checks]
+    failed: dict[str, Column] = {}
+    for check in rules.checks:
+        failed[check.reason] = failed[check.reason] | check.failed() if check.reason in failed else check.failed()
     source = df
     if rules.unique:
         others = [c for c in rules.columns if c != rules.unique]
         keys = duplicate_keys(df.where(F.col(rules.unique).isNotNull()), rules.unique)
         source = salted_lookup(df, keys, [rules.unique], others or [rules.unique])
-        failed.append(F.when(F.col("copies").isNotNull(), F.lit(UNIQUE_REASON)))
-    reasons = F.array_sort(F.array_distinct(F.array_compact(F.array(*failed))))
-    return source.withColumn("_reason", F.array_join(reasons, ", ")).drop("copies")
+        failed[UNIQUE_REASON] = F.col("copies").isNotNull()
+    named = [F.when(failed[reason], F.lit(reason)) for reason in sorted(failed)]
+    return source.withColumn("_reason", F.concat_ws(", ", *named)).drop("copies")
 
 
 def validate_lenient(df: DataFrame, rules: TableRules) -> tuple[DataFrame, DataFrame]:

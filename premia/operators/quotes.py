@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from premia.operators.explain import top_reason_codes
+from premia.operators.explain import with_reason_codes
 from premia.operators.features import engineered_columns
 from premia.operators.glm import FittedGlm, combine_freq_sev
 from premia.settings import Settings
@@ -42,7 +42,8 @@ def price_quotes(quotes: DataFrame, assets: PricingAssets, settings: Settings, k
     rows = quote_features(quotes, settings, keep)
     rows = rows.withColumns({"frequency": assets.frequency.prediction(), "severity": assets.severity.prediction()})
     pure = combine_freq_sev(F.col("frequency"), F.col("severity")) * F.col("exposure")
-    return rows.withColumn("premium_pure", pure).select(
+    rows = with_reason_codes(rows.withColumn("premium_pure", pure), assets.frequency, settings.pricing.reason_codes)
+    return rows.select(
         *(keep or []),
         "policy_id",
         "premium_pure",
@@ -53,7 +54,7 @@ def price_quotes(quotes: DataFrame, assets: PricingAssets, settings: Settings, k
         "severity",
         F.lit(settings.pricing.currency).alias("currency"),
         F.lit(assets.version()).alias("model_version"),
-        top_reason_codes(assets.frequency, settings.pricing.reason_codes).alias("reason_codes"),
+        "reason_codes",
     )
 
 
