@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premia.catalog.reference_sql import with_tables
+from premia.session import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,7 +22,12 @@ def query(name: str, sql: str | None = None):
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(prepare_session(spark), sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_tables(sql)
         return fn

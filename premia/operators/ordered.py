@@ -43,7 +43,8 @@ def prefix_sum(
 
     Rows are placed into ordered ranges, range totals are accumulated over that small table, and the running total
     inside a range is a window partitioned by range. Each total carries the type of its measure's sum, so decimal
-    measures give sums that do not depend on task order. Hand in narrow rows: they are stored once, because cut points,
+    measures give sums that do not depend on task order. ``by`` must name few groups, such as the curves of a chart:
+    the range totals (at most a few hundred thousand rows per group) are broadcast. Hand in narrow rows: they are stored once, because cut points,
     range totals and the final window each read them.
     """
     by = by or ["_all"]

@@ -30,23 +30,31 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+_written: dict[str, list[str]] = {}
+
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, remembered for ``clear_scratch``."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of executors and carries no lineage."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared folder and read back, for results that several jobs use.
 
-def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write once to the shared folder and read back, for results that several jobs use."""
+    The table carries no lineage and survives the loss of executors; unlike a checkpoint it is computed once and stays
+    columnar.
+    """
     path = fresh_path(df.sparkSession, label)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this application made; DataFrames that read them are invalid afterwards."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)

@@ -116,3 +116,12 @@ def test_scratch_folder_comes_from_the_session():
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
         workspace.shared_root(FakeSession("yarn"))
     assert workspace.shared_root(FakeSession("local[2]"))
+
+
+def test_scratch_tables_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "_written", {})
+    monkeypatch.setattr(workspace, "shared_root", lambda _: str(tmp_path))
+    assert workspace.stored(spark.range(5), "numbers").count() == 5
+    assert len(list(tmp_path.iterdir())) == 1
+    assert workspace.clear_scratch(spark) == 1
+    assert not list(tmp_path.iterdir())
