@@ -8,13 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe
+from premia.llm import bpe, warc
 from premia.llm.common import table
+from premia.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), root)
+    return warc.read_records(spark, root).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+g AS (SELECT payload, max(page_id) AS top FROM p GROUP BY payload)
+SELECT page_id, CAST(octet_length(p.payload) AS BIGINT) AS payload_bytes, sha1(p.payload) AS payload_digest,
+  CASE WHEN octet_length(p.payload) >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN octet_length(p.payload) >= 1000 AND page_id < top THEN top END AS refers_to
+FROM p JOIN g ON p.payload = g.payload
+"""
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), file, pattern), file, pattern)
@@ -27,6 +46,9 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_warc_archive": op2_warc_archive,
     "op5_byte_bpe": op5_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_warc_archive": OP2_SQL,
+}
