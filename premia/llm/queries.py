@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, warc
+from premia.llm import bpe, decontaminate, main_text, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -34,6 +34,12 @@ FROM p JOIN g ON p.payload = g.payload
 """
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), file, pattern), file, pattern)
@@ -82,6 +88,7 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 
 QUERIES: dict[str, Query] = {
     "op2_warc_archive": op2_warc_archive,
+    "op3_main_text": op3_main_text,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
 }
