@@ -44,3 +44,55 @@ def byte_rows(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = array.buffers()[2]
     whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+#: An odd factor and its inverse modulo 2**64, for polynomial hashes of byte runs.
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(factor: int, n: int) -> np.ndarray:
+    """``factor ** i`` modulo 2**64 for i below ``n``; kept for the next call."""
+    have = _powers.get(factor)
+    if have is None or len(have) < n:
+        steps = np.full(max(n, 1 << 16), factor, np.uint64)
+        steps[0] = 1
+        have = _powers[factor] = np.multiply.accumulate(steps)
+    return have[:n]
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit values."""
+    values = values ^ (values >> np.uint64(32))
+    values = values * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(29))
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, factor: int = _FACTOR) -> np.ndarray:
+    """A 64-bit hash of each byte run ``data[start:stop]`` that depends on its bytes alone."""
+    n = len(data)
+    inverse = _INVERSE if factor == _FACTOR else pow(factor, -1, 1 << 64)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(factor, n), out=sums[1:])
+    return mixed((sums[stops] - sums[starts]) * powers(inverse, n + 1)[starts])
+
+
+def word_runs(texts: pa.Array, fold: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts: the folded bytes, where each word starts and stops, and the row it belongs to.
+
+    ``fold`` maps bytes to bytes; words are the runs without a space (byte 32) in what it gives.
+    """
+    data, offsets = byte_rows(texts)
+    folded = np.frombuffer(data.tobytes().translate(fold), np.uint8)
+    inner = folded != 32
+    # A row border ends a word: where a row starts inside of a run, a new word starts.
+    edge = np.zeros(len(folded) + 1, bool)
+    edge[offsets] = True
+    before = np.zeros(len(folded), bool)
+    before[1:] = inner[:-1]
+    after = np.zeros(len(folded), bool)
+    after[:-1] = inner[1:]
+    starts = np.flatnonzero(inner & (~before | edge[:-1]))
+    stops = np.flatnonzero(inner & (~after | edge[1:])) + 1
+    return folded, starts, stops, np.searchsorted(offsets, starts, side="right") - 1

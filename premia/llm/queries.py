@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, main_text, warc
+from premia.llm import bpe, decontaminate, main_text, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -86,11 +86,23 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (toxicity.fold_of() == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_warc_archive": op2_warc_archive,
     "op3_main_text": op3_main_text,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_archive": OP2_SQL,
