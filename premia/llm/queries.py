@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, main_text, toxicity, warc
+from premia.llm import bpe, decontaminate, main_text, secrets, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -86,6 +86,45 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(spans, k).alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(secrets.listed(secrets.of_base(spans)), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_MATCHES = "\nUNION ALL\n".join(
+    f"SELECT doc_id, source, '{kind}' AS kind, {rank} AS rank, {least} AS least, string_split_regex(t, {_sql_text(p)}) AS gaps, "
+    f"regexp_extract_all(t, {_sql_text(p)}) AS ms, regexp_extract_all(t, {_sql_text(p)}, {group}) AS vs FROM d"
+    for rank, (kind, (p, group, least)) in enumerate(secrets.KINDS.items())
+)
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+m AS ({_MATCHES}),
+e AS (SELECT doc_id, source, kind, rank, least, i, len(gaps[i]) + len(ms[i]) AS step, ms[i] AS mt, vs[i] AS v
+  FROM m, unnest(range(1, len(ms) + 1)) AS u(i)),
+c AS (SELECT *, sum(step) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM e),
+k AS (SELECT doc_id, source, kind, rank, stop - len(mt) AS start, stop, v FROM c WHERE len(v) >= least AND (kind <> 'owned' OR
+  (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')))),
+o AS (SELECT v, count(DISTINCT source) AS owners FROM k GROUP BY v),
+r AS (SELECT k.*, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS s FROM k JOIN o ON k.v = o.v WHERE kind <> 'owned' OR owners = 1),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex, string_agg(s, ',' ORDER BY start, rank) FILTER (kind <> 'owned') AS base,
+  string_agg(s, ',' ORDER BY start, rank) AS spans FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -102,9 +141,11 @@ QUERIES: dict[str, Query] = {
     "op3_main_text": op3_main_text,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
+    "op7_secret_scan": op7_secret_scan,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_archive": OP2_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op7_secret_scan": OP7_SQL,
 }
