@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, main_text, secrets, toxicity, warc
+from premia.llm import bpe, decontaminate, main_text, neardup, secrets, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -125,6 +125,28 @@ FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s, md5_number_lower(array_to_string(w[i:i + 4], ' ')) AS t
+  FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.t = y.t AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.seen FROM r JOIN e ON e.a = r.node),
+m AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN m ON m.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -142,10 +164,12 @@ QUERIES: dict[str, Query] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
     "op7_secret_scan": op7_secret_scan,
+    "op8_near_duplicates": op8_near_duplicates,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_archive": OP2_SQL,
     "op6_decontaminate": OP6_SQL,
     "op7_secret_scan": OP7_SQL,
+    "op8_near_duplicates": OP8_SQL,
 }
