@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, main_text, neardup, secrets, toxicity, warc
+from premia.llm import bpe, decontaminate, embjoin, main_text, neardup, secrets, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -40,6 +40,25 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embjoin.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP4_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND len(list_filter(embedding, lambda y: y <> 0)) > 0),
+l AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND len(p.x) = len(q.x) AND p.vec_id <> q.vec_id
+  WHERE list_cosine_similarity(p.x, q.x) >= 0.98),
+r(node, seen) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.seen FROM r JOIN l ON l.a = r.node),
+m AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN m ON node = vec_id LEFT JOIN n ON a = vec_id
+"""
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), file, pattern), file, pattern)
@@ -161,6 +180,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_warc_archive": op2_warc_archive,
     "op3_main_text": op3_main_text,
+    "op4_embedding_join": op4_embedding_join,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
     "op7_secret_scan": op7_secret_scan,
@@ -169,6 +189,7 @@ QUERIES: dict[str, Query] = {
 }
 ORACLES: dict[str, str] = {
     "op2_warc_archive": OP2_SQL,
+    "op4_embedding_join": OP4_SQL,
     "op6_decontaminate": OP6_SQL,
     "op7_secret_scan": OP7_SQL,
     "op8_near_duplicates": OP8_SQL,
