@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from premia import workspace
+
 #: Rows handed to Python at once; long rows are cut into smaller slices by ``slices``.
 SLICE_BYTES = 4 << 20
 
@@ -18,6 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Shuffle files of a finished job are deleted at once instead of whenever the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared folder and read back; the job's shuffle files, which nothing reads again, go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return workspace.stored(df, label)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def text_of(column: str) -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.workspace import stored
+from premia.llm.common import stored
+
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from premia.llm.common import slices, text_of
-from premia.workspace import stored
+from premia.llm.common import slices, stored, text_of
 
 #: Item bytes that one pass over the documents holds in memory.
 BLOCK_BYTES = 8 << 20

@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from premia.llm.common import stored
 from premia.llm.components import components
-from premia.workspace import stored
 
 #: Leading principal axes that the order and the bounding cells use.
 AXES = 6

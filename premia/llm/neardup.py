@@ -31,9 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.llm.common import mixed, run_hashes, slices, text_of, word_runs
+from premia.llm.common import mixed, run_hashes, slices, stored, text_of, word_runs
 from premia.llm.components import components
-from premia.workspace import stored
 
 SHINGLE = 5
 SYMBOLS, DISTANCE, CHUNKS = 64, 25, 13

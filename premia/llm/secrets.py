@@ -23,8 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from premia.llm.common import text_of
-from premia.workspace import stored
+from premia.llm.common import stored, text_of
 
 # The patterns, the group that holds the value, and the least length of that group.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""

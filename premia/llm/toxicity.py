@@ -35,9 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from premia.llm.common import run_hashes, slices, text_of, word_runs
+from premia.llm.common import run_hashes, slices, stored, text_of, word_runs
 from premia.llm.decontaminate import _FOLD
-from premia.workspace import stored
 
 FOLDS = 5
 DISCOUNT = 0.75
