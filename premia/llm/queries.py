@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, embjoin, main_text, neardup, secrets, toxicity, warc
+from premia.llm import bpe, decontaminate, embjoin, main_text, neardup, repeats, secrets, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -153,7 +153,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 s AS (
-  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s, md5_number_lower(array_to_string(w[i:i + 4], ' ')) AS t
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s, md5_number(array_to_string(w[i:i + 4], ' ')) AS t
   FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.t = y.t AND x.doc_id < y.doc_id GROUP BY ALL),
@@ -166,6 +166,36 @@ FROM documents d JOIN m ON m.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
+def op9_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+OP9_SQL = """
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+x AS (SELECT doc_id, j, h[2000 * j + 1:2000 * j + 2098] AS part FROM d, unnest(range(0, CAST(ceil(len(h) / 2000.0) AS BIGINT))) AS u(j)),
+w AS (SELECT doc_id, 1000 * j + k AS i, md5_number(part[2 * k + 1:2 * k + 100]) AS s
+  FROM x, unnest(range(0, least(1000, CAST(len(part) / 2 - 49 AS BIGINT)))) AS u(k) WHERE len(part) >= 100),
+o AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+r AS (SELECT doc_id, i FROM w JOIN o ON w.s = o.s WHERE doc_id > first),
+g AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS fresh FROM r),
+k AS (SELECT doc_id, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+c AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM c),
+t AS (SELECT p.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+  string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(len(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -185,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_secret_scan": op7_secret_scan,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_byte_repeats": op9_byte_repeats,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
@@ -193,4 +224,5 @@ ORACLES: dict[str, str] = {
     "op6_decontaminate": OP6_SQL,
     "op7_secret_scan": OP7_SQL,
     "op8_near_duplicates": OP8_SQL,
+    "op9_byte_repeats": OP9_SQL,
 }
