@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, embjoin, main_text, neardup, repeats, secrets, toxicity, warc
+from premia.llm import bpe, decontaminate, embjoin, main_text, neardup, repeats, resampling, secrets, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -16,6 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), root)
@@ -208,6 +212,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op2_warc_archive": op2_warc_archive,
     "op3_main_text": op3_main_text,
     "op4_embedding_join": op4_embedding_join,
