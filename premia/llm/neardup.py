@@ -13,8 +13,10 @@ keys of four symbols that hardly ever agree by chance.
 Equal sets are one class and are indexed once. Documents that share a key are not paired all with all: every member is
 compared with the smallest one, links join components, and only where members of a key still lie in different
 components are these compared, in blocks: first each with its closest one in every other component, then whatever is
-left. A pair is linked only after its full shingle sets were compared. No pair within the distance is left out, unless
-both are already known to be in one component.
+left. Before, the shingles that only one of these members has are counted: a pair has at most in common what both share
+with anybody, so that most members of a group of heavily edited copies cannot be linked any more. A pair is linked only
+after its full shingle sets were compared. No pair within the distance is left out, unless both are already known to be
+in one component or that bound rules it out.
 
 Texts that are null, empty or hold no word have the empty set and link with nothing; texts of less than five words have
 their whole sequence as the one shingle. Rows without an id link with nothing, get a null component and are kept. Rows
@@ -160,28 +162,28 @@ def _close(pairs: DataFrame, classes: DataFrame, ratio: float) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough; ``texts`` has ``class`` and ``text``."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+def _full_sets(texts: DataFrame) -> DataFrame:
+    """``class`` and ``set`` (its shingle hashes in order); ``texts`` has ``class`` and ``text``."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 values, begins = shingle_sets(part.column(1))
-                digest = digests(values, begins) if len(values) and (np.diff(begins) > 0).all() else None
                 rows = []
-                for i in range(part.num_rows):
+                for i, wanted in enumerate(part.column(0).to_pylist()):
                     own = values[begins[i] : begins[i + 1]]
-                    if digest is not None:
-                        same = digest[i].tobytes() == part.column(0)[i].as_py()
-                    else:
-                        same = len(own) > 0 and digests(own, np.array([0, len(own)]))[0].tobytes() == part.column(0)[i].as_py()
+                    # A row may share the id of the wanted one and hold another text.
+                    same = len(own) > 0 and digests(own, np.array([0, len(own)]))[0].tobytes() == wanted
                     rows.append(own.tobytes() if same else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.binary())], names=["class", "set"])
 
-    full = texts.join(wanted, "class").select("class", "text").mapInArrow(sets, "class binary, set binary")
-    full = stored(full.filter(F.col("set").isNotNull()).dropDuplicates(["class"]), "neardup-sets")
-    side = lambda x: full.select(F.col("class").alias(x), F.col("set").alias(f"set_{x}"))
+    found = texts.select("class", "text").mapInArrow(run, "class binary, set binary")
+    return found.filter(F.col("set").isNotNull()).dropDuplicates(["class"])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs whose full shingle sets are similar enough."""
+    side = lambda x: sets.select(F.col("class").alias(x), F.col("set").alias(f"set_{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,45 +200,76 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, per_cent: int) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _open_blocks(members: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
-    """Blocks of the members of every key whose members lie in more than one component."""
+def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``key``, ``class``, ``component`` and the key's number of members ``n``, of keys with more than one component."""
     labels = found.withColumnRenamed("node", "class")
     placed = members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     spread = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    still = spread.filter((F.col("low") != F.col("high")) & (F.col("n") > 2)).select("key", "n")
-    rows = placed.join(still, "key").join(classes.select("class", "sig", "n_shingles"), "class")
-    parts = F.ceil(F.col("n") / BLOCK)
-    numbered = rows.withColumn("block", F.pmod(F.xxhash64("class"), parts))
-    member = F.struct("class", "component", "sig", "n_shingles")
-    return numbered.groupBy("key", "block").agg(F.collect_list(member).alias("held"))
+    return placed.join(spread.filter((F.col("low") != F.col("high")) & (F.col("n") > 2)).select("key", "n"), "key")
+
 
+def _shared_sizes(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``class`` and ``own``: how many of its shingles no other of these classes has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "set"):
+                rows = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+                who = part.column(0).take(pa.array(np.repeat(np.arange(len(rows)), [len(x) for x in rows])))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), who], names=["shingle", "class"])
 
-def _block_pairs(blocks: DataFrame, ratio: float, closest: bool) -> DataFrame:
+    each = sets.join(classes, "class", "left_semi").select("class", "set").mapInArrow(run, "shingle long, class binary")
+    lone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("class").alias("class")).filter("n = 1")
+    return lone.groupBy("class").agg(F.count("*").alias("own"))
+
+
+def _open_blocks(rows: DataFrame, classes: DataFrame, own: DataFrame, per_cent: int) -> DataFrame:
+    """Members that can still be linked, by key and in blocks."""
+    known = classes.select("class", "sig", "n_shingles").join(own, "class")
+    able = rows.join(known, "class").withColumn("shared", F.col("n_shingles") - F.col("own")).filter(100 * F.col("shared") >= per_cent * F.col("n_shingles"))
+    numbered = able.withColumn("block", F.pmod(F.xxhash64("class"), F.ceil(F.col("n") / BLOCK)))
+    member = F.struct("class", "component", "sig", "n_shingles", "shared")
+    blocks = numbered.groupBy("key", "block").agg(F.collect_list(member).alias("held"))
+    lively = blocks.groupBy("key").agg(F.sum(F.size("held")).alias("n")).filter("n > 1").select("key")
+    return blocks.join(lively, "key")
+
+
+def _block_pairs(blocks: DataFrame, per_cent: int, closest: bool) -> DataFrame:
     """Pairs of different components within the distance, of all pairs of blocks of a key; with ``closest`` only the
-    nearest one of every other component for each member."""
+    nearest one of every other component for each member.
+
+    What two members have in common is at most what each shares with anybody, which bounds their similarity. A pair
+    that meets at several keys is given at the first of them alone.
+    """
     other = blocks.select("key", F.col("block").alias("block_b"), F.col("held").alias("held_b"))
-    both = blocks.join(other, "key").filter(F.col("block") <= F.col("block_b")).select("held", "held_b")
+    both = blocks.join(other, "key").filter(F.col("block") <= F.col("block_b")).select("key", "held", "held_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: set[tuple[bytes, bytes]] = set()
-            for left, right in zip(batch.column(0), batch.column(1), strict=True):
-                x, y = ({k: left_or.values.field(i) for i, k in enumerate(("class", "component", "sig", "n"))} for left_or in (left, right))
+            for key, left, right in zip(batch.column(0).to_numpy().view(np.uint64), batch.column(1), batch.column(2), strict=True):
+                x, y = ({k: side.values.field(i) for i, k in enumerate(("class", "component", "sig", "n", "shared"))} for side in (left, right))
                 names = {c: i for i, c in enumerate(dict.fromkeys([*x["component"].to_pylist(), *y["component"].to_pylist()]))}
                 cx, cy = (np.array([names[c] for c in z["component"].to_pylist()]) for z in (x, y))
+                if len(names) == 1:
+                    continue
                 sx, sy = (_unfixed(z["sig"], np.uint16, SYMBOLS) for z in (x, y))
-                nx, ny = (z["n"].to_numpy(zero_copy_only=False).astype(float) for z in (x, y))
-                differ = np.zeros((len(sx), len(sy)), np.uint8)
-                for k in range(SYMBOLS):
-                    differ += sx[:, None, k] != sy[None, :, k]
-                fits = np.minimum(nx[:, None], ny[None]) >= ratio * np.maximum(nx[:, None], ny[None])
-                near = (differ <= DISTANCE) & fits & (cx[:, None] != cy[None])
-                i, j = np.nonzero(near)
+                (nx, mx), (ny, my) = ([z[c].to_numpy(zero_copy_only=False).astype(float) for c in ("n", "shared")] for z in (x, y))
+                most = np.minimum(mx[:, None], my[None])
+                i, j = np.nonzero((100 * most >= per_cent * (nx[:, None] + ny[None] - most)) & (cx[:, None] != cy[None]))
+                differ = (sx[i] != sy[j]).sum(axis=1)
+                near = differ <= DISTANCE
+                i, j, differ = i[near], j[near], differ[near]
+                if len(i):
+                    kx, ky = index_keys(sx), index_keys(sy)
+                    first = np.argmax(kx[i] == ky[j], axis=1)
+                    here = kx[i, first] == key
+                    i, j, differ = i[here], j[here], differ[here]
                 if closest and len(i):
-                    order = np.lexsort((differ[i, j], cy[j], i))
+                    order = np.lexsort((differ, cy[j], i))
                     i, j = i[order], j[order]
-                    first = np.append(True, (i[1:] != i[:-1]) | (cy[j[1:]] != cy[j[:-1]]))
-                    i, j = i[first], j[first]
+                    ahead = np.append(True, (i[1:] != i[:-1]) | (cy[j[1:]] != cy[j[:-1]]))
+                    i, j = i[ahead], j[ahead]
                 a, b = x["class"].to_pylist(), y["class"].to_pylist()
                 out.update((min(a[p], b[q]), max(a[p], b[q])) for p, q in zip(i, j, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
@@ -256,16 +289,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = _keys(classes)
     shared = keys.groupBy("key").agg(F.min("class").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("key", "pivot")
     members = stored(keys.join(shared, "key"), "neardup-members")
-    texts = given.join(classes.select("id", "class"), "id")
+    involved = stored(members.select("class").distinct().join(classes.select("class", "id"), "class"), "neardup-involved")
+    sets = stored(_full_sets(given.join(involved, "id")), "neardup-full")
 
     stars = members.filter(F.col("pivot") != F.col("class")).select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    links = _links(stars, classes, texts, ratio, per_cent)
+    links = stored(_confirmed(stored(_close(stars, classes, ratio), "neardup-pairs"), sets, per_cent), "neardup-links")
     found = components(links)
     for closest in (True, False):
-        blocks = stored(_open_blocks(members.select("key", "class"), found, classes), "neardup-blocks")
+        still = stored(_open_members(members.select("key", "class"), found), "neardup-open")
+        own = _shared_sizes(still.select("class").distinct(), sets)
+        known = still.select("class").distinct().join(own, "class", "left").select("class", F.coalesce("own", F.lit(0)).alias("own"))
+        blocks = stored(_open_blocks(still, classes, known, per_cent), "neardup-blocks")
         if blocks.isEmpty():
             break
-        more = stored(_confirmed(stored(_block_pairs(blocks, ratio, closest), "neardup-pairs"), texts, per_cent), "neardup-links")
+        more = stored(_confirmed(stored(_block_pairs(blocks, per_cent, closest), "neardup-pairs"), sets, per_cent), "neardup-links")
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
@@ -279,7 +316,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = out.withColumn("component_id", F.when(alone, F.col("id")).otherwise(F.col("component_id")))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
-
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, ratio: float, per_cent: int) -> DataFrame:
-    close = stored(_close(pairs, classes, ratio), "neardup-pairs")
-    return stored(_confirmed(close, texts, per_cent), "neardup-links")
