@@ -87,13 +87,14 @@ PREDICTORS = {
 }
 
 
-def evaluation_rows(spark, sf_dir, use_case: str, split: str = "train") -> DataFrame:
-    """policy_id, y, yhat, w"""
-    return scored(split_of(spark, sf_dir, use_case, split), F.expr(PREDICTORS[use_case]))
+def evaluation_rows(spark, sf_dir, use_case: str, split: str | None = None) -> DataFrame:
+    """policy_id, y, yhat, w of all rows, as the predictors are fixed and no row has been learned from; or of a split."""
+    rows = gold(spark, sf_dir, use_case) if split is None else split_of(spark, sf_dir, use_case, split)
+    return scored(rows, F.expr(PREDICTORS[use_case]))
 
 
-def evaluation_rows_with(spark, sf_dir, use_case: str, columns: list[str], split: str = "train") -> DataFrame:
-    rows = split_of(spark, sf_dir, use_case, split)
+def evaluation_rows_with(spark, sf_dir, use_case: str, columns: list[str]) -> DataFrame:
+    rows = gold(spark, sf_dir, use_case)
     return rows.select(
         "policy_id",
         "y",

@@ -117,12 +117,12 @@ TABLES = {
     "gold_p": "SELECT *, pure_premium AS y, exposure AS w FROM eng",
     "eval_f": """
         SELECT *, CAST(0.05 AS DOUBLE) + CAST(0.002 AS DOUBLE) * bonus_malus + CAST(0.001 AS DOUBLE) * driv_age AS yhat
-        FROM gold_f WHERE split = 'train'""",
+        FROM gold_f""",
     "eval_s": """
-        SELECT *, CAST(15000 + 20 * driv_age - 10 * veh_age AS DOUBLE) AS yhat FROM gold_s WHERE split = 'train'""",
+        SELECT *, CAST(15000 + 20 * driv_age - 10 * veh_age AS DOUBLE) AS yhat FROM gold_s""",
     "eval_p": """
         SELECT *, CAST(40 * bonus_malus + 30 * driv_age + 5 * veh_power AS DOUBLE) AS yhat
-        FROM gold_p WHERE split = 'train'""",
+        FROM gold_p""",
     "quotes": """
         SELECT IDpol AS policy_id, Exposure AS exposure, Area AS area, VehPower AS veh_power, VehAge AS veh_age,
                CAST(CASE WHEN IDpol % 50 = 0 THEN 200 ELSE DrivAge END AS BIGINT) AS driv_age,

@@ -26,14 +26,19 @@ def _quantile_table(counts: DataFrame, settings: Monitoring) -> DataFrame:
     return counts.sparkSession.createDataFrame(rows, "feature string, quantiles array<double>")
 
 
-def _bin_counts(counts: DataFrame, bins: DataFrame, name: str) -> DataFrame:
+def _bin_counts(counts: DataFrame, bins: DataFrame, name: str, most_bins: int) -> DataFrame:
     """Rows per (feature, bin) of (feature, value, rows). ``bins`` has one row per feature and is broadcast; values
-    below the first or above the last inner edge belong to the outer bins."""
-    position = edges_up_to(F.col("inner_edges"), F.col("value"), 64)
+    below the first or above the last inner edge belong to the outer bins. No feature has more than ``most_bins``."""
+    position = edges_up_to(F.col("inner_edges"), F.col("value"), max(most_bins, 1))
     placed = counts.join(F.broadcast(bins.select("feature", "inner_edges")), "feature")
     return placed.groupBy("feature", position.alias("bin")).agg(F.sum("rows").alias(name))
 
 
+def _each_row(long: DataFrame) -> DataFrame:
+    """Rows of (feature, value) as counts of one: binned before the shuffle, so that only bins are exchanged."""
+    return long.where(F.col("value").isNotNull()).withColumn("rows", F.lit(1).cast("bigint"))
+
+
 def status(score: Column, settings: Monitoring) -> Column:
     return (
         F.when(score >= settings.alert, "alert").when(score >= settings.watch, "watch").otherwise("stable")
@@ -41,12 +46,13 @@ def status(score: Column, settings: Monitoring) -> Column:
 
 
 def _score(grid: DataFrame, settings: Monitoring) -> DataFrame:
-    """PSI per feature from (feature, bin, ref_rows, cur_rows, ref_n, cur_n), every bin present."""
+    """PSI per feature from (feature, bin, ref_rows, cur_rows, ref_n, cur_n), every bin present. A feature without any
+    current value has the least share in every bin, so its disappearance shows."""
     floor = F.lit(settings.epsilon)
     ref = F.greatest(F.coalesce("ref_rows", F.lit(0)) / F.col("ref_n"), floor)
     cur = F.greatest(F.coalesce("cur_rows", F.lit(0)) / F.col("cur_n"), floor)
     part = F.when(F.col("bin").isNotNull(), (cur - ref) * F.log(cur / ref)).otherwise(F.lit(0.0))
-    scored = grid.where(F.col("bin").isNull() | F.col("cur_n").isNotNull()).groupBy("feature").agg(F.sum(part).alias("psi"))
+    scored = grid.groupBy("feature").agg(F.sum(part).alias("psi"))
     return scored.withColumn("status", status(F.col("psi"), settings))
 
 
@@ -60,12 +66,13 @@ def _grid(bins: DataFrame) -> DataFrame:
 def psi_report(reference: DataFrame, current: DataFrame, features: list[str], settings: Monitoring) -> DataFrame:
     """(feature, psi, status). Bin edges are the distinct deciles of the reference."""
     ref_counts = stored(value_counts(long_features(reference, features)), "reference-counts")
-    cur_counts = value_counts(long_features(current, features))
+    cur_counts = _each_row(long_features(current, features))
     edges = _quantile_table(ref_counts, settings).withColumn("edges", F.array_distinct("quantiles"))
     bins = edges.select(
         "feature", inner(F.col("edges")).alias("inner_edges"), (F.size("edges") - 1).alias("n_bins")
     )
-    return _compare(bins, _bin_counts(ref_counts, bins, "ref_rows"), _bin_counts(cur_counts, bins, "cur_rows"), settings)
+    ref, cur = (_bin_counts(c, bins, n, settings.bins) for c, n in ((ref_counts, "ref_rows"), (cur_counts, "cur_rows")))
+    return _compare(bins, ref, cur, settings)
 
 
 def _compare(bins: DataFrame, ref: DataFrame, cur: DataFrame, settings: Monitoring) -> DataFrame:
@@ -90,7 +97,7 @@ def reference_distribution(df: DataFrame, features: list[str], settings: Monitor
     counts = stored(value_counts(long_features(df, features)), "reference-counts")
     edges = _quantile_table(counts, settings).withColumnRenamed("quantiles", "bin_edges")
     bins = edges.select("feature", "bin_edges", inner(F.col("bin_edges")).alias("inner_edges"))
-    filled = _bin_counts(counts, bins, "rows")
+    filled = _bin_counts(counts, bins, "rows", settings.bins)
     per_bin = filled.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("bin", "rows"))).alias("at"))
     listed = F.transform(
         F.sequence(F.lit(0), F.lit(settings.bins - 1)),
@@ -105,7 +112,7 @@ def psi_from_reference(stored: DataFrame, current: DataFrame, features: list[str
 
 
 def psi_from_long(stored_bins: DataFrame, long: DataFrame, settings: Monitoring) -> DataFrame:
-    return psi_from_counts(stored_bins, value_counts(long), settings)
+    return psi_from_counts(stored_bins, _each_row(long), settings)
 
 
 def psi_from_counts(stored_bins: DataFrame, counts: DataFrame, settings: Monitoring) -> DataFrame:
@@ -117,7 +124,8 @@ def psi_from_counts(stored_bins: DataFrame, counts: DataFrame, settings: Monitor
         "bin_counts",
     )
     ref = bins.select("feature", F.posexplode("bin_counts").alias("bin", "ref_rows"))
-    return _compare(bins, ref, _bin_counts(counts, bins, "cur_rows"), settings)
+    most = bins.agg(F.max("n_bins")).first()[0] or 1
+    return _compare(bins, ref, _bin_counts(counts, bins, "cur_rows", most), settings)
 
 
 # Chart colour per status.

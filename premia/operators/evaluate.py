@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.deviance import mean_deviance, weighted_mean
 from premia.operators.ordered import prefix_sum
 
-EXACT = "decimal(28,10)"
+#: Digits behind the point of accumulated weights whose largest is one or more; smaller weights get more.
+DIGITS = 10
+
+
+def exact_type(df: DataFrame, column: str = "w") -> str:
+    """A decimal type in which weights of this size keep about ten significant digits and sums do not overflow."""
+    most = df.agg(F.max(F.abs(F.col(column)))).first()[0]
+    digits = DIGITS - min(0, math.floor(math.log10(most))) if most else DIGITS
+    return f"decimal(38,{min(digits, 37)})"
 
 
 def deviance(df: DataFrame, kind: str, power: float | None = None) -> DataFrame:
@@ -33,7 +43,7 @@ def weighted_bins(df: DataFrame, n_bins: int, tie: str = "policy_id") -> DataFra
 
     Weights are accumulated as decimals: a row on a bin border lands in the same bin whatever the task order.
     """
-    running = prefix_sum(df, "yhat", tie, {"cum_w": F.col("w").cast(EXACT)})
+    running = prefix_sum(df, "yhat", tie, {"cum_w": F.col("w").cast(exact_type(df))})
     share = F.col("cum_w").cast("double") / F.col("cum_w_total").cast("double")
     position = F.least(F.floor(share * F.lit(float(n_bins))), F.lit(n_bins - 1))
     return running.withColumn("bin", position.cast("int")).drop("cum_w", "cum_w_total")
@@ -87,7 +97,7 @@ def lorenz_curve(df: DataFrame, points: int | None = None, tie: str = "policy_id
         curve = curve.groupBy(*keys, slot).agg(last).select(*keys, "p.cum_w", "p.cum_y")
     else:
         curve = curve.select(*keys, "cum_w", "cum_y")
-    origin = df.select(*keys).distinct() if keys else df.select(F.lit(0)).limit(1).drop("0")
+    origin = curve.select(*keys).distinct() if keys else df.select(F.lit(0)).limit(1).drop("0")
     origin = origin.select(*keys, F.lit(0.0).alias("cum_w"), F.lit(0.0).alias("cum_y"))
     return curve.unionByName(origin)
 

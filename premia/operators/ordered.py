@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,30 +12,38 @@ from premia.functions.bins import edges_below, edges_up_to
 from premia.operators.quantiles import bucket_count, cut_points
 from premia.workspace import stored
 
-TIE_RANGES = 64
+#: Rows that one ordered range should hold; the number of ranges follows from it and the size of the input.
+TARGET_ROWS = 1_000_000
+
 
+def _same(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join with a small table on keys whose nulls match."""
+    renamed = small.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    match = reduce(lambda x, y: x & y, [df[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys])
+    return df.join(F.broadcast(renamed), match, how).drop(*[f"_k_{k}" for k in keys])
 
-def _ranges(df: DataFrame, key: str, tie: str, by: list[str]) -> DataFrame:
+
+def _ranges(df: DataFrame, key: str, tie: str, by: list[str], target_rows: int | None = None) -> DataFrame:
     """Adds (_range, _sub): an even, order-preserving partition of the rows by (key, tie) inside ``by``.
 
     Cut points of the key split it into ranges; a value that is itself a cut point gets a range of its own. Only such
-    a range can be hot (many rows with one key), and it is split again by cut points of the tie column.
+    a range can be hot (many rows with one key). It is split again along even cut points of the tie column, into as
+    many parts as its rows need, so a part holds about the target however many rows share the key.
     """
-    n = bucket_count(df)
-    cuts = df.groupBy(*by).agg(cut_points(F.col(key), n).alias("_cuts"))
-    placed = df.join(F.broadcast(cuts), by)
+    rows = df.count()
+    n = max(bucket_count(df), -(-rows // (target_rows or TARGET_ROWS)))
+    cuts = df.groupBy(*by).agg(cut_points(F.col(key), n).alias("_cuts"), cut_points(F.col(tie), n).alias("_tie_cuts"))
+    placed = _same(df, cuts, by)
     below = edges_below(F.col("_cuts"), F.col(key), n)
     at_cut = edges_up_to(F.col("_cuts"), F.col(key), n) - below
-    placed = placed.withColumn("_range", 2 * below + at_cut).drop("_cuts")
+    placed = placed.withColumn("_range", 2 * below + at_cut)
 
-    tie_cuts = (
-        placed.where(F.col("_range") % 2 == 1)
-        .groupBy(*by, "_range")
-        .agg(cut_points(F.col(tie), TIE_RANGES).alias("_tie_cuts"))
-    )
-    placed = placed.join(F.broadcast(tie_cuts), [*by, "_range"], "left")
-    sub = F.coalesce(edges_below(F.col("_tie_cuts"), F.col(tie), TIE_RANGES), F.lit(0))
-    return placed.withColumn("_sub", sub).drop("_tie_cuts")
+    parts = F.ceil(F.count(F.lit(1)) / F.lit(max(1, -(-rows // n)))).alias("_parts")
+    hot = placed.where(F.col("_range") % 2 == 1).groupBy(*by, "_range").agg(parts).where("_parts > 1")
+    placed = _same(placed, hot, [*by, "_range"], "left")
+    position = edges_below(F.col("_tie_cuts"), F.col(tie), n)
+    sub = F.floor(position * F.col("_parts") / (F.size("_tie_cuts") + 1)).cast("int")
+    return placed.withColumn("_sub", F.coalesce(sub, F.lit(0))).drop("_cuts", "_tie_cuts", "_parts")
 
 
 def prefix_sum(
@@ -44,8 +54,9 @@ def prefix_sum(
     Rows are placed into ordered ranges, range totals are accumulated over that small table, and the running total
     inside a range is a window partitioned by range. Each total carries the type of its measure's sum, so decimal
     measures give sums that do not depend on task order. ``by`` must name few groups, such as the curves of a chart:
-    the range totals (at most a few hundred thousand rows per group) are broadcast. Hand in narrow rows: they are stored once, because cut points,
-    range totals and the final window each read them.
+    the range totals (about three for each target-sized range and group) are broadcast. A null in ``by`` is a group like
+    any other. Hand in narrow rows: they are stored once, because cut points, range totals and the final window each
+    read them.
     """
     by = by or ["_all"]
     source = df.withColumn("_all", F.lit(0)) if by == ["_all"] else df
@@ -63,7 +74,7 @@ def prefix_sum(
         *[F.sum(f"_s_{m}").over(whole).alias(f"{m}_total") for m in measures],
     )
     inside = W.partitionBy(*by, "_range", "_sub").orderBy(key, tie).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = placed.join(F.broadcast(offsets), [*by, "_range", "_sub"])
+    out = _same(placed, offsets, [*by, "_range", "_sub"])
     out = out.withColumns(
         {
             m: F.sum(f"_m_{m}").over(inside) + F.coalesce(F.col(f"_o_{m}"), F.lit(0))

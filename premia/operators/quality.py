@@ -210,8 +210,9 @@ def unknown_levels(df: DataFrame, levels: DataFrame) -> DataFrame:
     return level_pairs(df, features).join(levels, ["feature", "level"], "left_anti")
 
 
-def assert_levels(df: DataFrame, levels: DataFrame, shown: int = 20) -> DataFrame:
-    unknown = unknown_levels(df, levels).orderBy("feature", "level").limit(shown).collect()
+def assert_levels(df: DataFrame, levels: DataFrame) -> DataFrame:
+    """Raises with every (feature, level) that the level table lacks; these are few, as rating factors have few levels."""
+    unknown = unknown_levels(df, levels).orderBy("feature", "level").collect()
     if unknown:
         raise ValueError("unseen levels: " + ", ".join(f"{r['feature']}={r['level']!r}" for r in unknown))
     return df

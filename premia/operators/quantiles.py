@@ -10,9 +10,10 @@ from premia.functions.bins import edges_below
 from premia.workspace import stored
 
 
-def bucket_count(df: DataFrame, limit: int = 4096) -> int:
-    """Number of value ranges to cut an ordered key into: a few per shuffle partition, bounded."""
-    return min(limit, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def bucket_count(df: DataFrame) -> int:
+    """Number of value ranges to cut an ordered key into: a few per shuffle partition, a setting that is chosen to
+    match the size of the input."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def cut_points(x: Column, buckets: int) -> Column:
@@ -42,10 +43,8 @@ def quantiles_of_counts(counts: DataFrame, shares: list[float]) -> DataFrame:
     totals = counts.groupBy("feature").agg(
         F.sum("rows").alias("n"), cut_points(value.cast("double"), buckets).alias("cuts")
     )
-    position = [(F.col("n") - 1) * F.lit(float(p)) for p in shares]
-    wanted = F.array_distinct(
-        F.concat(F.array(*[F.floor(h) for h in position]), F.array(*[F.ceil(h) for h in position]))
-    )
+    positions = F.transform(F.array(*[F.lit(float(p)) for p in shares]), lambda p: (F.col("n") - 1) * p)
+    wanted = F.array_distinct(F.concat(F.transform(positions, lambda h: F.floor(h)), F.transform(positions, lambda h: F.ceil(h))))
     totals = totals.withColumn("ranks", wanted)
 
     placed = counts.join(F.broadcast(totals), "feature").withColumn(
@@ -72,9 +71,7 @@ def quantiles_of_counts(counts: DataFrame, shares: list[float]) -> DataFrame:
     found = hits.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
 
     joined = found.join(F.broadcast(totals.select("feature", "n")), "feature")
-    return joined.select(
-        "feature", "n", F.array(*[_interpolated(h) for h in position]).alias("quantiles")
-    )
+    return joined.select("feature", "n", F.transform(positions, lambda h: _interpolated(h)).alias("quantiles"))
 
 
 def _interpolated(h: Column) -> Column:

@@ -8,16 +8,16 @@ import random
 import time
 from dataclasses import asdict, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.deviance import mean_deviance
 from premia.operators.boost import BoostedModel, BoostParams, fit_boosted, score_boosted
 from premia.settings import Boosting
+from premia.sources.readers import read_if_there
 from premia.sources.sinks import append_table
 
-TRIALS = "trial int, params string, row_share double, deviance double"
+TRIALS = "trial int, params string, row_share double, deviance double, ended_by_time boolean"
 
 
 def trial_params(trial: int, loss: str, settings: Boosting, seed: int = 42) -> tuple[BoostParams, float]:
@@ -46,36 +46,39 @@ def boost_deviance(scored: DataFrame, loss: str, power: float) -> float:
     return scored.agg(value.alias("d")).first()["d"]
 
 
-def finished_trials(df_session, path: str) -> set[int]:
-    try:
-        return {r["trial"] for r in df_session.read.schema(TRIALS).parquet(path).select("trial").collect()}
-    except AnalysisException:
-        return set()
+def finished_trials(spark, path: str) -> set[str]:
+    """Parameters of the trials that the table already holds; a trial of another loss, seed or range is another one."""
+    return {r["params"] for r in read_if_there(spark, path, TRIALS).where("deviance IS NOT NULL").collect()}
 
 
 def search(train: DataFrame, val: DataFrame, loss: str, settings: Boosting, trials_path: str, seed: int = 42, **fixed):
-    """Runs the missing trials until the number or the time budget is used up; returns the trials table.
+    """Runs the missing trials; returns the table of this search's trials.
 
-    ``fixed`` overrides parameters, for example a smaller depth.
+    There is no time limit unless the settings name one; a search that it ends leaves a row without a score and with
+    ``ended_by_time``. ``fixed`` overrides parameters, for example a smaller depth.
     """
     spark = train.sparkSession
     done, started = finished_trials(spark, trials_path), time.monotonic()
+    named = []
     for trial in range(settings.trials):
-        if trial in done:
-            continue
-        if time.monotonic() - started > settings.timeout_s:
-            break
         params, row_share = trial_params(trial, loss, settings, seed)
         params = replace(params, **fixed)
+        text = json.dumps(asdict(params))
+        named.append(text)
+        if text in done:
+            continue
+        if settings.timeout_s is not None and time.monotonic() - started > settings.timeout_s:
+            append_table(spark.createDataFrame([(trial, text, row_share, None, True)], TRIALS).coalesce(1), trials_path)
+            break
         model = fit_boosted(train, params)
         score = boost_deviance(score_boosted(val, model, ["y", "w"]), loss, settings.tweedie_power)
-        row = [(trial, json.dumps(asdict(params)), row_share, score)]
+        row = [(trial, text, row_share, score, False)]
         append_table(spark.createDataFrame(row, TRIALS).coalesce(1), trials_path)
-    return spark.read.schema(TRIALS).parquet(trials_path)
+    return read_if_there(spark, trials_path, TRIALS).where(F.col("params").isin(named))
 
 
 def best_params(trials: DataFrame) -> BoostParams:
-    raw = json.loads(trials.orderBy("deviance", "trial").first()["params"])
+    raw = json.loads(trials.where("deviance IS NOT NULL").orderBy("deviance", "trial").first()["params"])
     return BoostParams(**{**raw, "increasing": tuple(raw["increasing"])})
 
 

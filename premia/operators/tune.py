@@ -48,7 +48,7 @@ def cross_validate(train: DataFrame, family: str, grid: list[tuple[float, float
     def one(task):
         (_, design, data, starts), point = task
         alpha, power = point
-        return fit_encoded(data, design, family, alpha, power, m.max_iter, starts[point], updates=2, tolerance=1e-3)
+        return fit_encoded(data, design, family, alpha, power, m.max_iter, starts[point])
 
     with ThreadPoolExecutor(m.parallel_fits) as pool:
         folds = list(pool.map(submit(prepare), range(m.folds)))

@@ -35,11 +35,12 @@ def build_bronze(spark: SparkSession, raw_path: str, out_path: str, lineage_path
     now = datetime.now(timezone.utc)
     casts = {"policies": bronze_policies, "claims": bronze_claims}
     tables = {}
+    raws = {name: read_table(spark, f"{raw_path}/{name}") for name in casts}
+    lineage.record(spark, lineage_path, "raw", raws)
     for name, cast in casts.items():
-        raw = read_table(spark, f"{raw_path}/{name}")
-        source_hash = content_digest(raw).first()["content_digest"]
-        write_table(cast(raw, now, source_hash), f"{out_path}/{name}")
+        source_hash = content_digest(raws[name]).first()["content_digest"]
+        write_table(cast(raws[name], now, source_hash), f"{out_path}/{name}")
         tables[name] = read_table(spark, f"{out_path}/{name}")
         write_table(profile_columns(tables[name]), f"{out_path}/profile_{name}")
     write_table(feature_levels(tables["policies"], settings), f"{out_path}/levels")
-    lineage.record(spark, lineage_path, "bronze", tables, upstream=lineage.latest_bundle(spark, lineage_path, "raw"))
+    lineage.record(spark, lineage_path, "bronze", tables, upstream=lineage.latest_bundle(spark, lineage_path, "raw", required=True))

@@ -23,6 +23,7 @@ def build_gold(
     spark: SparkSession, silver_path: str, out_path: str, lineage_path: str, use_case: str, settings: Settings
 ) -> dict[str, int]:
     """Writes ``out_path/use_case`` by split and returns the split sizes."""
+    upstream = lineage.latest_bundle(spark, lineage_path, "silver", required=True)
     silver = read_table(spark, f"{silver_path}/policies")
     target = f"{out_path}/{use_case}"
     write_by_split(gold_table(silver, use_case, settings), target)
@@ -35,6 +36,6 @@ def build_gold(
         write_table(reference, f"{out_path}/reference_distribution")
     splits = {f"{use_case}/{s}": read_split(spark, target, s) for s in ("train", "val", "test")}
     lineage.record(
-        spark, lineage_path, f"gold/{use_case}", splits, upstream=lineage.latest_bundle(spark, lineage_path, "silver")
+        spark, lineage_path, f"gold/{use_case}", splits, upstream=upstream, extra={"use_case": use_case}
     )
     return {r["split"]: r["n"] for r in split_counts(gold).collect()}

@@ -6,12 +6,12 @@ import json
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from premia.operators.digest import content_digest
+from premia.sources.readers import read_if_there
 from premia.sources.sinks import append_table
 
 LINEAGE = (
@@ -79,20 +79,17 @@ def bundles(lineage: DataFrame) -> DataFrame:
 
 
 def latest_bundle(spark: SparkSession, path: str, layer: str, required: bool = False) -> str | None:
-    try:
-        row = bundles(read_lineage(spark, path).where(F.col("layer") == layer)).first()
-    except AnalysisException:
-        row = None
+    row = bundles(read_if_there(spark, path, LINEAGE).where(F.col("layer") == layer)).first()
     if row is None and required:
         raise FileNotFoundError(f"no lineage for layer {layer!r} at {path}")
     return row["bundle"] if row else None
 
 
 def lineage_check(lineage: DataFrame) -> DataFrame:
-    """(layer, upstream, linked): whether the upstream bundle of each layer's last write exists."""
+    """(layer, upstream, linked): whether the upstream bundle of each layer's last write exists; only raw has none."""
     last = bundles(lineage)
     known = lineage.select(F.col("bundle").alias("upstream")).distinct().withColumn("linked", F.lit(True))
     checked = last.join(known, "upstream", "left")
     return checked.select(
-        "layer", "upstream", (F.col("upstream").isNull() | F.coalesce("linked", F.lit(False))).alias("linked")
+        "layer", "upstream", ((F.col("layer") == "raw") | F.coalesce("linked", F.lit(False))).alias("linked")
     )

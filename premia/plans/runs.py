@@ -6,10 +6,10 @@ import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from premia.sources.readers import read_if_there
 from premia.sources.sinks import append_table
 
 RUNS = (
@@ -53,10 +53,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_models(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(MODELS).parquet(f"{path}/models")
-    except AnalysisException:
-        return spark.createDataFrame([], MODELS)
+    return read_if_there(spark, f"{path}/models", MODELS)
 
 
 def run_log_metrics(runs: DataFrame, run_id: str | None = None) -> DataFrame:

@@ -46,6 +46,7 @@ def build_silver(
 
     The joined rows are stored once; statistics, load, level check and both outputs read that table.
     """
+    upstream = lineage.latest_bundle(spark, lineage_path, "bronze", required=True)
     policies = validate_strict(read_table(spark, f"{bronze_path}/policies"), bronze_policy_rules(settings))
     claims = validate_strict(read_table(spark, f"{bronze_path}/claims"), bronze_claim_rules(settings))
     staged = fresh_path(spark, "silver-joined")
@@ -65,6 +66,16 @@ def build_silver(
     tables = {n: read_table(spark, f"{out_path}/{n}") for n in ("policies", "quarantine")}
     validate_strict(tables["policies"], silver_rules(settings))
     lineage.record(
-        spark, lineage_path, "silver", tables, upstream=lineage.latest_bundle(spark, lineage_path, "bronze")
+        spark,
+        lineage_path,
+        "silver",
+        tables,
+        upstream=upstream,
+        extra={
+            "large_loss_cap": cleaning.large_loss_cap(claims, settings.cleaning),
+            "large_loss_load": read_table(spark, f"{out_path}/large_loss_load").first()["large_loss_load"],
+            "quarantine_rows": tables["quarantine"].count(),
+            "clean_stats": [r.asDict() for r in read_table(spark, f"{out_path}/clean_stats").collect()],
+        },
     )
     return tables["policies"].count(), tables["quarantine"].count()

@@ -74,7 +74,7 @@ class Modelling:
 @dataclass(frozen=True)
 class Boosting:
     trials: int = 50
-    timeout_s: float = 600.0
+    timeout_s: float | None = None
     tweedie_power: float = 1.5
     leaves: tuple[int, int] = (7, 255)
     min_child_rows: tuple[int, int] = (5, 200)

@@ -11,6 +11,14 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return reader.parquet(path)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table, or an empty one where nothing is stored at ``path``; every other fault is raised."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
 def read_split(spark: SparkSession, gold_path: str, split: str) -> DataFrame:
     """One split of a gold table; the filter on the partition column prunes the other folders."""
     return spark.read.parquet(gold_path).where(F.col("split") == split).drop("split")

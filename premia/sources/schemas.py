@@ -33,17 +33,7 @@ SNAKE_NAMES = {
     "Density": "density",
     "Region": "region",
 }
-COVARIATES = (
-    "Area",
-    "BonusMalus",
-    "Density",
-    "DrivAge",
-    "Region",
-    "VehAge",
-    "VehBrand",
-    "VehGas",
-    "VehPower",
-)
+COVARIATES = tuple(name for name, _ in RAW_POLICY_FIELDS if name not in ("IDpol", "ClaimNb", "Exposure"))
 QUOTE_FIELDS = tuple(v for v in SNAKE_NAMES.values() if v != "claim_nb")
 
 
