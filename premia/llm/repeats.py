@@ -4,7 +4,8 @@ Every string of ``length`` bytes is assigned to its anchor, the smallest hash of
 equal strings share an anchor wherever they stand. Consecutive strings with one anchor form a piece. Anchors that
 occur in one document alone cannot hold a repeat and are dropped; the pieces of the others are gathered by anchor, a
 suffix array of each anchor's different pieces (``suffixes``) brings equal strings together, and their bytes are
-compared. A string of a document is removed if it starts in a document with a smaller id too, whichever other strings
+compared. Stretches of a piece in which no string has both halves in common with another one cannot hold a repeat and
+stay out of the suffix arrays. A string of a document is removed if it starts in a document with a smaller id too, whichever other strings
 are removed.
 
 Equal pieces are combined before the shuffle: a task sends a piece only for the smallest document it has met it in and
@@ -187,59 +188,107 @@ def _windows_equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int)
     return same
 
 
-def repeated(key: np.ndarray, doc: np.ndarray, data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, first and last (exclusive) byte within the row's piece of every run of repeated strings.
-
-    Rows are pieces of whole groups with the same key: ``data[bounds[i]:bounds[i + 1]]`` of document ``doc[i]``.
-    """
-    hashes = run_hashes(data, bounds[:-1], bounds[1:])
+def _distinct(key: np.ndarray, doc: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each string its number among the different ones of its key; for each of these a string that is it, held by
+    the smallest document, and whether its key has others."""
+    hashes = run_hashes(data, starts, stops)
     order = np.lexsort((doc, hashes, key))
     k, h = key[order], hashes[order]
     new = np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))
     which = np.empty(len(key), np.int64)
     which[order] = np.cumsum(new) - 1
     lead = order[new]
+    head = np.append(True, key[lead][1:] != key[lead][:-1])
+    group = np.cumsum(head) - 1
+    return which, lead, np.bincount(group)[group] > 1
+
+
+def _candidates(key: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of the strings (number, start, stop) of which each part may stand in another string of the key, too:
+    both halves of every string of ``length`` bytes in them occur more than once."""
+    n = stops - starts - length + 1
+    at, of = _spread(starts, n), np.repeat(np.arange(len(starts)), n)
+    may = np.ones(len(at), bool)
+    middle = length // 2
+    for low, high in ((0, middle), (middle, length)):
+        tags = mixed(run_hashes(data, at + low, at + high) ^ mixed(key[of].view(np.uint64)))
+        _, back, counts = np.unique(tags, return_inverse=True, return_counts=True)
+        may &= counts[back] > 1
+    at, of = at[may], of[may]
+    if not len(at):
+        return of, at, at
+    new = np.append(True, (at[1:] != at[:-1] + 1) | (of[1:] != of[:-1]))
+    firsts = np.flatnonzero(new)
+    return of[firsts], at[firsts], at[np.append(firsts[1:], len(at)) - 1] + length
+
+
+def _smaller_elsewhere(key: np.ndarray, least: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number, first and last byte (from its start) of each run of repeats in different strings of whole keys, by the
+    order of all their suffixes. Strings come sorted by key; ``least`` is the smallest document of each."""
+    sizes = stops - starts
+    ends = np.cumsum(sizes + 1)
+    begins = ends - sizes - 1
+    symbols = np.ones(int(ends[-1]), np.int64)
+    symbols[_spread(begins, sizes)] = data[_spread(starts, sizes)].astype(np.int64) + 2
+    lasts = np.append(np.flatnonzero(key[1:] != key[:-1]), len(key) - 1)
+    symbols[ends[lasts] - 1] = 0
+    places = suffix_orders(symbols, np.concatenate([[0], ends[lasts]]))
+    string = np.repeat(np.arange(len(key)), sizes + 1)
+    left = ends[string] - 1 - np.arange(len(symbols))
+    places = places[left[places] >= length]
+    text = np.where(symbols >= 2, symbols - 2, 0).astype(np.uint8)
+    owner = least[string[places]]
+    apart = np.append(True, key[string[places]][1:] != key[string[places]][:-1])
+    near = np.flatnonzero(~apart)
+    apart[near] = ~_windows_equal(text, places[near - 1], places[near], length)
+    at = np.flatnonzero(apart)
+    smallest = np.repeat(np.minimum.reduceat(owner, at), np.diff(np.append(at, len(places))))
+    hit = np.sort(places[smallest < owner])
+    from_start = hit - begins[string[hit]]
+    return _united(string[hit], from_start, from_start + length)
+
+
+def repeated(key: np.ndarray, doc: np.ndarray, data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last (exclusive) byte within the row's piece of every run of repeated strings.
+
+    Rows are pieces of whole groups with the same key: ``data[bounds[i]:bounds[i + 1]]`` of document ``doc[i]``.
+    """
+    which, lead, many = _distinct(key, doc, data, bounds[:-1], bounds[1:])
     least = doc[lead]
     whole = np.flatnonzero(doc > least[which])
     rows, firsts, lasts = [whole], [np.zeros(len(whole), np.int64)], [(bounds[1:] - bounds[:-1])[whole]]
-    # Keys with more than one different piece need their order.
-    head = np.append(True, key[lead][1:] != key[lead][:-1])
-    group = np.cumsum(head) - 1
-    many = np.bincount(group)[group] > 1
-    lead, of = lead[many], np.flatnonzero(many)
-    if len(lead):
-        sizes = (bounds[1:] - bounds[:-1])[lead]
-        stops = np.cumsum(sizes + 1)
-        starts = stops - sizes - 1
-        symbols = np.ones(int(stops[-1]), np.int64)
-        inner = _spread(starts, sizes)
-        symbols[inner] = data[_spread(bounds[:-1][lead], sizes)].astype(np.int64) + 2
-        ends = np.append(np.flatnonzero(np.diff(group[many])), len(lead) - 1)
-        symbols[stops[ends] - 1] = 0
-        places = suffix_orders(symbols, np.concatenate([[0], stops[ends]]))
-        piece = np.repeat(np.arange(len(lead)), sizes + 1)
-        left = stops[piece] - 1 - np.arange(len(symbols))
-        places = places[left[places] >= length]
-        text = np.where(symbols >= 2, symbols - 2, 0).astype(np.uint8)
-        owner = least[of][piece[places]]
-        apart = np.ones(len(places), bool)
-        if len(places):
-            one = group[many][piece[places]]
-            apart[1:] = one[1:] != one[:-1]
-            near = np.flatnonzero(~apart)
-            apart[near] = ~_windows_equal(text, places[near - 1], places[near], length)
-            at = np.flatnonzero(apart)
-            smallest = np.repeat(np.minimum.reduceat(owner, at), np.diff(np.append(at, len(places))))
-            hit = np.sort(places[smallest < owner])
-            p, a, b = _united(piece[hit], hit - starts[piece[hit]], hit - starts[piece[hit]] + length)
-            # Every row that leads its piece, by the smallest document, has these runs.
-            leaders = np.flatnonzero(doc == least[which])
-            leaders = leaders[np.argsort(which[leaders], kind="stable")]
-            low, high = (np.searchsorted(which[leaders], of[p], side=s) for s in ("left", "right"))
-            n = high - low
-            rows.append(leaders[_spread(low, n)])
-            firsts.append(np.repeat(a, n))
-            lasts.append(np.repeat(b, n))
+    leaders = np.flatnonzero(doc == least[which])
+    leaders = leaders[np.argsort(which[leaders], kind="stable")]
+
+    def add(piece: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        """Runs of a piece hold for every row with the piece's smallest document."""
+        low, high = (np.searchsorted(which[leaders], piece, side=s) for s in ("left", "right"))
+        rows.append(leaders[_spread(low, high - low)])
+        firsts.append(np.repeat(first, high - low))
+        lasts.append(np.repeat(last, high - low))
+
+    piece = np.flatnonzero(many)
+    if len(piece):
+        at = lead[piece]
+        of, starts, stops = _candidates(key[at], data, bounds[:-1][at], bounds[1:][at], length)
+        piece, origin = piece[of], bounds[:-1][at][of]
+        if len(piece):
+            keys, docs = key[lead[piece]], least[piece]
+            part, first_of, more = _distinct(keys, docs, data, starts, stops)
+            lowest = docs[first_of]
+            later = docs > lowest[part]
+            add(piece[later], (starts - origin)[later], (stops - origin)[later])
+            open_parts = first_of[more]
+            if len(open_parts):
+                found, a, b = _smaller_elsewhere(keys[open_parts], docs[open_parts], data, starts[open_parts], stops[open_parts], length)
+                # Every stretch that is this string, in a piece with the same smallest document, has these runs.
+                number = np.flatnonzero(more)[found]
+                same = np.flatnonzero(~later)
+                same = same[np.argsort(part[same], kind="stable")]
+                low, high = (np.searchsorted(part[same], number, side=s) for s in ("left", "right"))
+                stretch = same[_spread(low, high - low)]
+                shift = (starts - origin)[stretch]
+                add(piece[stretch], np.repeat(a, high - low) + shift, np.repeat(b, high - low) + shift)
     return np.concatenate(rows), np.concatenate(firsts), np.concatenate(lasts)
 
 
