@@ -11,6 +11,7 @@ from premia.settings import Cleaning
 from premia.sources.schemas import COVARIATES, SNAKE_NAMES
 
 AMOUNTS = ("total_claim_amount", "capped_claim_amount", "excess_claim_amount", "max_claim_amount")
+# The reason and the notes are texts of the output tables.
 NO_SEVERITY_REASON = "claim_nb positive but no severity record"
 
 
@@ -157,6 +158,7 @@ def clean_stats(joined: DataFrame, claims: DataFrame, settings: Cleaning) -> Dat
     counts = counts.agg(*[F.max(c).alias(c) for c in counts.columns])
     large_note = F.format_string(f"capped %d claims at {cap:.2f} ({settings.large_loss_method})", "large")
     missing_note = F.format_string("%d policies have claims but no severity record", "missing")
+    # Step names and notes.
     steps = [
         ("cap_exposure", "policies", "policies", "exposure_hits", F.lit(f"clipped Exposure to {settings.exposure_cap}")),
         ("cap_claim_nb", "policies", "policies", "claim_hits", F.lit(f"clipped ClaimNb to {settings.claim_cap}")),

@@ -7,12 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 256
+#: Hot keys for each shuffle partition; a key that is not among them has at most an eighth of an even partition.
+HOT_KEYS_PER_PARTITION = 8
 
 
-def hot_keys(facts: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> DataFrame:
-    """The ``limit`` most frequent keys. Every key with at least 1/limit of the rows is among them, and the table
-    has at most ``limit`` rows however large the input is, so it may be broadcast."""
+def hot_keys(facts: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+    """The ``limit`` most frequent keys, by default a few per shuffle partition. Every key with at least 1/limit of the
+    rows is among them, and the table has at most ``limit`` rows, so it may be broadcast."""
+    limit = limit or HOT_KEYS_PER_PARTITION * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.where("_rows > 1").orderBy(F.desc("_rows")).limit(limit).select(*keys)
 
@@ -31,8 +33,9 @@ def salted_lookup(
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` (one row per key) on ``keys``; null keys match null keys.
 
-    Rows of hot keys are spread over ``salts`` sub-keys by a hash of ``spread_by`` and the matching lookup rows are
-    repeated once per sub-key, so no task receives a whole hot group. Cold keys are joined unchanged.
+    Rows of hot keys are spread over ``salts`` sub-keys by a hash of ``spread_by`` and of their place in the input, so
+    that rows that are equal in every column are spread, too. The matching lookup rows are repeated once per sub-key, so
+    no task receives a whole hot group. Cold keys are joined unchanged.
     """
     spark = facts.sparkSession
     n = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -42,7 +45,7 @@ def salted_lookup(
     left = facts.join(F.broadcast(hot_f), _same(facts, hot_f, [(k, f"_h_{k}") for k in keys]), "left")
     left = left.withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(n))).otherwise(F.lit(0)).cast("int"),
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by, F.monotonically_increasing_id()), F.lit(n))).otherwise(F.lit(0)).cast("int"),
     ).drop("_hot", *[f"_h_{k}" for k in keys])
 
     renamed = lookup.withColumnsRenamed({k: f"_k_{k}" for k in keys})

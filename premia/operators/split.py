@@ -85,4 +85,4 @@ def leak_sample(df: DataFrame, label_column: str = "split", size: int = 20) -> D
 def assert_no_leakage(df: DataFrame, label_column: str = "split") -> None:
     sample = [row[0] for row in leak_sample(df, label_column).collect()]
     if sample:
-        raise ValueError(f"policy_id appears under multiple splits: {sample}")
+        raise ValueError(f"the splits share policies, for example {sample}")

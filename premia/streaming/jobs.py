@@ -15,6 +15,8 @@ from premia.operators.quality import TableRules, with_reasons
 from premia.operators.quotes import PricingAssets, price_quotes
 from premia.settings import Settings
 
+#: How late a row may be by default. Rows that are later are not counted and quotes not priced; a source that is later
+#: than that needs a longer delay, which costs state.
 WATERMARK = "10 minutes"
 
 
@@ -30,9 +32,12 @@ def _bucket_columns(bounds) -> list[Column]:
     return [c.alias(n) for n, c in named]
 
 
-def request_metrics(log: DataFrame, bounds, window: str = "1 hour") -> DataFrame:
-    """Per window: requests, cumulative latency histogram, latency sum and count, mean prediction (0 without any)."""
-    source = log.withWatermark("ts", WATERMARK) if log.isStreaming else log
+def request_metrics(log: DataFrame, bounds, window: str = "1 hour", delay: str = WATERMARK) -> DataFrame:
+    """Per window: requests, cumulative latency histogram, latency sum and count, mean prediction (0 without any).
+
+    A stream leaves out rows that are more than ``delay`` behind the latest one.
+    """
+    source = log.withWatermark("ts", delay) if log.isStreaming else log
     return (
         source.groupBy(F.window("ts", window).alias("slot"))
         .agg(
@@ -69,8 +74,11 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(last).select(*keys, "r.*")
 
 
-def start_request_metrics(events: DataFrame, path: str, checkpoint: str, settings: Settings, **trigger) -> StreamingQuery:
-    return start_revising(request_metrics(events, settings.pricing.latency_buckets_ms), path, checkpoint, **trigger)
+def start_request_metrics(
+    events: DataFrame, path: str, checkpoint: str, settings: Settings, delay: str = WATERMARK, **trigger
+) -> StreamingQuery:
+    metrics = request_metrics(events, settings.pricing.latency_buckets_ms, delay=delay)
+    return start_revising(metrics, path, checkpoint, **trigger)
 
 
 def start_pricing(
@@ -80,16 +88,24 @@ def start_pricing(
     path: str,
     checkpoint: str,
     settings: Settings,
+    delay: str = WATERMARK,
     **trigger,
 ) -> StreamingQuery:
-    """Prices arriving quotes (request_id, ts and the quote fields) once each; invalid ones go to quarantine."""
-    judged = with_reasons(quotes.withWatermark("ts", WATERMARK).dropDuplicatesWithinWatermark(["request_id"]), rules)
+    """Prices arriving quotes (request_id, ts and the quote fields) once each; invalid ones go to quarantine.
+
+    Repeated ids are recognised within ``delay``; quotes that are later than that are dropped.
+    """
+    judged = with_reasons(quotes.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["request_id"]), rules)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where("_reason = ''").drop("_reason")
-        priced = price_quotes(good, assets, settings, keep=["request_id"])
-        priced.write.mode("overwrite").parquet(f"{path}/priced/batch={batch_id}")
-        batch.where("_reason <> ''").write.mode("overwrite").parquet(f"{path}/quarantine/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            good = batch.where("_reason = ''").drop("_reason")
+            priced = price_quotes(good, assets, settings, keep=["request_id"])
+            priced.write.mode("overwrite").parquet(f"{path}/priced/batch={batch_id}")
+            batch.where("_reason <> ''").write.mode("overwrite").parquet(f"{path}/quarantine/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = judged.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start()
