@@ -10,14 +10,20 @@ group's order is emitted.
 * Emitting: from the lowest suffix up, the suffix before each emitted one, and what its pointers lead to until a place
   that is already emitted, take the next free place of their group.
 
-No names are sorted again and nothing is recursive. All texts of a batch take a step together, so that a step is a few
-array operations over as many texts as still have groups; texts never look at each other.
+No names are sorted again and nothing is recursive. All short texts of a batch take a step together, so that a step is
+a few array operations over as many texts as still have groups; texts never look at each other. Texts longer than
+``LONG`` symbols, of which there are few, take the same steps one after the other.
 """
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 
+#: Symbols from which a text is handled alone: a step for all texts of a batch costs as much as some of its own.
+LONG = 400
+
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers from each start on, as many as its size, in a row."""
@@ -102,17 +108,87 @@ def lyndon_groups(symbols: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray,
     return group, before
 
 
+def _one_order(symbols: list[int]) -> list[int]:
+    """The order of the suffixes of one text, by the same steps."""
+    n = len(symbols)
+    order = sorted(range(n), key=symbols.__getitem__)
+    group, slot, before, size, start_of = [0] * n, [0] * n, [-1] * n, [0] * n, [0] * n
+    for at, i in enumerate(order):
+        slot[i] = at
+        group[i] = group[order[at - 1]] if at and symbols[order[at - 1]] == symbols[i] else at
+        size[group[i]] += 1
+        start_of[at] = group[i]
+    end = n - 1
+    while end >= 0:
+        at = start_of[end]
+        pointed: dict[int, int] = {}
+        for i in sorted(order[at : end + 1]):
+            j = i - 1
+            while j >= 0 and group[j] >= at:
+                j = before[j]
+            before[i] = j
+            if j >= 0:
+                pointed[j] = pointed.get(j, 0) + 1
+        # Groups are read before any changes.
+        moves = sorted((group[p], count, p) for p, count in pointed.items())
+        for old, rows in groupby(moves, key=lambda x: x[0]):
+            movers = list(rows)
+            stop = old + size[old]
+            base = stop - len(movers)
+            going = {p for _, _, p in movers}
+            pushed = [x for x in order[base:stop] if x not in going]
+            for to, x in zip([slot[p] for p in going if slot[p] < base], pushed, strict=True):
+                order[to], slot[x] = x, to
+            size[old] -= len(movers)
+            if size[old]:
+                start_of[base - 1] = old
+            last, head = None, base
+            for to, (_, count, p) in enumerate(movers, base):
+                order[to], slot[p] = p, to
+                if count != last:
+                    last, head = count, to
+                    size[head] = 0
+                group[p] = head
+                size[head] += 1
+                start_of[to] = head
+        end = at - 1
+    out, free, done = [0] * n, list(range(n)), [False] * n
+    out[0], done[n - 1] = n - 1, True
+    for rank in range(n):
+        j = out[rank] - 1
+        while j >= 0 and not done[j]:
+            out[free[group[j]]] = j
+            free[group[j]] += 1
+            done[j] = True
+            j = before[j]
+    return out
+
+
 def suffix_orders(symbols: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """The places of each text in the order of the suffixes that start there.
 
     ``symbols`` holds all texts in a row, text t from ``begins[t]`` to ``begins[t + 1]``. The last symbol of each text
     must be smaller than all its others. The result has the places of text t in the same range.
     """
+    lengths = np.diff(begins)
+    long = np.flatnonzero(lengths > LONG)
+    if len(long):
+        out = np.empty(len(symbols), np.int64)
+        for t in long:
+            low, high = begins[t], begins[t + 1]
+            out[low:high] = np.array(_one_order(symbols[low:high].tolist())) + low
+        short = np.flatnonzero(lengths <= LONG)
+        places = _spread(begins[short], lengths[short])
+        packed = np.concatenate([[0], np.cumsum(lengths[short])])
+        inner = suffix_orders(symbols[places], packed)
+        # Places of the packed texts are moved back to where the texts begin.
+        shift = np.repeat(begins[short] - packed[:-1], lengths[short])
+        out[places] = inner + shift
+        return out
     group, before = lyndon_groups(symbols, begins)
     out = np.full(len(symbols), -1, np.int64)
     free = np.arange(len(symbols))
     done = np.zeros(len(symbols), bool)
-    lengths = np.diff(begins)
     texts = np.argsort(-lengths, kind="stable")
     texts = texts[lengths[texts] > 0]
     lasts = begins[texts + 1] - 1
