@@ -208,6 +208,38 @@ def glm_tweedie(spark, sf):
     return _coefficients(spark, tune.train_glm(rows, "tweedie", S.modelling.tweedie_alpha, 1.5, S))
 
 
+def _gradients(rows: DataFrame, model: glm.FittedGlm, power: float) -> DataFrame:
+    """(term, gradient): the penalised score of every term per unit of weight, over the rows of the fit."""
+    names = [t.name for t in design.terms(model.design)]
+    w = F.col("sample_weight").cast("double")
+    pull = (w * (F.col("y") - F.col("_mu")) * F.pow("_mu", F.lit(1.0 - power))).alias("_pull")
+    sources = [*design.sources_of(model.design), *([] if "veh_power" in design.sources_of(model.design) else ["veh_power"])]
+    scored = rows.select(*dict.fromkeys(sources), "y", "sample_weight", model.prediction().alias("_mu"))
+    encoded = design.encoded_columns(scored.withColumns({"_pull": pull, "_w": w}), model.design, ["_pull", "_w"])
+    sums = encoded.agg(F.sum("_w").alias("_w"), F.sum("_pull").alias("intercept"), *[F.sum(F.col("_pull") * F.col(f"`{n}`")).alias(n) for n in names])
+    beta = {"intercept": 0.0, **dict(zip(names, model.coefficients))}
+    parts = [F.struct(F.lit(n).alias("term"), (F.col(f"`{n}`") / F.col("_w") - F.lit(model.alpha * b)).alias("gradient")) for n, b in beta.items()]
+    return sums.select(F.explode(F.array(*parts)).alias("g")).select("g.*")
+
+
+@query("glm_stationarity", "SELECT * FROM (VALUES ('frequency', true), ('severity', true), ('pure_premium', true)) AS t(use_case, stationary)")
+def glm_stationarity(spark, sf):
+    """Whether the penalised likelihood of each fit is flat in every term: relative to the mean target, below 1e-5."""
+    parts = []
+    for use_case, family, alpha, power in (
+        ("frequency", "poisson", 0.01, 1.0),
+        ("severity", "gamma", 0.01, 2.0),
+        ("pure_premium", "tweedie", S.modelling.tweedie_alpha, 1.5),
+    ):
+        rows = layers.split_of(spark, sf, use_case, "train")
+        model = tune.train_glm(rows, family, alpha, power if family == "tweedie" else None, S)
+        w = F.col("sample_weight").cast("double")
+        scale = rows.agg(F.sum(w * F.pow("y", F.lit(2.0 - power))) / F.sum(w)).first()[0]
+        flat = F.max(F.abs("gradient")) < 1e-5 * max(scale, 1.0)
+        parts.append(_gradients(rows, model, power).agg(flat.alias("stationary")).withColumn("use_case", F.lit(use_case)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _one_way(spark, sf, use_case: str, family: str, power: float | None, source: str):
     """An unregularised fit on one factor gives the weighted mean of every level."""
     rows = layers.split_of(spark, sf, use_case, "train")
@@ -335,6 +367,13 @@ def gbm_offset(spark, sf):
     return joined.withColumn("difference", F.abs(F.col("rate_form") - F.col("count_form")))
 
 
+@query("gbm_offset_equivalence", "SELECT count(*) AS policies, true AS same FROM gold_f WHERE split = 'train'")
+def gbm_offset_equivalence(spark, sf):
+    """Rate with exposure weight against count with ln(exposure) offset: equal predictions for every policy."""
+    rows = gbm_offset(spark, sf)
+    return rows.agg(F.count(F.lit(1)).alias("policies"), (F.max("difference") < 1e-9).alias("same"))
+
+
 @query("gbm_search")
 def gbm_search(spark, sf):
     """The best three seeded trials; tree number and depth are fixed to keep the run short."""
@@ -368,7 +407,7 @@ def _gold_files(spark, sf, use_case: str) -> str:
 @query("train_report")
 def train_report(spark, sf):
     root = _gold_files(spark, sf, "frequency")
-    training.train(spark, root, f"{root}/runs", "frequency", SHORT, register_as=S.pricing.frequency_model)
+    training.train(spark, root, f"{root}/runs", "frequency", S, register_as=S.pricing.frequency_model)
     return runs.run_log_metrics(runs.read_runs(spark, f"{root}/runs")).drop("run_id")
 
 

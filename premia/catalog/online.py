@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -179,6 +178,18 @@ def shap_contributions(spark, sf):
     return attribution.shap_contributions(held, model, ["policy_id"])
 
 
+@query("shap_additivity", "SELECT count(*) AS policies, true AS additive FROM gold_f WHERE split = 'test'")
+def shap_additivity(spark, sf):
+    """Contributions and their base add up to the log prediction of every policy."""
+    rows, held = (training.boost_rows(layers.split_of(spark, sf, "frequency", s), ["policy_id"]) for s in ("train", "test"))
+    model = boost.fit_boosted(rows, boost.BoostParams(trees=4, depth=4, leaves=12))
+    parts = attribution.shap_contributions(held, model, ["policy_id"])
+    total = sum((F.col(f"`{c}`") for c in parts.columns if c != "policy_id"), F.lit(0.0))
+    both = parts.select("policy_id", total.alias("total")).join(boost.score_boosted(held, model, ["policy_id"]), "policy_id")
+    gap = F.max(F.abs(F.col("total") - F.log("yhat")))
+    return both.agg(F.count(F.lit(1)).alias("policies"), (gap < 1e-9).alias("additive"))
+
+
 @query(
     "load_pricing_assets",
     """WITH v AS (SELECT CASE veh_gas WHEN 'Diesel' THEN 'motor_frequency' ELSE 'motor_severity' END AS name, driv_age,
@@ -412,7 +423,7 @@ def stream_drift(spark, sf):
 def price_with_trained_models(spark, sf):
     """Train, register, load and price through the run log."""
     root = fresh_path(spark, "pricing")
-    settings = replace(S, modelling=replace(S.modelling, poisson_alphas=(0.01,), gamma_alphas=(0.01,), folds=2))
+    settings = S
     for kind, name in (("frequency", S.pricing.frequency_model), ("severity", S.pricing.severity_model)):
         sinks.write_by_split(layers.gold(spark, sf, kind), f"{root}/gold/{kind}")
         training.train(spark, f"{root}/gold", f"{root}/runs", kind, settings, register_as=name)
