@@ -35,6 +35,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         conf.set(_CLEANUP, before)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_of(column: str) -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

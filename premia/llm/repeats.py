@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.llm.common import byte_rows, mixed, powers, run_hashes, slices, stored, text_of
+from premia.llm.common import byte_rows, discard, mixed, powers, run_hashes, slices, stored, text_of
 from premia.llm.suffixes import _spread, suffix_orders
 
 #: Bytes of the substrings whose hashes compete for being the anchor.
@@ -168,7 +168,7 @@ def _sent(docs: DataFrame, length: int) -> DataFrame:
                         part.column(0).take(take),
                         part.column(1).take(take),
                         pa.array(starts - offsets[rows]),
-                        pa.array(stops - offsets[rows]),
+                        pa.array(np.where(cut, stops - offsets[rows], 0)),
                         binary,
                     ],
                     names=["key", "doc", "th", "start", "stop", "piece"],
@@ -340,9 +340,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     of_docs = _document_anchors(usable, length).join(anchors, "anchor").groupBy("doc", "th")
     listed = stored(of_docs.agg(F.collect_list("anchor").alias("anchors"), F.collect_list(F.when(F.col("many"), F.col("anchor"))).alias("single")), "repeat-documents")
     sent = stored(_sent(usable.join(listed, ["doc", "th"]).select("doc", "th", "text", "anchors", "single"), length), "repeat-pieces")
+    discard(anchors, listed)
     gathered = sent.filter(F.col("key").isNotNull()).repartition("key").sortWithinPartitions("key")
     found = sent.filter(F.col("key").isNull()).select("doc", "th", "start", "stop").unionByName(_gathered(gathered, length))
     cuts = stored(found.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")), "repeat-cuts")
+    discard(sent)
     return _without(every.join(cuts, ["doc", "th"], "left").select("doc", "text", "cuts"))
 
 
