@@ -163,21 +163,23 @@ def _close(pairs: DataFrame, classes: DataFrame, ratio: float) -> DataFrame:
 
 
 def _full_sets(texts: DataFrame) -> DataFrame:
-    """``class`` and ``set`` (its shingle hashes in order); ``texts`` has ``class`` and ``text``."""
+    """``class``, ``set`` (its shingle hashes in order) and ``tops`` (their upper halves); ``texts`` has ``class`` and
+    ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 values, begins = shingle_sets(part.column(1))
-                rows = []
+                rows, tops = [], []
                 for i, wanted in enumerate(part.column(0).to_pylist()):
                     own = values[begins[i] : begins[i + 1]]
                     # A row may share the id of the wanted one and hold another text.
                     same = len(own) > 0 and digests(own, np.array([0, len(own)]))[0].tobytes() == wanted
                     rows.append(own.tobytes() if same else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.binary())], names=["class", "set"])
+                    tops.append((own >> np.uint64(32)).astype(np.uint32).tobytes())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.binary()), pa.array(tops, pa.binary())], names=["class", "set", "tops"])
 
-    found = texts.select("class", "text").mapInArrow(run, "class binary, set binary")
+    found = texts.select("class", "text").mapInArrow(run, "class binary, set binary, tops binary")
     return found.filter(F.col("set").isNotNull()).dropDuplicates(["class"])
 
 
@@ -223,12 +225,13 @@ def _shared_sizes(classes: DataFrame, sets: DataFrame) -> DataFrame:
     return lone.groupBy("class").agg(F.count("*").alias("own"))
 
 
-def _open_blocks(rows: DataFrame, classes: DataFrame, own: DataFrame, per_cent: int) -> DataFrame:
+def _open_blocks(rows: DataFrame, classes: DataFrame, own: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """Members that can still be linked, by key and in blocks."""
-    known = classes.select("class", "sig", "n_shingles").join(own, "class")
-    able = rows.join(known, "class").withColumn("shared", F.col("n_shingles") - F.col("own")).filter(100 * F.col("shared") >= per_cent * F.col("n_shingles"))
+    known = classes.select("class", "sig", "n_shingles").join(own, "class").withColumn("shared", F.col("n_shingles") - F.col("own"))
+    known = known.filter(100 * F.col("shared") >= per_cent * F.col("n_shingles")).join(sets.select("class", "tops"), "class")
+    able = rows.join(known, "class")
     numbered = able.withColumn("block", F.pmod(F.xxhash64("class"), F.ceil(F.col("n") / BLOCK)))
-    member = F.struct("class", "component", "sig", "n_shingles", "shared")
+    member = F.struct("class", "component", "sig", "n_shingles", "shared", "tops")
     blocks = numbered.groupBy("key", "block").agg(F.collect_list(member).alias("held"))
     lively = blocks.groupBy("key").agg(F.sum(F.size("held")).alias("n")).filter("n > 1").select("key")
     return blocks.join(lively, "key")
@@ -238,8 +241,9 @@ def _block_pairs(blocks: DataFrame, per_cent: int, closest: bool) -> DataFrame:
     """Pairs of different components within the distance, of all pairs of blocks of a key; with ``closest`` only the
     nearest one of every other component for each member.
 
-    What two members have in common is at most what each shares with anybody, which bounds their similarity. A pair
-    that meets at several keys is given at the first of them alone.
+    What two members have in common is at most what each shares with anybody, and at most as many shingle hashes as
+    agree in their upper halves; both bound their similarity. A pair that meets at several keys is given at the first of
+    them alone.
     """
     other = blocks.select("key", F.col("block").alias("block_b"), F.col("held").alias("held_b"))
     both = blocks.join(other, "key").filter(F.col("block") <= F.col("block_b")).select("key", "held", "held_b")
@@ -248,7 +252,7 @@ def _block_pairs(blocks: DataFrame, per_cent: int, closest: bool) -> DataFrame:
         for batch in batches:
             out: set[tuple[bytes, bytes]] = set()
             for key, left, right in zip(batch.column(0).to_numpy().view(np.uint64), batch.column(1), batch.column(2), strict=True):
-                x, y = ({k: side.values.field(i) for i, k in enumerate(("class", "component", "sig", "n", "shared"))} for side in (left, right))
+                x, y = ({k: side.values.field(i) for i, k in enumerate(("class", "component", "sig", "n", "shared", "tops"))} for side in (left, right))
                 names = {c: i for i, c in enumerate(dict.fromkeys([*x["component"].to_pylist(), *y["component"].to_pylist()]))}
                 cx, cy = (np.array([names[c] for c in z["component"].to_pylist()]) for z in (x, y))
                 if len(names) == 1:
@@ -265,6 +269,10 @@ def _block_pairs(blocks: DataFrame, per_cent: int, closest: bool) -> DataFrame:
                     first = np.argmax(kx[i] == ky[j], axis=1)
                     here = kx[i, first] == key
                     i, j, differ = i[here], j[here], differ[here]
+                    tx, ty = ([np.frombuffer(t.as_buffer(), np.uint32) for t in z["tops"]] for z in (x, y))
+                    common = np.array([(tx[p][np.minimum(np.searchsorted(tx[p], ty[q]), len(tx[p]) - 1)] == ty[q]).sum() for p, q in zip(i, j, strict=True)], float)
+                    may = 100 * common >= per_cent * (nx[i] + ny[j] - common)
+                    i, j, differ = i[may], j[may], differ[may]
                 if closest and len(i):
                     order = np.lexsort((differ, cy[j], i))
                     i, j = i[order], j[order]
@@ -299,7 +307,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         still = stored(_open_members(members.select("key", "class"), found), "neardup-open")
         own = _shared_sizes(still.select("class").distinct(), sets)
         known = still.select("class").distinct().join(own, "class", "left").select("class", F.coalesce("own", F.lit(0)).alias("own"))
-        blocks = stored(_open_blocks(still, classes, known, per_cent), "neardup-blocks")
+        blocks = stored(_open_blocks(still, classes, known, sets, per_cent), "neardup-blocks")
         if blocks.isEmpty():
             break
         more = stored(_confirmed(stored(_block_pairs(blocks, per_cent, closest), "neardup-pairs"), sets, per_cent), "neardup-links")
