@@ -22,17 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Shuffle files of a finished job are deleted at once instead of whenever the driver collects its garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back; the job's shuffle files, which nothing reads again, go at once."""
+def stored(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """Write once to the shared folder and read back; the job's shuffle files, which nothing reads again, go at once.
+
+    ``batch_rows`` is the most rows that Python gets at once, for rows that hold whole blocks.
+    """
     conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, "false")
-    conf.set(_CLEANUP, "true")
+    wanted = {_CLEANUP: "true"} | ({_BATCH: str(batch_rows)} if batch_rows else {})
+    before = {k: conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        conf.set(k, v)
     try:
         return workspace.stored(df, label)
     finally:
-        conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def discard(*tables: DataFrame) -> None:

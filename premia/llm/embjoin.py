@@ -264,7 +264,7 @@ def near_vectors(embeddings: DataFrame, least: float = 0.98, id_col: str = "vec_
     width = math.sqrt(max(0.0, 2 - 2 * least)) + 1e-6
     blocks = stored(_ordered_blocks(classes, principal_axes(classes), width), "ego-blocks")
     pairs = _near_blocks(_boxes(blocks))
-    found = stored(_links(blocks, pairs, least), "ego-links")
+    found = stored(_links(blocks, pairs, least), "ego-links", batch_rows=32)
     counts = found.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("links"))
     labels = components(found.select("a", "b")).withColumnRenamed("node", "class")
     per_class = classes.select("class", "n", "least").join(counts, "class", "left").join(labels, "class", "left")

@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         blocks = stored(_open_blocks(still, classes, known, sets, per_cent), "neardup-blocks")
         if blocks.isEmpty():
             break
-        more = stored(_confirmed(stored(_block_pairs(blocks, per_cent, closest), "neardup-pairs"), sets, per_cent), "neardup-links")
+        more = stored(_confirmed(stored(_block_pairs(blocks, per_cent, closest), "neardup-pairs", batch_rows=32), sets, per_cent), "neardup-links")
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
