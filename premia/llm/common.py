@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from premia import workspace
 
 #: Rows handed to Python at once; long rows are cut into smaller slices by ``slices``.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
