@@ -18,6 +18,8 @@ from premia.llm.common import stored, table
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 TOXIC_FROM = 0.5
+#: Similarity of two sets of five-word shingles from which documents are near copies.
+NEAR_PER_CENT = 80
 MASK = "[removed]"
 _REST = "__rest"
 
@@ -41,7 +43,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
-    stays = neardup.near_duplicates(docs).filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    stays = neardup.near_duplicates(docs, per_cent=NEAR_PER_CENT).filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     named = _packed(docs.filter(F.col("doc_id").isNotNull())).join(stored(stays, "pipeline-stays"), "doc_id", "left_semi")
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(_REST))
     once = named.withColumn("__n", F.row_number().over(same)).filter("__n = 1")

@@ -2,13 +2,15 @@
 
 A document is the set of its distinct five-word shingles. Its signature has ``SYMBOLS`` minima of independent hashes,
 of which 16 bits each are kept; two signatures differ in a symbol with probability one minus the similarity of the
-sets. A pair at the link threshold of 0.85 differs in more than ``DISTANCE`` of the 64 symbols with a probability of
-6e-7, and more similar ones less often still.
+sets. The distance follows from the link threshold (``reach``): a pair exactly at the threshold differs in more symbols
+with a probability of ``MISS`` at most (6e-7 for 25 of the 64 symbols at 85 per cent, 3e-7 for 30 at 80), and more
+similar ones less often still.
 
-All pairs of signatures within that distance are found by pigeonhole: the symbols are split into ``CHUNKS`` chunks, so
-two such signatures differ in at most ``DISTANCE // CHUNKS`` = 1 symbol of some chunk. Each chunk enters the index once
-per symbol that may differ, without that symbol; equal keys meet. The index finds every pair under the distance, at
-keys of four symbols that hardly ever agree by chance.
+All pairs of signatures within that distance are found by pigeonhole: the symbols are split into more than half as many
+chunks as may differ, so two such signatures differ in at most one symbol of some chunk. Each chunk enters the index
+once per symbol that may differ, without that symbol; equal keys meet. The index finds every pair under the distance,
+at keys of three or more symbols that hardly ever agree by chance. Thresholds below 78 per cent would need shorter keys
+and are an error.
 
 Equal sets are one class and are indexed once. Documents that share a key are not paired all with all: every member is
 compared with the smallest one, links join components, and only where members of a key still lie in different
@@ -26,6 +28,7 @@ that repeat an id give a row each; equal texts among them are copies like any ot
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +40,33 @@ from premia.llm.common import mixed, run_hashes, slices, stored, text_of, word_r
 from premia.llm.components import components
 
 SHINGLE = 5
-SYMBOLS, DISTANCE, CHUNKS = 64, 25, 13
+SYMBOLS = 64
+#: The most a pair at the threshold may be missed with, and the least symbols of a key.
+MISS, LEAST_KEY = 1e-6, 3
 #: Members of a key that are compared with each other at once.
 BLOCK = 256
 
 #: A-Z in lower case; space, tab, line feed, vertical tab, form feed and return end words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
 _SEEDS = np.random.Generator(np.random.PCG64(20240501)).integers(0, 1 << 63, (4, SYMBOLS + 1), np.uint64)
-_BORDERS = np.linspace(0, SYMBOLS, CHUNKS + 1).round().astype(int)
+
+
+def reach(per_cent: int) -> tuple[int, int]:
+    """The distance that a pair of this similarity exceeds with a probability of ``MISS`` at most, and the chunks in one
+    of which two signatures within it differ in one symbol at most."""
+    if not 0 < per_cent <= 100:
+        raise ValueError(f"per_cent must be above 0 and at most 100, not {per_cent}")
+    differ = 1 - per_cent / 100
+    chances = [comb(SYMBOLS, k) * differ**k * (1 - differ) ** (SYMBOLS - k) for k in range(SYMBOLS + 1)]
+    distance = next(d for d in range(SYMBOLS + 1) if sum(chances[d + 1 :]) <= MISS)
+    chunks = distance // 2 + 1
+    if SYMBOLS // chunks - 1 < LEAST_KEY:
+        raise ValueError(f"{SYMBOLS} symbols do not cover a similarity of {per_cent} per cent")
+    return distance, chunks
+
+
+#: What the default threshold needs.
+DISTANCE, CHUNKS = reach(85)
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,11 +115,12 @@ def digests(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.stack(parts, axis=1).astype(">u8").view(np.uint8).reshape(-1, 16)
 
 
-def index_keys(sigs: np.ndarray) -> np.ndarray:
+def index_keys(sigs: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """For each signature one key per chunk and symbol of it that may differ."""
+    borders = np.linspace(0, SYMBOLS, chunks + 1).round().astype(int)
     out = np.zeros(sigs.shape, np.uint64)
     wide = (sigs.astype(np.uint64) + np.uint64(1)) * (_SEEDS[2, :SYMBOLS] | np.uint64(1))
-    for low, high in zip(_BORDERS[:-1], _BORDERS[1:], strict=True):
+    for low, high in zip(borders[:-1], borders[1:], strict=True):
         total = wide[:, low:high].sum(axis=1, dtype=np.uint64)
         for k in range(low, high):
             out[:, k] = mixed((total - wide[:, k]) ^ _SEEDS[3, k])
@@ -136,27 +159,27 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, n_shingles long, class binary, sig binary")
 
 
-def _keys(classes: DataFrame) -> DataFrame:
+def _keys(classes: DataFrame, chunks: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
-                keys = index_keys(_unfixed(part.column(1), np.uint16, SYMBOLS))
+                keys = index_keys(_unfixed(part.column(1), np.uint16, SYMBOLS), chunks)
                 who = part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), SYMBOLS)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), who], names=["key", "class"])
 
     return classes.select("class", "sig").mapInArrow(run, "key long, class binary")
 
 
-def _close(pairs: DataFrame, classes: DataFrame, ratio: float) -> DataFrame:
+def _close(pairs: DataFrame, classes: DataFrame, per_cent: int, distance: int) -> DataFrame:
     """Candidate pairs whose signatures are within the distance and whose sizes allow a link."""
     side = lambda x: classes.select(F.col("class").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n_shingles").alias(f"n_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").filter((F.least("n_a", "n_b") >= ratio * F.greatest("n_a", "n_b")))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("n_a", "n_b") >= per_cent * F.greatest("n_a", "n_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (_unfixed(batch.column(k), np.uint16, SYMBOLS) for k in (2, 3))
-            near = pa.array((left != right).sum(axis=1) <= DISTANCE)
+            near = pa.array((left != right).sum(axis=1) <= distance)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
 
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
@@ -237,7 +260,7 @@ def _open_blocks(rows: DataFrame, classes: DataFrame, own: DataFrame, sets: Data
     return blocks.join(lively, "key")
 
 
-def _block_pairs(blocks: DataFrame, per_cent: int, closest: bool) -> DataFrame:
+def _block_pairs(blocks: DataFrame, per_cent: int, closest: bool, distance: int, chunks: int) -> DataFrame:
     """Pairs of different components within the distance, of all pairs of blocks of a key; with ``closest`` only the
     nearest one of every other component for each member.
 
@@ -262,10 +285,10 @@ def _block_pairs(blocks: DataFrame, per_cent: int, closest: bool) -> DataFrame:
                 most = np.minimum(mx[:, None], my[None])
                 i, j = np.nonzero((100 * most >= per_cent * (nx[:, None] + ny[None] - most)) & (cx[:, None] != cy[None]))
                 differ = (sx[i] != sy[j]).sum(axis=1)
-                near = differ <= DISTANCE
+                near = differ <= distance
                 i, j, differ = i[near], j[near], differ[near]
                 if len(i):
-                    kx, ky = index_keys(sx), index_keys(sy)
+                    kx, ky = index_keys(sx, chunks), index_keys(sy, chunks)
                     first = np.argmax(kx[i] == ky[j], axis=1)
                     here = kx[i, first] == key
                     i, j, differ = i[here], j[here], differ[here]
@@ -287,21 +310,21 @@ def _block_pairs(blocks: DataFrame, per_cent: int, closest: bool) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = 85) -> DataFrame:
     """One row per row of ``docs``: ``doc_id`` (the id), ``n_shingles``, ``component_id`` (smallest id reachable over
-    links, itself included) and ``kept`` (whether that is the row itself)."""
-    ratio = per_cent / 100
+    links, itself included) and ``kept`` (whether that is the row itself). ``per_cent`` is 78 or more, see ``reach``."""
+    distance, chunks = reach(per_cent)
     given = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     rows = stored(_sets(given), "neardup-sets")
     linkable = rows.filter(F.col("class").isNotNull() & F.col("id").isNotNull())
     first = F.min(F.struct("id", "n_shingles", "sig")).alias("first")
     classes = stored(linkable.groupBy("class").agg(first).select("class", "first.*"), "neardup-classes")
-    keys = _keys(classes)
+    keys = _keys(classes, chunks)
     shared = keys.groupBy("key").agg(F.min("class").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("key", "pivot")
     members = stored(keys.join(shared, "key"), "neardup-members")
     involved = stored(members.select("class").distinct().join(classes.select("class", "id"), "class"), "neardup-involved")
     sets = stored(_full_sets(given.join(involved, "id")), "neardup-full")
 
     stars = members.filter(F.col("pivot") != F.col("class")).select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    links = stored(_confirmed(stored(_close(stars, classes, ratio), "neardup-pairs"), sets, per_cent), "neardup-links")
+    links = stored(_confirmed(stored(_close(stars, classes, per_cent, distance), "neardup-pairs"), sets, per_cent), "neardup-links")
     found = components(links)
     for closest in (True, False):
         still = stored(_open_members(members.select("key", "class"), found), "neardup-open")
@@ -310,7 +333,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         blocks = stored(_open_blocks(still, classes, known, sets, per_cent), "neardup-blocks")
         if blocks.isEmpty():
             break
-        more = stored(_confirmed(stored(_block_pairs(blocks, per_cent, closest), "neardup-pairs", batch_rows=32), sets, per_cent), "neardup-links")
+        more = stored(_confirmed(stored(_block_pairs(blocks, per_cent, closest, distance, chunks), "neardup-pairs", batch_rows=32), sets, per_cent), "neardup-links")
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)

@@ -106,3 +106,22 @@ def test_symbols_estimate_similarity():
 
 def test_empty_table(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("per_cent", [78, 80, 85, 95, 100])
+def test_the_distance_follows_the_threshold(per_cent):
+    distance, chunks = neardup.reach(per_cent)
+    rng = np.random.default_rng(per_cent)
+    differ = (rng.random((2_000_000, neardup.SYMBOLS), np.float32) >= per_cent / 100).sum(axis=1)
+    assert (differ > distance).sum() <= 15
+    left = rng.integers(0, 1 << 16, (400, neardup.SYMBOLS)).astype(np.uint16)
+    right = left.copy()
+    for row in right:
+        row[rng.choice(neardup.SYMBOLS, distance, replace=False)] += 1
+    assert (neardup.index_keys(left, chunks) == neardup.index_keys(right, chunks)).any(axis=1).all()
+
+
+@pytest.mark.parametrize("per_cent", [0, 50, 77, 101])
+def test_thresholds_beyond_the_index_are_errors(spark, per_cent):
+    with pytest.raises(ValueError):
+        neardup.near_duplicates(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), per_cent=per_cent)

@@ -109,3 +109,21 @@ def test_empty_tables(spark, tmp_path, folder):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder[0]}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_from_four_fifths_on_go(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(204)]
+
+    def copy(shared):
+        """A document with this share of its shingles in common with the words."""
+        n = round(200 * shared)
+        return " ".join(words[: n + 4] + [f"x{rng.randrange(10**9)}" for _ in range(200 - n)])
+
+    rows = [(1, " ".join(words)), (2, copy(0.9)), (3, prose(rng, 80))]
+    # 180 of 220 shingles in common are 0.82; 174 of 226 are 0.77.
+    others = [(4, copy(0.87))]
+    left = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(ids(left)) == [1, 3]
+    left = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows[:1] + others, "doc_id long, text string"), "")
+    assert sorted(ids(left)) == [1, 4]
