@@ -12,9 +12,10 @@ numerous. Models of word pairs were tried and were much worse on held-out rows (
 before pruning), so the models have order one above the continuation counts.
 
 Counts come from all labelled documents that are used for learning, up to the documented bound ``most_labels`` (about
-that many rows, chosen by a hash of their id); exact copies count once. They are gathered in Spark, and only
-expressions that pass the test, at most ``most_expressions`` of the clearest, become the model that is sent to the
-tasks. One fifth of the learning rows is left out of the counts and sets the cut and the slope of the score. Labels,
+that many rows, chosen by a hash of their id); exact copies count once. They are gathered in Spark: the different pairs of
+left neighbour and expression are counted exactly, whatever their number. All expressions that pass the test become the
+model, or the ``most_expressions`` clearest if a caller asks for a bound. Texts are scored in passes over blocks of
+``BLOCK`` expressions, so that a task holds one block; several passes store the texts in between. One fifth of the learning rows is left out of the counts and sets the cut and the slope of the score. Labels,
 language, source and id are no inputs of a score.
 
 Null texts count as empty; a text without words scores like one without any telling expression. Labels that are null or
@@ -26,7 +27,7 @@ rows and null ids give rows. Extra columns are ignored unless they are named in
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -40,8 +41,8 @@ from premia.llm.decontaminate import _FOLD
 
 FOLDS = 5
 DISCOUNT = 0.75
-#: Bits that record which left neighbours an expression has had, for its number of different ones.
-SLOTS = 64
+#: Expressions of a model that a task holds at once, 16 bytes each.
+BLOCK = 500_000
 
 
 class Model(NamedTuple):
@@ -52,8 +53,13 @@ class Model(NamedTuple):
     slope: float
     share: float | None
 
-    def means(self, texts: pa.Array) -> np.ndarray:
-        """Difference of the log-likelihoods per word of each text."""
+    def blocks(self) -> list[Model]:
+        """The model in parts of ``BLOCK`` expressions; sums over the parts are those over the whole."""
+        cuts = range(0, max(len(self.words), 1), BLOCK)
+        return [self._replace(words=self.words[i : i + BLOCK], ratios=self.ratios[i : i + BLOCK]) for i in cuts]
+
+    def sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text, what its known words add to the difference of the log-likelihoods, and its number of words."""
         folded, starts, stops, rows = word_runs(texts, _FOLD)
         total = np.full(len(texts), 0.0)
         counts = np.bincount(rows, minlength=len(texts))
@@ -62,12 +68,17 @@ class Model(NamedTuple):
             place = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
             known = self.words[place] == hashes
             total = np.bincount(rows[known], weights=self.ratios[place[known]] - self.other, minlength=len(texts))
-        return total / np.maximum(counts, 1) + self.other
+        return total, counts
+
+    def means(self, texts: pa.Array, before: np.ndarray | float = 0.0) -> np.ndarray:
+        """Difference of the log-likelihoods per word of each text; ``before`` is what other blocks have added."""
+        total, counts = self.sums(texts)
+        return (total + before) / np.maximum(counts, 1) + self.other
 
-    def scores(self, texts: pa.Array) -> np.ndarray:
+    def scores(self, texts: pa.Array, before: np.ndarray | float = 0.0) -> np.ndarray:
         if self.share is not None:
             return np.full(len(texts), self.share)
-        return 1 / (1 + np.exp(-np.clip(self.slope * (self.means(texts) - self.cut), -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * (self.means(texts, before) - self.cut), -500, 500)))
 
 
 def fold_of(id_col: str = "doc_id") -> Column:
@@ -94,8 +105,9 @@ def _learning_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 
 
 def _counts(rows: DataFrame) -> DataFrame:
-    """Word hash, occurrences and documents by class, and the slots of left neighbours (``text``, ``toxic`` given)."""
-    names = ("word", "n0", "n1", "d0", "d1", "left")
+    """Word hash, occurrences and documents by class, and the number of different left neighbours, the start of a text
+    among them (``text``, ``toxic`` given)."""
+    names = ("word", "before", "n0", "n1", "d0", "d1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,19 +119,20 @@ def _counts(rows: DataFrame) -> DataFrame:
                 hashes = run_hashes(folded, starts, stops)
                 before = np.roll(hashes, 1)
                 before[np.append(True, row[1:] != row[:-1])] = 0
-                bits = np.uint64(1) << (before >> np.uint64(58))
-                order = np.argsort(hashes, kind="stable")
-                hashes, row, toxic, bits = hashes[order], row[order], toxic[order], bits[order]
-                new = np.append(True, hashes[1:] != hashes[:-1])
-                first = new | np.append(True, row[1:] != row[:-1])
-                at = np.flatnonzero(new)
+                # Documents are counted at the first place of a word in its text, whichever neighbour it has there.
+                order = np.lexsort((row, hashes))
+                first = np.zeros(len(hashes), bool)
+                first[order] = np.append(True, (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1]))
+                order = np.lexsort((before, hashes))
+                hashes, before, toxic, first = hashes[order], before[order], toxic[order], first[order]
+                at = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (before[1:] != before[:-1])))
                 sums = [np.add.reduceat(x.astype(np.int64), at) for x in (toxic == 0, toxic == 1, first & (toxic == 0), first & (toxic == 1))]
-                left = np.bitwise_or.reduceat(bits, at)
-                arrays = [hashes[at].view(np.int64), *sums, left.view(np.int64)]
+                arrays = [hashes[at].view(np.int64), before[at].view(np.int64), *sums]
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], names=list(names))
 
-    counted = rows.select("text", "toxic").mapInArrow(run, ", ".join(f"{c} long" for c in names))
-    return counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in names[1:5]], F.bit_or("left").alias("left"))
+    pairs = rows.select("text", "toxic").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    each = pairs.groupBy("word", "before").agg(*[F.sum(c).alias(c) for c in names[2:]])
+    return each.groupBy("word").agg(*[F.sum(c).alias(c) for c in names[2:]], F.count("*").alias("followed"))
 
 
 def learn(
@@ -129,7 +142,7 @@ def learn(
     text_col: str = "text",
     label_col: str = "toxic",
     most_labels: int = 1_000_000,
-    most_expressions: int = 200_000,
+    most_expressions: int | None = None,
     least_z: float = 4.5,
 ) -> Model:
     chosen = _learning_rows(docs, labels, id_col, text_col, label_col, most_labels)
@@ -148,19 +161,21 @@ def learn(
     p = sizes["counted_toxic"] / sizes["counted"]
     expected = (F.col("d0") + F.col("d1")) * p
     z = F.abs(F.col("d1") - expected) / F.sqrt(F.greatest(expected * (1 - p), F.lit(0.25)))
-    used = F.bit_count("left").cast("double")
-    followed = F.when(used < SLOTS, -SLOTS * F.log1p(-used / SLOTS)).otherwise(SLOTS * math.log(2 * SLOTS)) + 0.5
-    seen = counts.select("word", "n0", "n1", z.alias("z"), followed.alias("followed"))
+    seen = counts.select("word", "n0", "n1", z.alias("z"), (F.col("followed") + 0.5).alias("followed"))
     total = seen.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("followed").alias("followed")).first()
     if not total["n0"] or not total["n1"]:
         return Model(*empty, 0.0, 0.0, 1.0, sizes["toxic"] / sizes["n"])
-    kept = seen.filter(F.col("z") >= least_z).orderBy(F.desc("z"), "word").limit(most_expressions).collect()
-    kept.sort(key=lambda r: r["word"] % (1 << 64))
-    words = np.array([r["word"] for r in kept], np.int64).view(np.uint64)
-    shared = np.array([r["followed"] for r in kept]) / total["followed"]
+    telling = seen.filter(F.col("z") >= least_z)
+    if most_expressions is not None:
+        telling = telling.orderBy(F.desc("z"), "word").limit(most_expressions)
+    kept = telling.select("word", "n0", "n1", "followed").toArrow()
+    words, n0, n1, followed = (c.to_numpy() for c in kept.columns)
+    words = words.astype(np.int64).view(np.uint64)
+    order = np.argsort(words)
+    words, counted, shared = words[order], {"n0": n0[order], "n1": n1[order]}, followed[order] / total["followed"]
     logs, others = [], []
     for c in ("n0", "n1"):
-        own = np.maximum(np.array([r[c] for r in kept], float) - DISCOUNT, 0) / total[c]
+        own = np.maximum(counted[c] - DISCOUNT, 0) / total[c]
         freed = 1 - own.sum()
         logs.append(np.log(own + freed * shared))
         others.append(math.log(freed))
@@ -168,16 +183,38 @@ def learn(
     return _calibrated(model, rows.filter(F.col("fold") == FOLDS - 1))
 
 
+def _passed(rows: DataFrame, model: Model) -> tuple[DataFrame, Model]:
+    """``rows`` (texts in ``__text``) with what all but the last block of the model add, in ``__before``; that block."""
+    *blocks, last = model.blocks()
+    out = rows.withColumn("__before", F.lit(0.0))
+    for block in blocks:
+        out = stored(out.mapInArrow(_adding(block), out.schema), "toxicity-pass")
+    return out, last
+
+
+def _adding(block: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "__text"):
+                *columns, before = part.columns
+                added = block.sums(columns[-1])[0] + before.to_numpy()
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(added)], names=part.schema.names)
+
+    return run
+
+
 def _calibrated(model: Model, rows: DataFrame) -> Model:
     """Set the cut where most of the rows left out of the counts fall on the right side, and a slope to match."""
+    given, last = _passed(rows.select("toxic", F.col("text").alias("__text")), model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                place = np.rint(np.clip(model.means(part.column(0)), -20, 20) * 1e4).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(place), part.column(1)], names=["place", "toxic"])
+            for part in slices(batch, "__text"):
+                means = last.means(part.column(1), part.column(2).to_numpy())
+                place = np.rint(np.clip(means, -20, 20) * 1e4).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(place), part.column(0)], names=["place", "toxic"])
 
-    placed = rows.select("text", "toxic").mapInArrow(run, "place long, toxic int")
+    placed = given.mapInArrow(run, "place long, toxic int")
     table = sorted(placed.groupBy("place").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).collect())
     n, toxic = sum(r["n"] for r in table), sum(r["toxic"] for r in table)
     if not 0 < toxic < n:
@@ -201,10 +238,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kept = [id_col, *[c for c in keep if c != id_col]]
     given = docs.select(*[docs[c] for c in kept], text_of(text_col).alias("__text"))
     schema = T.StructType([*given.schema.fields[:-1], T.StructField("toxicity", T.DoubleType(), False)])
+    given, last = _passed(given, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "__text"):
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(model.scores(part.column(len(kept))))], names=[*kept, "toxicity"])
+                *columns, texts, before = part.columns
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(last.scores(texts, before.to_numpy()))], names=[*kept, "toxicity"])
 
     return given.mapInArrow(run, schema)

@@ -118,3 +118,38 @@ def test_bounds_and_missing_classes(spark, tables):
         model = toxicity.learn(docs, part)
         assert {r.toxicity for r in toxicity.score(docs, model).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), few).count() == 0
+
+
+def test_left_neighbours_are_counted_beyond_any_slots(spark):
+    texts = [(i, f"n{i % 5000} idiot n{i % 700} calm", 1) for i in range(10_000)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    counts = {r.word: r for r in toxicity._counts(rows).collect()}
+    word = lambda w: counts[int(word_hash(w).view("int64")[0])]
+    assert word("idiot").followed == 5000 and word("calm").followed == 700
+    assert (word("idiot").n1, word("idiot").d1, word("calm").d0) == (10_000, 10_000, 0)
+    again = spark.createDataFrame([(1, "a b a b b", 0), (2, "b a", 1)], "doc_id long, text string, toxic int")
+    counts = {r.word: r for r in toxicity._counts(again).collect()}
+    assert [tuple(word(w))[1:] for w in "ab"] == [(2, 1, 1, 1, 2), (3, 1, 1, 1, 3)]
+
+
+def word_hash(w):
+    folded, starts, stops, _ = toxicity.word_runs(pa_string([w]), toxicity._FOLD)
+    return toxicity.run_hashes(folded, starts, stops)
+
+
+def test_many_blocks_score_like_one(spark, tables, monkeypatch):
+    docs, labels = tables
+    whole = toxicity.learn(docs, labels)
+    key = lambda model: sorted(((r.doc_id is None, r.doc_id, r.toxicity) for r in toxicity.score(docs, model).collect()), key=str)
+    expected = key(whole)
+    monkeypatch.setattr(toxicity, "BLOCK", 2)
+    parts = toxicity.learn(docs, labels)
+    assert len(parts.words) == len(whole.words) > 2 and (parts.cut, parts.slope) == (whole.cut, whole.slope)
+    for a, b in zip(key(parts), expected, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
+
+
+def test_no_default_bound_on_the_expressions():
+    import inspect
+
+    assert inspect.signature(toxicity.learn).parameters["most_expressions"].default is None
