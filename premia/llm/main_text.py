@@ -11,8 +11,14 @@ two counts for each element name of the fixed list.
 * A word weighs one; outside of the marked content of a page that has one, and inside of links, it weighs little.
 * An element that is page furniture by its name, role or class (menus, headers, footers, sidebars, notices, adverts,
   forms, reader comments, scripts, styles) never gives text. It enters the sequence as a single tag of the least cost,
-  as it may stand between two paragraphs as well as outside of the content. An element around all marked content, or one that only its class makes furniture and
-  that holds a first-level heading on a page without marks, is no furniture.
+  as it may stand between two paragraphs as well as outside of the content. Class and id make only block containers
+  furniture, and only by a name that consists of nothing but furniture and layout words (``cookie-notice``, ``ad-top``).
+  In doubt, where a container's class holds such a word among others (``share-value``) or a class of that kind is that of
+  a paragraph, heading or inline tag, the element stays and its words weigh as little as those of links. Anything else
+  (``<h2 id="form-validation">``, ``<p class="share-price">``) is content like any other.
+* An element around all marked content, or one that only its class makes furniture and that holds a first-level heading
+  on a page without marks, is no furniture. Neither is one that only its name makes furniture, such as a form, and that
+  holds most words outside of links of a page without marks.
 
 Within the run, character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined by one line feed, empty blocks vanish. Nothing is cut by length. Ties go to the first, longest run.
@@ -60,7 +66,14 @@ FURNITURE_WORDS = frozenset(
     "newsletter subscribe signup login share sharing social related recommended comment comments disqus replies respond form "
     "pagination pager toolbar skip".split()
 )
+LAYOUT_WORDS = frozenset(
+    "top bottom left right main site box bar block area panel widget container wrapper wrap inner outer list item items links "
+    "button buttons icon icons posts articles stories".split()
+)
 LANDMARKS = ("article", "main")
+#: Blocks that class and id can make furniture, and furniture names that can stand around a whole page.
+CONTAINERS = BLOCKS - frozenset("h1 h2 h3 h4 h5 h6 hgroup p pre blockquote dt dd caption figcaption address legend summary br hr".split())
+WRAPPERS = frozenset("form header footer aside nav menu dialog".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -103,18 +116,38 @@ class Weights(NamedTuple):
         return -cost * (self.border if item.name in LANDMARKS else 1.0)
 
 
-def _is_furniture(name: str, rest: str) -> bool:
-    if name in FURNITURE:
-        return True
+def _by_marks(name: str, rest: str) -> tuple[bool, bool]:
+    """Whether role, class or id make an element furniture, and whether they leave that in doubt."""
+    doubt = False
     if not rest or name in ("body", "html") or name in LANDMARKS and "comment" not in rest:
-        return False
+        return False, False
     for mark in _ATTRIBUTE.finditer(rest):
         kind, value = mark[1].lower(), (mark[2] or mark[3] or mark[4] or "").lower()
         if kind == "hidden" or kind == "role" and value in FURNITURE_ROLES:
-            return True
-        if kind in ("class", "id") and not FURNITURE_WORDS.isdisjoint(_PART.findall(value)):
-            return True
-    return False
+            return True, False
+        if kind in ("class", "id"):
+            for token in value.split():
+                parts = _PART.findall(token)
+                if not FURNITURE_WORDS.isdisjoint(parts):
+                    whole = all(x in FURNITURE_WORDS or x in LAYOUT_WORDS for x in parts)
+                    if whole and name in CONTAINERS:
+                        return True, False
+                    doubt |= kind == "class" and whole != (name in CONTAINERS)
+    return False, doubt
+
+
+def _is_furniture(name: str, rest: str) -> bool:
+    return name in FURNITURE or _by_marks(name, rest)[0]
+
+
+def _plain_words(tokens: list[tuple[str, bool, str, str]], ends: dict[int, int]) -> list[int]:
+    """How many words stand before each token, without those of links and of elements that never give text."""
+    before, skip = [0], -1
+    for i, (name, closing, rest, text) in enumerate(tokens):
+        if name and not closing and i > skip and (name == "a" or name in FURNITURE and name not in WRAPPERS):
+            skip = max(skip, ends.get(i, i))
+        before.append(before[-1] + (0 if name or i < skip else len(text.split())))
+    return before
 
 
 def _tokens(html: str) -> Iterator[tuple[str, bool, str, str]]:
@@ -142,6 +175,7 @@ def parse(html: str) -> tuple[list[Item], int]:
     marked_by = next((m for m in LANDMARKS if starts[m]), "")
     content = starts.get(marked_by, [])
     borders = set(content)
+    before = [] if marked_by else _plain_words(tokens, ends)
     items: list[Item] = []
     skip, inside, links, marks = -1, -1, -1, 0
     for i, (name, closing, rest, text) in enumerate(tokens):
@@ -154,14 +188,15 @@ def parse(html: str) -> tuple[list[Item], int]:
         if not closing and _is_furniture(name, rest):
             end = ends.get(i, i)
             holds = (content, starts["h1"])[name not in FURNITURE and not marked_by]
-            if not holds or bisect(holds, end) - bisect(holds, i) < len(holds):
+            most = bool(before) and name in WRAPPERS and not _by_marks(name, rest)[0] and 2 * (before[end] - before[i]) > before[-1]
+            if not most and (not holds or bisect(holds, end) - bisect(holds, i) < len(holds)):
                 skip = end
                 items.append(Item(ASIDE, "", 0, i < inside, False, name not in INLINE and name not in ("script", "style")))
                 continue
         if i in borders and i >= inside:
             inside, marks = ends.get(i, i), marks + 1
-        if name == "a" and not closing:
-            links = ends.get(i, i)
+        if not closing and (name == "a" or _by_marks(name, rest)[1]):
+            links = max(links, ends.get(i, i))
         if name == "br":
             items.append(Item("br", " ", 0, i < inside, False, False))
         else:

@@ -82,3 +82,29 @@ def test_rows_nulls_and_labels(spark):
     assert M.extract(pages.limit(0)).count() == 0
     learned = M.learn_weights(pages)
     assert learned.tags["article"] > learned.tags["h1"]
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        '<h2 id="form-validation">Form validation</h2>',
+        '<section id="related-work"><h2>Related work</h2><p>Others did this before us</p></section>',
+        '<h3 id="sharing-data">Sharing data</h3>',
+        '<p class="share-price">The price of a share rose</p>',
+        '<p>He said <em class="ad-hoc">yes indeed</em> twice</p>',
+        '<div class="comment-syntax">Comments start with two slashes</div>',
+    ],
+)
+@pytest.mark.parametrize("mark", ["article", "div"])
+def test_names_that_only_hold_a_furniture_word_are_content(inner, mark):
+    page = f"<body><nav>menu one</nav><{mark}><h1>Title</h1><p>alpha beta gamma delta</p>{inner}<p>epsilon zeta eta theta</p></{mark}><footer>end</footer></body>"
+    words = " ".join(M._TOKEN.sub(" ", inner).split())
+    assert " ".join(M.main_text(page, WEIGHTS).split()) == f"Title alpha beta gamma delta {words} epsilon zeta eta theta"
+    last = page.replace("<p>epsilon zeta eta theta</p>", "")
+    assert " ".join(M.main_text(last, WEIGHTS).split()) == f"Title alpha beta gamma delta {words}"
+
+
+def test_a_form_around_the_page_is_no_furniture():
+    inner = "<nav><a href=x>menu one</a></nav><div><h1>Title</h1><p>alpha beta gamma delta</p><p>epsilon zeta</p></div><select><option>x y z</select><footer>end</footer>"
+    assert M.main_text(f'<body><form method="post" id="aspnet">{inner}</form></body>', WEIGHTS) == "Title\nalpha beta gamma delta\nepsilon zeta"
+    assert M.main_text("<body><p>alpha beta gamma delta</p><form><p>your name</p></form></body>", WEIGHTS) == "alpha beta gamma delta"
