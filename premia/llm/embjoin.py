@@ -51,11 +51,14 @@ def _vectors(given: DataFrame) -> DataFrame:
                 raw = None
                 if ok and vector.is_valid and len(vector) and not vector.values.null_count:
                     x = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                    if np.isfinite(x).all() and 0 < float(x @ x) < math.inf:
-                        raw = (x + 0.0).tobytes()
+                    largest = float(np.abs(x).max())
+                    if 0 < largest < math.inf:
+                        # A power of two changes no cosine; without it, squares of such components over- or underflow.
+                        scaled = x if 1e-100 < largest < 1e100 else np.ldexp(x, -math.frexp(largest)[1])
+                        raw = (scaled + 0.0).tobytes()
                 raws.append(raw)
                 sizes.append(len(raw) // 8 if raw else None)
-                classes.append(blake2b(raw, digest_size=16, key=str(label.as_py()).encode()[:64]).digest() if raw else None)
+                classes.append(blake2b(raw, digest_size=16, key=blake2b(f"{label.type} {label.as_py()}".encode()).digest()).digest() if raw else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(classes, pa.binary()), batch.column(1), pa.array(sizes, pa.int64()), pa.array(raws, pa.binary())],
                 names=["id", "class", "label", "size", "raw"],

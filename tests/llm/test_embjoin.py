@@ -78,3 +78,19 @@ def test_distant_blocks_are_skipped(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert embjoin.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_long_labels_that_differ_late_are_not_equal(spark):
+    stem = "/a/long/path/" * 8
+    rows = [(i, [1.0, 2.0, 3.0], f"{stem}{i % 2}") for i in range(6)] + [(6, [1.0, 2.0, 3.0], stem)]
+    out = embjoin.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == brute(rows)
+
+
+def test_very_large_and_very_small_vectors_are_linked(spark):
+    base = np.array([1.0, 2.0, 3.0])
+    turned = np.array([1.0, 2.0, 3.1])
+    vectors = [base, base * 1e200, turned * 1e307, base * 1e-200, turned * 1e-300, -base * 1e250, np.array([0.0, 0.0, 5e-324])]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    out = embjoin.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(i, 4, 0) for i in range(5)] + [(5, 0, 5), (6, 0, 6)]
