@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, embjoin, main_text, neardup, repeats, resampling, secrets, toxicity, warc
+from premia.llm import bpe, decontaminate, embjoin, exactdup, main_text, neardup, repeats, resampling, secrets, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -211,6 +211,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_warc_archive": op2_warc_archive,
@@ -222,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_byte_repeats": op9_byte_repeats,
     "op10_toxicity": op10_toxicity,
+    "op12_exact_duplicates": op12_exact_duplicates,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_archive": OP2_SQL,
@@ -230,4 +243,5 @@ ORACLES: dict[str, str] = {
     "op7_secret_scan": OP7_SQL,
     "op8_near_duplicates": OP8_SQL,
     "op9_byte_repeats": OP9_SQL,
+    "op12_exact_duplicates": OP12_SQL,
 }
