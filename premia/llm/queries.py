@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, embjoin, exactdup, main_text, neardup, repeats, resampling, secrets, toxicity, warc
+from premia.llm import bpe, decontaminate, embjoin, exactdup, main_text, merkle, neardup, repeats, resampling, secrets, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -211,6 +211,74 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("doc_id").cast("string")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(number) % 3 == 0, lowered).otherwise(F.col("text"))
+    found = merkle.manifest_of(table(spark, sf_dir, "documents"), LEAF_FIELDS, "doc_id", "lang", {"text": tampered})
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _tree_sql(name: str, leaves: str, levels: int) -> str:
+    """CTEs of one forest: ``<name><k>`` (t, i, n, h) are its nodes of height k, ``<name>s<k>`` their joined siblings."""
+    parts = [f"{name}0 AS ({leaves})"]
+    for k in range(levels):
+        this = f"{name}{k}"
+        parts.append(
+            f"{name}s{k} AS (SELECT a.t, a.i, a.n, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS lo, "
+            f"coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS hi "
+            f"FROM {this} a JOIN {this} b ON a.t = b.t AND a.i // 8 = b.i // 8 GROUP BY a.t, a.i, a.n)"
+        )
+        parts.append(
+            f"{name}{k + 1} AS (SELECT t, i // 8 AS i, (n + 7) // 8 AS n, "
+            f"CASE WHEN n = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {this} GROUP BY t, i // 8, n)"
+        )
+    return ",\n".join(parts)
+
+
+def _folded_sql(name: str, of: str, levels: int) -> str:
+    """CTEs that fold ``of`` (doc, t, i, f, p): the changed digest ``f`` goes up, the proof ``p`` grows."""
+    parts = []
+    for k in range(levels):
+        parts.append(
+            f"{name}f{k + 1} AS (SELECT doc, o.t, o.i // 8 AS i, CASE WHEN n = 1 THEN f ELSE sha256(lo || f || hi) END AS f, "
+            f"p || lo || hi AS p FROM {of if k == 0 else f'{name}f{k}'} o JOIN {name}s{k} s ON o.t = s.t AND o.i = s.i)"
+        )
+    return ",\n".join(parts)
+
+
+def _framed_sql(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR) END"
+
+
+#: The SQL goes up to eight levels of documents and three of languages: 16 million documents a language.
+OP11_SQL = f"""
+WITH d AS (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+  dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM documents),
+crc AS (SELECT list(c ORDER BY k) AS tab FROM (
+  WITH RECURSIVE r(k, step, c) AS (SELECT range, 0, range FROM range(256)
+    UNION ALL SELECT k, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM r WHERE step < 8)
+  SELECT k, c FROM r WHERE step = 8)),
+c AS (SELECT d.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda a, b: xor(a >> 8, tab[1 + (xor(a, b) & 255)])), 4294967295) AS crc FROM d, crc),
+h AS (SELECT doc_id, lang, t, row_number() OVER (PARTITION BY t ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY t) AS n,
+  sha256({" || ".join(_framed_sql(c) for c in LEAF_FIELDS)}) AS h,
+  sha256({" || ".join(_framed_sql("(CASE WHEN crc % 3 = 0 THEN lowered ELSE text END)" if c == "text" else c) for c in LEAF_FIELDS)}) AS f FROM c),
+{_tree_sql("a", "SELECT t, i, n, h FROM h", 8)},
+u AS (SELECT t, h FROM a8),
+{_tree_sql("b", "SELECT 0 AS t, t AS i, count(*) OVER () AS n, h FROM u", 3)},
+l0 AS (SELECT doc_id AS doc, t, i, f, '' AS p FROM h),
+{_folded_sql("a", "l0", 8)},
+m0 AS (SELECT doc, 0 AS t, t AS i, f, p FROM af8),
+{_folded_sql("b", "m0", 3)}
+SELECT doc_id, h.h AS leaf, u.h AS subroot, b3.h AS root, sha256(p) AS proof_sha256, bf3.f AS folded_root, bf3.f = b3.h AS verified
+FROM h JOIN u ON h.t = u.t JOIN bf3 ON doc = doc_id, b3
+"""
+
+
 def op12_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -234,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_byte_repeats": op9_byte_repeats,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_exact_duplicates": op12_exact_duplicates,
 }
 ORACLES: dict[str, str] = {
@@ -243,5 +312,6 @@ ORACLES: dict[str, str] = {
     "op7_secret_scan": OP7_SQL,
     "op8_near_duplicates": OP8_SQL,
     "op9_byte_repeats": OP9_SQL,
+    "op11_merkle_manifest": OP11_SQL,
     "op12_exact_duplicates": OP12_SQL,
 }
