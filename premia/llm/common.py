@@ -23,15 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: Shuffle files of a finished job are deleted at once instead of whenever the driver collects its garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxBytesPerOutputBatch")
 
 
-def stored(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, batch_rows: int | None = None, batch_bytes: int | None = None) -> DataFrame:
     """Write once to the shared folder and read back; the job's shuffle files, which nothing reads again, go at once.
 
-    ``batch_rows`` is the most rows that Python gets at once, for rows that hold whole blocks.
+    ``batch_rows`` is the most rows that Python gets at once, for rows that hold whole blocks; ``batch_bytes`` bounds a
+    batch either way by its bytes, for rows that hold whole texts.
     """
     conf = df.sparkSession.conf
     wanted = {_CLEANUP: "true"} | ({_BATCH: str(batch_rows)} if batch_rows else {})
+    wanted |= dict.fromkeys(_BATCH_BYTES, str(batch_bytes)) if batch_bytes else {}
     before = {k: conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         conf.set(k, v)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, decontaminate, embjoin, exactdup, main_text, merkle, neardup, repeats, resampling, secrets, toxicity, warc
+from premia.llm import bpe, decontaminate, embjoin, exactdup, main_text, merkle, neardup, repeats, resampling, search, secrets, toxicity, warc
 from premia.llm.common import table
 from premia.workspace import fresh_path
 
@@ -291,6 +291,27 @@ FROM d
 """
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, row_number() OVER () AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+q AS (SELECT item, item_id, term, count(*) AS q FROM (SELECT item, item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS nd, CAST(sum(len(w)) AS BIGINT) AS nl FROM d),
+m AS (SELECT doc_id, 25 + (75 * len(w) * nd) // nl AS m FROM d, s WHERE len(w) > 0),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+g AS (SELECT item, item_id, t.doc_id, CAST(sum(q * CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN t ON q.term = t.term JOIN f ON f.term = q.term JOIN m ON m.doc_id = t.doc_id, s GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INT) AS rank FROM g WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_warc_archive": op2_warc_archive,
@@ -304,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_exact_duplicates": op12_exact_duplicates,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLES: dict[str, str] = {
     "op2_warc_archive": OP2_SQL,
@@ -314,4 +336,5 @@ ORACLES: dict[str, str] = {
     "op9_byte_repeats": OP9_SQL,
     "op11_merkle_manifest": OP11_SQL,
     "op12_exact_duplicates": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
