@@ -31,7 +31,7 @@ BLOCK_TERMS = 1_000_000
 #: Documents and term entries of one trie.
 CHUNK_DOCS, CHUNK_ENTRIES = 8192, 1_500_000
 #: Subtrees of at most this many documents are scored one by one.
-LEAF_DOCS = 16
+LEAF_DOCS = 32
 #: Bytes of a text that are split into terms at once.
 PIECE = 1 << 20
 #: Bytes of documents that Python gets at once, one document at least.
@@ -95,23 +95,26 @@ def _vectors(vocabulary):
 class Trie:
     """Documents ``first[i]:last[i]`` (sorted by their term sequences) lie below node i; children follow their parent.
 
-    ``leaf`` nodes are scored document by document. ``term_at[t]:term_at[t + 1]`` are the places of term t in
-    ``node, most``: the nodes below which it occurs and its largest count there.
+    Nodes without children are scored document by document. ``term_at[t]:term_at[t + 1]`` are the places of term t in
+    ``node, most, reach``: the nodes below which it occurs, its largest count there and what it can contribute at best.
+    ``gain`` is what each entry of a document contributes.
     """
 
     first: np.ndarray
     last: np.ndarray
-    children: list[list[int]]
+    children: list[np.ndarray]
     least_m: np.ndarray
     least_id: np.ndarray
     term_at: np.ndarray
     node: np.ndarray
     most: np.ndarray
+    reach: np.ndarray
     ids: np.ndarray
     m: np.ndarray
     at: np.ndarray
     ranks: np.ndarray
     counts: np.ndarray
+    gain: np.ndarray
 
 
 def _shared(ranks: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -174,7 +177,7 @@ def build_trie(ids: np.ndarray, m: np.ndarray, vectors: list[tuple[np.ndarray, n
     """``vectors`` hold, per document, its ranks in rising order and their counts."""
     keys = [r.astype(">i4").tobytes() for r, _ in vectors]
     order = sorted(range(len(keys)), key=lambda i: (keys[i], ids[i]))
-    ranks = np.concatenate([vectors[i][0] for i in order])
+    ranks = np.concatenate([vectors[i][0] for i in order]).astype(np.intp)
     counts = np.concatenate([vectors[i][1] for i in order]).astype(np.int64)
     at = np.concatenate([[0], np.cumsum([len(vectors[i][0]) for i in order])])
     ids, m = ids[order], m[order]
@@ -207,7 +210,10 @@ def build_trie(ids: np.ndarray, m: np.ndarray, vectors: list[tuple[np.ndarray, n
     key, most = np.concatenate([k for k, _ in found]), np.concatenate([v for _, v in found])
     by_term = np.argsort(key % span, kind="stable")
     term_at = np.searchsorted((key % span)[by_term], np.arange(n_terms + 1))
-    return Trie(first, last, children, least_m, least_id, term_at, (key // span)[by_term], most[by_term], ids, m, at, ranks, counts)
+    node, most = (key // span)[by_term], most[by_term]
+    kids = [np.array(c, np.int64) for c in children]
+    reach, gain = gains(most, least_m[node]), gains(counts, np.repeat(m, np.diff(at)))
+    return Trie(first, last, kids, least_m, least_id, term_at, node, most, reach, ids, m, at, ranks, counts, gain)
 
 
 def _maxima(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,30 +234,27 @@ def search_trie(trie: Trie, ranks: np.ndarray, weights: np.ndarray, weight_of: n
     ``weight_of`` is a table over all ranks, zero outside of ``ranks``.
     """
     bound = np.zeros(len(trie.first), np.int64)
-    for rank, weight in zip(ranks.tolist(), weights.tolist(), strict=True):
-        a, b = trie.term_at[rank], trie.term_at[rank + 1]
+    for a, b, weight in zip(trie.term_at[ranks].tolist(), trie.term_at[ranks + 1].tolist(), weights.tolist(), strict=True):
         # A term stands once per node.
-        bound[trie.node[a:b]] += weight * gains(trie.most[a:b], trie.least_m[trie.node[a:b]])
+        bound[trie.node[a:b]] += weight * trie.reach[a:b]
     scored = 0
     stack = [0]
     while stack:
         node = stack.pop()
-        high = int(bound[node])
-        if high <= 0 or (len(top) == most and (high, -int(trie.least_id[node])) <= top[0]):
+        if bound[node] <= 0 or (len(top) == most and (bound[node], -trie.least_id[node]) <= top[0]):
             continue
         below = trie.children[node]
-        if below:
+        least = top[0][0] if len(top) == most else 1
+        if len(below):
             # The most promising child is walked first.
-            stack += sorted(below, key=lambda c: (bound[c], -trie.least_id[c]))
+            below = below[bound[below] >= least]
+            stack += below[np.lexsort((-trie.least_id[below], bound[below]))].tolist()
             continue
-        a, b = int(trie.first[node]), int(trie.last[node])
-        scored += b - a
+        a, b = trie.first[node], trie.last[node]
+        scored += int(b - a)
         lo, hi = trie.at[a], trie.at[b]
-        places = np.flatnonzero(weight_of[trie.ranks[lo:hi]]) + lo
-        doc = np.searchsorted(trie.at, places, side="right") - 1
-        score = np.zeros(b - a, np.int64)
-        np.add.at(score, doc - a, weight_of[trie.ranks[places]] * gains(trie.counts[places], trie.m[doc]))
-        for i in np.flatnonzero(score).tolist():
+        score = np.add.reduceat(weight_of[trie.ranks[lo:hi]] * trie.gain[lo:hi], trie.at[a:b] - lo)
+        for i in np.flatnonzero(score >= least).tolist():
             entry = (int(score[i]), -int(trie.ids[a + i]))
             if len(top) < most:
                 heapq.heappush(top, entry)

@@ -106,7 +106,7 @@ def test_trie_bounds_hold_and_spare_documents():
     # Nodes split their parent's documents; the maxima are those of the documents below.
     for i, below in enumerate(trie.children):
         spans = sorted((trie.first[c], trie.last[c]) for c in below)
-        if below:
+        if len(below):
             assert spans[0][0] == trie.first[i] and spans[-1][1] == trie.last[i]
             assert all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
         else:
