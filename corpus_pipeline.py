@@ -3,18 +3,18 @@ are masked, and what remains becomes token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
 one's ``docs``. All but the last return the columns of ``docs``, whatever they are called. Null and repeated rows are
-handled as each operator says; rows that are equal in id and text count once after the second stage, rows without an
-id always stay there. Empty tables give empty results.
+handled as each operator says. In the second stage rows that are equal in id and text count once, rows that share an id
+alone are documents of their own, and rows without an id always stay. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premia.llm import bpe, decontaminate, neardup, secrets, toxicity
-from premia.llm.common import stored, table
+from premia.llm.common import small_batches, stored, table
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 TOXIC_FROM = 0.5
@@ -42,12 +42,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
-    stays = neardup.near_duplicates(docs, per_cent=NEAR_PER_CENT).filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    named = _packed(docs.filter(F.col("doc_id").isNotNull())).join(stored(stays, "pipeline-stays"), "doc_id", "left_semi")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(_REST))
-    once = named.withColumn("__n", F.row_number().over(same)).filter("__n = 1")
-    return _unpacked(once, docs).unionByName(docs.filter(F.col("doc_id").isNull()))
+    """The document with the smallest id of each group of near-duplicates; a document is an id and a text."""
+    kind = docs.schema["doc_id"].dataType
+    digest = F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 32)
+    key = F.concat(F.col("doc_id").cast("string"), F.lit(":"), digest)
+    named = _packed(docs.filter(F.col("doc_id").isNotNull())).withColumn("__key", key)
+    found = neardup.near_duplicates(named, "__key", per_cent=NEAR_PER_CENT)
+    number = F.col("doc_id").substr(F.lit(1), F.length("doc_id") - 33).cast(kind)
+    first = F.min(F.struct(number.alias("id"), F.col("doc_id").alias("__key"))).alias("first")
+    stays = stored(found.groupBy("component_id").agg(first).select("first.__key"), "pipeline-stays")
+    # Equal rows meet before they are shuffled, and the join finds them where they are.
+    once = named.groupBy("__key").agg(F.first(F.struct("doc_id", "text", _REST)).alias("row"))
+    kept = once.join(stays, "__key", "left_semi").select("row.*")
+    return _unpacked(kept, docs).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,5 +96,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with small_batches(spark):
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
