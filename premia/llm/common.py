@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import AbstractContextManager, contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,25 +27,34 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxBytesPerOutputBatch")
 
 
-def stored(df: DataFrame, label: str, batch_rows: int | None = None, batch_bytes: int | None = None) -> DataFrame:
-    """Write once to the shared folder and read back; the job's shuffle files, which nothing reads again, go at once.
-
-    ``batch_rows`` is the most rows that Python gets at once, for rows that hold whole blocks; ``batch_bytes`` bounds a
-    batch either way by its bytes, for rows that hold whole texts.
-    """
-    conf = df.sparkSession.conf
-    wanted = {_CLEANUP: "true"} | ({_BATCH: str(batch_rows)} if batch_rows else {})
-    wanted |= dict.fromkeys(_BATCH_BYTES, str(batch_bytes)) if batch_bytes else {}
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    conf = spark.conf
     before = {k: conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         conf.set(k, v)
     try:
-        return workspace.stored(df, label)
+        yield
     finally:
         for k, v in before.items():
             conf.unset(k) if v is None else conf.set(k, v)
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> AbstractContextManager[None]:
+    """Within it, jobs exchange batches of at most ``most`` bytes, or one row, with Python."""
+    return _settings(spark, dict.fromkeys(_BATCH_BYTES, str(most)))
+
+
+def stored(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """Write once to the shared folder and read back; the job's shuffle files, which nothing reads again, go at once.
+
+    ``batch_rows`` is the most rows that Python gets at once, for rows that hold whole blocks.
+    """
+    wanted = {_CLEANUP: "true"} | ({_BATCH: str(batch_rows)} if batch_rows else {})
+    with _settings(df.sparkSession, wanted):
+        return workspace.stored(df, label)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for df in tables:

@@ -5,8 +5,8 @@ trie paths from their most frequent terms on. Each node knows, over its subtree,
 term, the smallest length term m and the smallest id. For an item these give an upper bound of every node, and a
 depth-first walk leaves out the subtrees that cannot reach the item's current top ten.
 
-The documents stay where they are: a task reads its part in chunks, builds the trie of each chunk and keeps one running
-top list per item, so the bound tightens from chunk to chunk. Only these lists are shuffled.
+A task takes an even share of the reduced documents, builds their trie (or several, where they hold many terms) and keeps
+one top list per item. Beside the reduced documents only these lists are shuffled.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from premia.llm.common import stored, text_of
+from premia.llm.common import small_batches, stored, text_of
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 10
@@ -30,12 +30,11 @@ TOP = 10
 BLOCK_TERMS = 1_000_000
 #: Documents and term entries of one trie.
 CHUNK_DOCS, CHUNK_ENTRIES = 8192, 1_500_000
+TASK_DOCS = 8000
 #: Subtrees of at most this many documents are scored one by one.
 LEAF_DOCS = 32
 #: Bytes of a text that are split into terms at once.
 PIECE = 1 << 20
-#: Bytes of documents that Python gets at once, one document at least.
-BATCH_BYTES = 4 << 20
 #: Partial lists of an item are first merged in this many groups.
 MERGE_GROUPS = 64
 _NO_ID = np.iinfo(np.int64).max
@@ -310,8 +309,10 @@ def _block(docs: DataFrame, pairs: list, most: int) -> DataFrame:
     context = docs.sparkSession.sparkContext
     vocabulary = sorted({p.term.encode() for p in pairs})
     shared = context.broadcast(vocabulary)
-    vectors = stored(docs.mapInArrow(_vectors(shared), "id long, n long, terms array<int>, counts array<int>"), "search-vectors", 512, BATCH_BYTES)
-    totals = vectors.agg(F.count_if(F.col("n") > 0).alias("docs"), F.sum("n").alias("all")).first()
+    with small_batches(docs.sparkSession):
+        vectors = stored(docs.mapInArrow(_vectors(shared), "id long, n long, terms array<int>, counts array<int>"), "search-vectors")
+    found = F.size("terms")
+    totals = vectors.agg(F.count_if(F.col("n") > 0).alias("docs"), F.sum("n").alias("all"), F.count_if(found > 0).alias("rows"), F.sum(found).alias("entries")).first()
     # At most one row per term of the block.
     df = np.zeros(len(vocabulary), np.int64)
     for term, n in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
@@ -329,8 +330,10 @@ def _block(docs: DataFrame, pairs: list, most: int) -> DataFrame:
             of_item.setdefault(p.item, []).append((int(rank_of[t]), p.q * weight[t]))
     items = [(item, np.array([r for r, _ in sorted(v)], np.int64), np.array([w for _, w in sorted(v)], np.int64)) for item, v in of_item.items()]
     plan = context.broadcast((rank_of, items))
-    rows = vectors.filter(F.size("terms") > 0)
-    found = stored(rows.mapInArrow(_searched(plan, n_docs, n_all, most), "item long, id long, score long"), "search-lists", 512, BATCH_BYTES)
+    # A task holds one trie, however the tables grow.
+    tasks = math.ceil(max((totals["rows"] or 0) / TASK_DOCS, (totals["entries"] or 0) / CHUNK_ENTRIES, 1))
+    rows = vectors.filter(F.size("terms") > 0).repartition(tasks)
+    found = stored(rows.mapInArrow(_searched(plan, n_docs, n_all, most), "item long, id long, score long"), "search-lists", 512)
     shared.unpersist()
     return _best(_best(found, ["item", F.pmod(F.xxhash64("id"), F.lit(MERGE_GROUPS))], most), ["item"], most)
 

@@ -35,6 +35,10 @@ def folder(spark, tmp_path_factory):
     fate |= {1000: "stays", 1001: "copy", 1002: "copy", 1003: "contaminated", 1004: "stays"}
     rows += [(1005, f"{prose(rng, 20)} password=abcdef123456XYZ end"), (1006, None), (1007, ""), (None, prose(rng, 25)), (None, None)]
     fate |= {1005: "masked", 1006: "stays", 1007: "stays"}
+    # Rows of one id with different texts are documents of their own: the near copy among them goes, the other stays.
+    double, other = prose(rng, 80), prose(rng, 80)
+    rows += [(1010, double), (1011, other), (1011, double + " more")]
+    fate |= {1010: "stays", 1011: "stays"}
     # Two rows of one id and text: one of them stays.
     rows += [(1008, prose(rng, 40))] * 2
     fate[1008] = "stays"
@@ -78,7 +82,9 @@ def test_one_of_each_group_stays(steps, folder):
     gone = {i for i, f in folder[2].items() if f == "copy"}
     assert sorted(ids(after), key=str) == sorted([*(set(ids(before)) - gone - {None}), None, None], key=str)
     rows = {r.doc_id: r for r in before.collect() if r.doc_id is not None}
-    assert all(r == rows[r.doc_id] for r in after.collect() if r.doc_id is not None and r.doc_id != 1008)
+    assert all(r == rows[r.doc_id] for r in after.collect() if r.doc_id not in (None, 1008, 1011))
+    texts = lambda df: [r.text for r in df.collect() if r.doc_id == 1011]
+    assert len(texts(before)) == 2 and len(texts(after)) == 1 and not texts(after)[0].endswith(" more")
 
 
 def test_contaminated_documents_go(steps):
