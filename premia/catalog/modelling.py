@@ -15,7 +15,7 @@ from premia.catalog.registry import query, rounded
 from premia.operators import boost, design, features, glm, search, tune
 from premia.operators.split import grouped_split
 from premia.plans import gold as gold_plan
-from premia.plans import runs, training
+from premia.plans import lineage, runs, training
 from premia.settings import Boosting, Modelling, Settings
 from premia.sources import readers, sinks
 from premia.workspace import fresh_path
@@ -71,7 +71,9 @@ def target_columns(spark, sf):
 )
 def gold_build(spark, sf):
     root = fresh_path(spark, "gold-job")
-    sinks.write_table(layers.silver_policies(spark, sf), f"{root}/silver/policies")
+    silver = layers.silver_policies(spark, sf)
+    sinks.write_table(silver, f"{root}/silver/policies")
+    lineage.record(spark, f"{root}/lineage", "silver", {"policies": silver})
     gold_plan.build_gold(spark, f"{root}/silver", f"{root}/gold", f"{root}/lineage", "pure_premium", S)
     rows = readers.read_table(spark, f"{root}/gold/pure_premium")
     return rounded(rows.select("policy_id", "split", "area", "veh_power_band", "claim_nb", "y"), 4, "y")
