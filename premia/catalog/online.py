@@ -173,7 +173,7 @@ def spline_effect(spark, sf):
 @query("shap_contributions")
 def shap_contributions(spark, sf):
     rows = training.boost_rows(layers.split_of(spark, sf, "frequency", "train"), ["policy_id"])
-    model = boost.fit_boosted(rows, boost.BoostParams(trees=4, depth=4, leaves=12))
+    model = boost.fit_boosted(rows, boost.BoostParams(trees=4))
     held = training.boost_rows(layers.split_of(spark, sf, "frequency", "test"), ["policy_id"])
     return attribution.shap_contributions(held, model, ["policy_id"])
 
@@ -182,7 +182,7 @@ def shap_contributions(spark, sf):
 def shap_additivity(spark, sf):
     """Contributions and their base add up to the log prediction of every policy."""
     rows, held = (training.boost_rows(layers.split_of(spark, sf, "frequency", s), ["policy_id"]) for s in ("train", "test"))
-    model = boost.fit_boosted(rows, boost.BoostParams(trees=4, depth=4, leaves=12))
+    model = boost.fit_boosted(rows, boost.BoostParams(trees=4))
     parts = attribution.shap_contributions(held, model, ["policy_id"])
     total = sum((F.col(f"`{c}`") for c in parts.columns if c != "policy_id"), F.lit(0.0))
     both = parts.select("policy_id", total.alias("total")).join(boost.score_boosted(held, model, ["policy_id"]), "policy_id")

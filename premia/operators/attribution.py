@@ -32,31 +32,53 @@ def expected_value(tree: Tree) -> float:
     return sum(v * float(np.prod([r[0] for r in rules.values()])) for v, rules in _leaf_paths(tree))
 
 
-def tree_attributions(codes: pd.DataFrame, trees: list[Tree], features: list[str]) -> np.ndarray:
+def _times(poly: np.ndarray, absent: float, present: np.ndarray) -> np.ndarray:
+    """``poly`` (coefficients x rows) times (absent + present t)."""
+    out = np.zeros((len(poly) + 1, poly.shape[1]))
+    out[:-1] = poly * absent
+    out[1:] += poly * present
+    return out
+
+
+def _without(poly: np.ndarray, absent: float, present: np.ndarray) -> np.ndarray:
+    """``poly`` divided by the factor (absent + present t): from the top where the row has the feature, else from below.
+
+    A row's ``present`` is 0 or 1; without it the factor is the constant ``absent``, which is above 0.
+    """
+    n = len(poly) - 1
+    out = np.empty((n, poly.shape[1]))
+    carry = np.zeros(poly.shape[1])
+    for k in range(n - 1, -1, -1):
+        carry = poly[k + 1] - absent * carry
+        out[k] = carry
+    gone = present == 0
+    out[:, gone] = poly[:-1, gone] / absent
+    return out
+
+
+def tree_attributions(bins: np.ndarray, trees: list[Tree], features: list[str]) -> np.ndarray:
     """Rows x features. For each leaf a feature on its path is present (indicator) or absent (cover ratio); its share
-    is the Shapley-weighted sum over the subsets of the other path features, read off a polynomial product."""
-    out = np.zeros((len(codes), len(features)))
+    is the Shapley-weighted sum over the subsets of the other path features. One polynomial per path holds the product
+    of all its features; dividing a feature's factor out gives the subsets of the others."""
+    out = np.zeros((len(bins), len(features)))
     for tree in trees:
         for value, rules in _leaf_paths(tree):
             if not rules:
                 continue
             names = list(rules)
-            present = np.ones((len(names), len(codes)))
+            present = np.ones((len(names), len(bins)))
             for i, name in enumerate(names):
-                at = codes[f"b_{name}"].to_numpy()
+                at = bins[:, features.index(name)]
                 for split, goes_left in rules[name][1]:
                     present[i] *= split.goes_left(at) == goes_left
             absent = [rules[name][0] for name in names]
             d = len(names)
-            weights = [factorial(k) * factorial(d - k - 1) / factorial(d) for k in range(d)]
+            weights = np.array([factorial(k) * factorial(d - k - 1) / factorial(d) for k in range(d)])
+            poly = np.ones((1, len(bins)))
+            for i in range(d):
+                poly = _times(poly, absent[i], present[i])
             for i, name in enumerate(names):
-                poly = np.zeros((d, len(codes)))
-                poly[0] = 1.0
-                for j in range(d):
-                    if j != i:
-                        shifted = np.vstack([np.zeros(len(codes)), poly[:-1]]) * present[j]
-                        poly = poly * absent[j] + shifted
-                subsets = sum(w * poly[k] for k, w in enumerate(weights))
+                subsets = weights @ _without(poly, absent[i], present[i])
                 out[:, features.index(name)] += value * (present[i] - absent[i]) * subsets
     return out
 
@@ -74,7 +96,8 @@ def shap_contributions(df: DataFrame, model: BoostedModel, keep: list[str]) -> D
         own = BoostedModel.from_json(text)
         expected = own.base + sum(expected_value(t) for t in own.trees)
         for batch in batches:
-            values = pd.DataFrame(tree_attributions(batch, own.trees, features), columns=features)
+            bins = batch[[f"b_{f}" for f in features]].to_numpy()
+            values = pd.DataFrame(tree_attributions(bins, own.trees, features), columns=features)
             yield pd.concat([batch[keep].reset_index(drop=True), values], axis=1).assign(expected=expected)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields)

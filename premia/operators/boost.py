@@ -1,46 +1,60 @@
 """Histogram gradient boosting as Spark jobs: log link, Poisson or Tweedie loss, weights, monotone constraints.
 
-Rows hold one small integer per feature (its bin). Per tree level one aggregation sums gradients, Hessians and rows by
-(node, feature, bin); the histogram has at most nodes x features x bins rows whatever the table size, so the split
-choice runs on the driver. Rows then follow their tree through CASE expressions. Margins are written to the shared
-folder every few trees, which bounds both the expression size and the lineage.
+Rows hold one small integer per feature (its bin). Trees grow best-first: the leaf with the largest gain is split next,
+until the leaf budget is used up. A split needs the histograms of its two children; the smaller one is counted, the other
+is its parent's minus that. One job counts the smaller children of all leaves that may still be split (as many as the
+budget allows, best first), whether they are accepted already or not, so a tree takes about as many jobs as it is deep,
+and the order of the splits is still that of splitting one leaf after the other.
+
+Tasks fold their rows into (node, feature, bin) sums before anything is shuffled; what reaches the driver is bounded by
+leaves x features x bins, whatever the table size. Margins are written to the shared folder every few trees. With a
+progress folder finished trees are published there, and a fit that starts again goes on after the last one.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import math
 import random
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.bins import edges_below
 from premia.operators.quantiles import cut_points
 from premia.settings import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from premia.sources import commits
 from premia.workspace import stored
 
 MAX_BINS = 256
+LEAST_GAIN = 1e-9
+#: Leaves that one job counts for at least, where there are so many: near the end of the budget this saves jobs.
+AHEAD = 16
 
 
 @dataclass(frozen=True)
 class BoostParams:
+    """``depth`` None means that only ``leaves`` bounds a tree."""
+
     loss: str = "poisson"
     power: float = 1.5
     trees: int = 100
     leaves: int = 31
-    depth: int = 6
+    depth: int | None = None
     learning_rate: float = 0.1
     min_child_rows: int = 20
     ridge: float = 0.0
     feature_share: float = 1.0
-    bins: int = 64
+    bins: int = 255
     increasing: tuple[str, ...] = ("bonus_malus",)
     seed: int = 42
-    store_every: int = 5
+    store_every: int = 10
 
 
 @dataclass
@@ -70,19 +84,15 @@ class Binning:
 
 @dataclass
 class Split:
-    """Rows go left when their bin is at most ``upto`` (numeric) or among ``left_bins`` (categorical)."""
+    """Rows go left when their bin is at most ``upto`` (numeric) or among ``left_bins`` (categorical); a missing bin
+    (-1) goes right."""
 
     feature: str
     upto: int | None = None
     left_bins: list[int] = field(default_factory=list)
 
-    def sql(self) -> str:
-        if self.upto is not None:
-            return f"b_{self.feature} <= {self.upto}"
-        return f"b_{self.feature} IN ({', '.join(str(b) for b in self.left_bins)})"
-
     def goes_left(self, bins: np.ndarray) -> np.ndarray:
-        return bins <= self.upto if self.upto is not None else np.isin(bins, self.left_bins)
+        return (bins >= 0) & (bins <= self.upto) if self.upto is not None else np.isin(bins, self.left_bins)
 
 
 @dataclass
@@ -97,11 +107,38 @@ class Tree:
     def leaves(self) -> list[int]:
         return [n for n in self.values if n not in self.children]
 
-    def sql(self, payload, node: int = 0) -> str:
-        if node not in self.children:
-            return payload(node)
-        split, (left, right) = self.splits[node], self.children[node]
-        return f"CASE WHEN {split.sql()} THEN {self.sql(payload, left)} ELSE {self.sql(payload, right)} END"
+    def depth(self, node: int = 0) -> int:
+        return 1 + max(map(self.depth, self.children[node])) if node in self.children else 0
+
+    def places(self, bins: np.ndarray, features: list[str]) -> np.ndarray:
+        """The leaf of every row of ``bins`` (rows x features)."""
+        size = max(self.values) + 1
+        feature, left = np.zeros(size, np.intp), np.zeros((size, MAX_BINS + 1), bool)
+        down = np.tile(np.arange(size)[:, None], (1, 2))
+        every = np.arange(-1, MAX_BINS)
+        for node, split in self.splits.items():
+            feature[node] = features.index(split.feature)
+            left[node] = split.goes_left(every)
+            down[node] = self.children[node]
+        at, rows = np.zeros(len(bins), np.intp), np.arange(len(bins))
+        for _ in range(self.depth()):
+            goes = left[at, bins[rows, feature[at]] + 1]
+            at = np.where(goes, down[at, 0], down[at, 1])
+        return at
+
+    def outputs(self, bins: np.ndarray, features: list[str]) -> np.ndarray:
+        values = np.zeros(max(self.values) + 1)
+        values[list(self.values)] = list(self.values.values())
+        return values[self.places(bins, features)]
+
+    @staticmethod
+    def from_dict(raw: dict) -> "Tree":
+        return Tree(
+            {int(k): Split(**v) for k, v in raw["splits"].items()},
+            {int(k): tuple(v) for k, v in raw["children"].items()},
+            {int(k): v for k, v in raw["values"].items()},
+            {int(k): v for k, v in raw["rows"].items()},
+        )
 
 
 @dataclass
@@ -118,27 +155,21 @@ class BoostedModel:
     def from_json(text: str) -> "BoostedModel":
         raw = json.loads(text)
         params = BoostParams(**{**raw["params"], "increasing": tuple(raw["params"]["increasing"])})
-        trees = [
-            Tree(
-                {int(k): Split(**v) for k, v in t["splits"].items()},
-                {int(k): tuple(v) for k, v in t["children"].items()},
-                {int(k): v for k, v in t["values"].items()},
-                {int(k): v for k, v in t["rows"].items()},
-            )
-            for t in raw["trees"]
-        ]
-        return BoostedModel(params, Binning(**raw["binning"]), raw["base"], trees)
+        return BoostedModel(params, Binning(**raw["binning"]), raw["base"], [Tree.from_dict(t) for t in raw["trees"]])
 
 
 def fit_binning(df: DataFrame, bins: int, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES) -> Binning:
-    """One aggregate: quantile cut points and level lists."""
-    found = df.agg(
-        *[cut_points(F.col(c).cast("double"), bins).alias(c) for c in numeric],
-        *[F.sort_array(F.collect_set(c)).alias(c) for c in categorical],
-    ).first()
+    """Quantile cut points and level lists; levels are counted before any list of them is made."""
+    if not 2 <= bins <= MAX_BINS:
+        raise ValueError(f"bins must be from 2 to {MAX_BINS}, not {bins}")
+    counted = df.agg(*[cut_points(F.col(c).cast("double"), bins).alias(c) for c in numeric], *[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+    # The sketch is off by a few per cent; the exact check follows on lists of that size at most.
+    if any(counted[c] > 2 * MAX_BINS for c in categorical):
+        raise ValueError("a categorical feature has too many levels for boosting")
+    found = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in categorical]).first() if categorical else {}
     if any(len(found[c]) > MAX_BINS for c in categorical):
         raise ValueError("a categorical feature has too many levels for boosting")
-    return Binning({c: list(found[c]) for c in numeric}, {c: list(found[c]) for c in categorical})
+    return Binning({c: list(counted[c]) for c in numeric}, {c: list(found[c]) for c in categorical})
 
 
 def category_codes(df: DataFrame, binning: Binning, keep: list[str]) -> DataFrame:
@@ -147,202 +178,316 @@ def category_codes(df: DataFrame, binning: Binning, keep: list[str]) -> DataFram
 
 
 def binned(df: DataFrame, binning: Binning, keep: list[str]) -> DataFrame:
-    return df.select(*keep, *[binning.column(f).cast("short").alias(f"b_{f}") for f in binning.features])
+    return df.select(*keep, *[F.coalesce(binning.column(f), F.lit(-1)).cast("short").alias(f"b_{f}") for f in binning.features])
+
 
+def _bins_of(batch: pa.RecordBatch, features: list[str]) -> np.ndarray:
+    return np.column_stack([batch.column(f"b_{f}").to_numpy() for f in features]).astype(np.intp)
 
-def _gradients(params: BoostParams) -> tuple[str, str]:
+
+def gradients(params: BoostParams, y: np.ndarray, w: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and second derivative of the weighted half deviance in the margin ``m``."""
     if params.loss == "poisson":
-        return "w * (exp(m) - y)", "w * exp(m)"
+        mu = np.exp(m)
+        return w * (mu - y), w * mu
     if params.loss != "tweedie":
         raise ValueError(f"unknown loss {params.loss!r}")
     a, b = 1 - params.power, 2 - params.power
-    return (
-        f"w * (exp({b}D * m) - y * exp({a}D * m))",
-        f"w * ({b}D * exp({b}D * m) - ({a}D) * y * exp({a}D * m))",
-    )
+    low, high = np.exp(a * m), np.exp(b * m)
+    return w * (high - y * low), w * (b * high - a * y * low)
 
 
-def level_histogram(rows: DataFrame, tree: Tree, active: list[int], features: list[str], params: BoostParams) -> DataFrame:
-    """(node, feature_no, bin, g, h, n) over the rows of the active nodes.
+def _counted(params: BoostParams, features: list[str], all_features: list[str], pending: list[Tree], tree: Tree, slot_of: dict[int, int]):
+    """Fold the rows of a task into (code, g, h, n) with code = (slot, feature, bin) for the leaves in ``slot_of``."""
+    width = len(features) * MAX_BINS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((3, len(slot_of) * width))
+        slots = np.full(max(tree.values) + 1, -1)
+        slots[list(slot_of)] = list(slot_of.values())
+        base = np.arange(len(features)) * MAX_BINS
+        own = [all_features.index(f) for f in features]
+        for batch in batches:
+            bins = _bins_of(batch, all_features)
+            slot = slots[tree.places(bins, all_features)]
+            here = np.flatnonzero(slot >= 0)
+            if not len(here):
+                continue
+            bins, slot = bins[here], slot[here]
+            y, w, m = (batch.column(c).to_numpy()[here] for c in ("y", "w", "m"))
+            for one in pending:
+                m = m + one.outputs(bins, all_features)
+            g, h = gradients(params, y, w, m)
+            code = (slot * width)[:, None] + base[None] + bins[:, own]
+            known = bins[:, own] >= 0
+            flat = code[known]
+            for k, value in enumerate((g, h, None)):
+                weights = None if value is None else np.broadcast_to(value[:, None], known.shape)[known]
+                sums[k] += np.bincount(flat, weights, sums.shape[1])
+        at = np.flatnonzero(sums[2])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), *[pa.array(s[at]) for s in sums]], ["code", "g", "h", "n"])
+
+    return run
+
+
+def histograms(rows: DataFrame, params: BoostParams, features: list[str], all_features: list[str], pending: list[Tree], tree: Tree, nodes: list[int]) -> dict[int, np.ndarray]:
+    """Sums of gradient, second derivative and rows per (feature, bin) of each leaf in ``nodes``."""
+    slot_of = {node: i for i, node in enumerate(nodes)}
+    folded = rows.mapInArrow(_counted(params, features, all_features, pending, tree, slot_of), "code long, g double, h double, n double")
+    found = folded.groupBy("code").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")]).toArrow()
+    dense = np.zeros((3, len(nodes) * len(features) * MAX_BINS))
+    dense[:, found.column("code").to_numpy()] = [found.column(c).to_numpy() for c in ("g", "h", "n")]
+    dense = dense.reshape(3, len(nodes), len(features), MAX_BINS)
+    return {node: dense[:, i] for node, i in slot_of.items()}
 
-    Node, feature and bin are packed into one integer, so the map-side aggregation hashes a single key.
-    """
-    g, h = _gradients(params)
-    slot = {n: i for i, n in enumerate(active)}
-    node = tree.sql(lambda n: str(slot.get(n, -1)))
-    width = MAX_BINS * len(features)
-    packed = ", ".join(f"{i * MAX_BINS} + b_{f}" for i, f in enumerate(features))
-    placed = rows.selectExpr(f"{node} AS node", f"{g} AS g", f"{h} AS h", f"array({packed}) AS packed").where("node >= 0")
-    long = placed.selectExpr("g", "h", "node", "explode(packed) AS code")
-    return (
-        long.groupBy((F.col("node") * width + F.col("code")).alias("code"))
-        .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
-        .selectExpr(
-            f"cast(code div {width} AS int) AS node",
-            f"cast((code % {width}) div {MAX_BINS} AS int) AS feature_no",
-            f"cast(code % {MAX_BINS} AS int) AS bin",
-            "g",
-            "h",
-            "n",
-        )
-    )
 
+@dataclass
+class Candidate:
+    """The best split of a leaf."""
+
+    gain: float
+    split: Split
+    left: tuple[float, int]
+    right: tuple[float, int]
 
-def _candidates(hist: pd.DataFrame, ordered: bool, ridge: float):
-    """Cumulative sums over the bins: in bin order, or by gradient ratio for categories."""
-    table = hist.sort_values("bin" if ordered else "ratio", kind="stable")
-    sums = table[["g", "h", "n"]].to_numpy(dtype=float).cumsum(axis=0)
-    return table["bin"].to_numpy(), sums
 
+def best_split(hist: np.ndarray, features: list[str], binning: Binning, params: BoostParams, bounds: tuple[float, float]) -> Candidate | None:
+    """The split with the largest gain of one leaf (histogram 3 x features x bins); the first feature and cut win ties.
 
-def best_split(hist: pd.DataFrame, features: list[str], binning: Binning, params: BoostParams, bounds):
-    """The split with the largest gain of one node, or None. ``bounds`` limit the leaf values of the node."""
+    ``bounds`` limit the values of the two new leaves.
+    """
     low, high = bounds
     best = None
-    for no, part in hist.groupby("feature_no", sort=True):
-        feature = features[no]
-        ordered = feature in binning.cuts
-        part = part.assign(ratio=part["g"] / (part["h"] + 1e-12))
-        bins, sums = _candidates(part, ordered, params.ridge)
-        total = sums[-1]
-        left, right = sums[:-1], total - sums[:-1]
-        if not len(left):
+    for no, feature in enumerate(features):
+        present = np.flatnonzero(hist[2, no])
+        if len(present) < 2:
             continue
-        value_left = np.clip(-left[:, 0] / (left[:, 1] + params.ridge), low, high)
-        value_right = np.clip(-right[:, 0] / (right[:, 1] + params.ridge), low, high)
+        g, h, n = hist[:, no, present]
+        order = np.arange(len(present)) if feature in binning.cuts else np.argsort(g / (h + 1e-12), kind="stable")
+        left = np.cumsum(hist[:, no, present[order]], axis=1)
+        total, left = left[:, -1:], left[:, :-1]
+        right = total - left
+
+        def value(s):
+            return np.clip(-s[0] / np.maximum(s[1] + params.ridge, 1e-300), low, high)
 
         def reduction(s, v):
-            return -(s[:, 0] * v + 0.5 * (s[:, 1] + params.ridge) * v * v)
+            return -(s[0] * v + 0.5 * (s[1] + params.ridge) * v * v)
 
-        whole = np.clip(-total[0] / (total[1] + params.ridge), low, high)
-        stay = -(total[0] * whole + 0.5 * (total[1] + params.ridge) * whole * whole)
-        gain = reduction(left, value_left) + reduction(right, value_right) - stay
-        allowed = (left[:, 2] >= params.min_child_rows) & (right[:, 2] >= params.min_child_rows)
+        lv, rv = value(left), value(right)
+        gain = reduction(left, lv) + reduction(right, rv) - reduction(total, value(total))
+        allowed = (left[2] >= params.min_child_rows) & (right[2] >= params.min_child_rows)
         if feature in params.increasing:
-            allowed &= value_left <= value_right
+            allowed &= lv <= rv
         gain = np.where(allowed, gain, -np.inf)
         at = int(np.argmax(gain))
-        if gain[at] > 1e-9 and (best is None or gain[at] > best[0]):
-            best = (
-                float(gain[at]),
-                Split(feature, upto=int(bins[at]))
-                if ordered
-                else Split(feature, left_bins=sorted(int(b) for b in bins[: at + 1])),
-                (float(value_left[at]), int(left[at, 2])),
-                (float(value_right[at]), int(right[at, 2])),
-            )
+        if gain[at] > LEAST_GAIN and (best is None or gain[at] > best.gain):
+            bins = present[order]
+            split = Split(feature, upto=int(bins[at])) if feature in binning.cuts else Split(feature, left_bins=sorted(int(b) for b in bins[: at + 1]))
+            best = Candidate(float(gain[at]), split, (float(lv[at]), int(left[2, at])), (float(rv[at]), int(right[2, at])))
     return best
 
 
-def grow_tree(rows: DataFrame, binning: Binning, params: BoostParams, features: list[str]) -> Tree:
-    """Level-wise growth, best gains first when the leaf budget is short. ``rows`` carry y, w, m and bins."""
-    tree = Tree(values={0: 0.0})
-    bounds = {0: (-math.inf, math.inf)}
-    active, next_id = [0], 1
-    for _ in range(params.depth):
-        hist = level_histogram(rows, tree, active, features, params).toPandas()
-        if hist.empty:
-            break
-        found = []
-        for slot, part in hist.groupby("node"):
-            node = active[int(slot)]
-            if node == 0:
-                first = part[part["feature_no"] == part["feature_no"].min()]
-                tree.rows[0] = int(first["n"].sum())
-                tree.values[0] = float(-first["g"].sum() / (first["h"].sum() + params.ridge))
-            split = best_split(part, features, binning, params, bounds[node])
-            if split:
-                found.append((split[0], node, split))
-        found.sort(key=lambda f: (-f[0], f[1]))
-        active = []
-        for _, node, (_, split, (lv, ln), (rv, rn)) in found[: max(0, params.leaves - len(tree.leaves()))]:
-            left, right = next_id, next_id + 1
+def grow_tree(count, binning: Binning, params: BoostParams, features: list[str]) -> Tree:
+    """Best-first growth. ``count(tree, nodes)`` gives the histograms of leaves of a tree.
+
+    ``trial`` holds the splits whose histograms are known, the result those that best-first order accepts; a trial split
+    that is not accepted costs its share of a job and nothing else.
+    """
+    trial, result = Tree(values={0: 0.0}), Tree()
+    bounds, depths, found = {0: (-math.inf, math.inf)}, {0: 0}, {}
+    hist = count(trial, [0])
+    # Every row has a bin of the first feature, or none of it has one and no feature splits.
+    totals = hist[0].sum(axis=2).max(axis=1) if not len(features) else hist[0][:, 0].sum(axis=1)
+    result.values[0], result.rows[0] = float(-totals[0] / (totals[1] + params.ridge)) if totals[2] else 0.0, int(totals[2])
+    next_id = 1
+
+    def judge(node):
+        if params.depth is not None and depths[node] >= params.depth:
+            return
+        candidate = best_split(hist[node], features, binning, params, bounds[node])
+        if candidate:
+            found[node] = candidate
+        else:
+            del hist[node]
+
+    judge(0)
+    queue = [(-found[0].gain, 0)] if found else []
+    while queue and len(result.leaves()) < params.leaves:
+        # Accept the best leaf as long as its children are known.
+        node = queue[0][1]
+        if node in trial.children:
+            heapq.heappop(queue)
+            candidate, (left, right) = found[node], trial.children[node]
+            result.splits[node], result.children[node] = candidate.split, (left, right)
+            for child, (value, rows) in ((left, candidate.left), (right, candidate.right)):
+                result.values[child], result.rows[child] = value, rows
+                if child in found:
+                    heapq.heappush(queue, (-found[child].gain, child))
+            continue
+        # Count for the leaves that the budget may still reach, those of trial splits included.
+        most = params.leaves - len(result.leaves())
+        if most == 1:
+            # The last split: its children need no histograms.
+            wanted = [node]
+        else:
+            ahead = heapq.nsmallest(max(most, AHEAD), ((-found[n].gain, n) for n in found if n not in trial.children))
+            wanted = sorted({node, *(n for _, n in ahead)})
+        small = {}
+        for n in wanted:
+            candidate, (left, right) = found[n], (next_id, next_id + 1)
             next_id += 2
-            tree.splits[node], tree.children[node] = split, (left, right)
-            low, high = bounds[node]
-            if split.feature in params.increasing:
-                middle = (lv + rv) / 2
-                bounds[left], bounds[right] = (low, middle), (middle, high)
-            else:
-                bounds[left] = bounds[right] = (low, high)
-            tree.values[left], tree.values[right] = lv, rv
-            tree.rows[left], tree.rows[right] = ln, rn
-            active += [left, right]
-        if not active or len(tree.leaves()) >= params.leaves:
-            break
-    tree.values = {n: v * params.learning_rate for n, v in tree.values.items()}
-    return tree
+            trial.splits[n], trial.children[n] = candidate.split, (left, right)
+            trial.values[left] = trial.values[right] = 0.0
+            depths[left] = depths[right] = depths[n] + 1
+            bounds[left] = bounds[right] = bounds[n]
+            if candidate.split.feature in params.increasing:
+                middle = (candidate.left[0] + candidate.right[0]) / 2
+                bounds[left], bounds[right] = (bounds[n][0], middle), (middle, bounds[n][1])
+            small[n] = left if candidate.left[1] <= candidate.right[1] else right
+        if most > 1:
+            counted = count(trial, list(small.values()))
+            for n, child in small.items():
+                left, right = trial.children[n]
+                other = right if child == left else left
+                hist[child] = counted[child]
+                rest = hist.pop(n) - counted[child]
+                # Bins that the smaller child emptied hold nothing but rounding.
+                hist[other] = np.where(rest[2] > 0.5, rest, 0.0)
+                judge(left)
+                judge(right)
+    result.values = {n: v * params.learning_rate for n, v in result.values.items()}
+    return _renumbered(result)
+
+
+def _renumbered(tree: Tree) -> Tree:
+    """Nodes numbered in the order of the splits, without the gaps of trial splits."""
+    number = {0: 0}
+    for node in tree.splits:
+        for child in tree.children[node]:
+            number[child] = len(number)
+    return Tree(
+        {number[n]: s for n, s in tree.splits.items()},
+        {number[n]: (number[a], number[b]) for n, (a, b) in tree.children.items()},
+        {number[n]: tree.values[n] for n in number},
+        {number[n]: tree.rows[n] for n in number},
+    )
+
+
+def with_margin(rows: DataFrame, trees: list[Tree], features: list[str]) -> DataFrame:
+    """Add the trees' values to the margin ``m``."""
+    if not trees:
+        return rows
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins, m = _bins_of(batch, features), batch.column("m").to_numpy()
+            for tree in trees:
+                m = m + tree.outputs(bins, features)
+            yield pa.RecordBatch.from_arrays([pa.array(m) if n == "m" else batch.column(n) for n in names], names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _tree_file(folder: str, no: int) -> str:
+    return f"{folder}/tree-{no:06d}.json"
+
+
+def finished_trees(spark, folder: str) -> list[Tree]:
+    """The trees that an earlier run of the same fit published, without gaps."""
+    out = []
+    there = set(commits.names(spark, folder))
+    while _tree_file("", len(out))[1:] in there:
+        out.append(Tree.from_dict(json.loads(commits.read_text(spark, _tree_file(folder, len(out))))))
+    return out
+
+
+def boost_table(train: DataFrame, bins: int, offset: Column | None = None, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES) -> tuple[DataFrame, Binning, float]:
+    """``y, w, m`` and bins, written once, with the binning and the constant margin: what all fits of a search share."""
+    binning = fit_binning(train, bins, numeric, categorical)
+    keep = train.withColumn("o", offset if offset is not None else F.lit(0.0))
+    totals = keep.agg(F.sum(F.col("w") * F.col("y")).alias("wy"), F.sum(F.col("w") * F.exp("o")).alias("w")).first()
+    base = math.log(totals["wy"] / totals["w"])
+    double = [F.col(c).cast("double").alias(c) for c in ("y", "w")]
+    return stored(binned(keep.withColumn("m", F.lit(base) + F.col("o")), binning, [*double, "m"]), "boost-rows"), binning, base
 
 
 def fit_boosted(
-    train: DataFrame,
+    train: DataFrame | None,
     params: BoostParams,
     offset: Column | None = None,
     numeric=NUMERIC_FEATURES,
     categorical=CATEGORICAL_FEATURES,
+    table: tuple[DataFrame, Binning, float] | None = None,
+    progress: str | None = None,
 ) -> BoostedModel:
     """``train`` carries y, w and the raw features.
 
     With ``offset`` (a log exposure) y is a count and w is 1; without it y is a rate and w the exposure. Both forms
-    give the same model, and predictions are rates in both.
+    give the same model, and predictions are rates in both. ``table`` is a ``boost_table`` to use instead of ``train``.
+    ``progress`` names a folder of this fit alone: finished trees go there, and a fit that finds trees goes on after
+    them. A feature in ``increasing`` that the rows do not have is an error.
     """
-    binning = fit_binning(train, params.bins, numeric, categorical)
-    keep = train.withColumn("o", offset if offset is not None else F.lit(0.0))
-    totals = keep.agg(F.sum(F.col("w") * F.col("y")).alias("wy"), F.sum(F.col("w") * F.exp("o")).alias("w")).first()
-    base = math.log(totals["wy"] / totals["w"])
-    rows = stored(binned(keep.withColumn("m", F.lit(base) + F.col("o")), binning, ["y", "w", "m"]), "boost-rows")
-    rng = random.Random(params.seed)
-    model = BoostedModel(params, binning, base, [])
+    unknown = [f for f in params.increasing if f not in (*numeric, *categorical)]
+    if unknown:
+        raise ValueError(f"monotone features are not among the features: {unknown}")
+    rows, binning, base = table or boost_table(train, params.bins, offset, numeric, categorical)
+    spark = rows.sparkSession
+    model = BoostedModel(params, binning, base, finished_trees(spark, progress) if progress else [])
+    names = binning.features
+    if model.trees:
+        rows = stored(with_margin(rows, model.trees, names), "boost-rows")
     pending: list[Tree] = []
-    for _ in range(params.trees):
-        share = max(1, round(params.feature_share * len(binning.features)))
-        chosen = set(rng.sample(binning.features, share))
-        features = [f for f in binning.features if f in chosen]
-        tree = grow_tree(with_margin(rows, pending), binning, params, features)
+    rng = random.Random(params.seed)
+    for no in range(params.trees):
+        chosen = set(rng.sample(names, max(1, round(params.feature_share * len(names)))))
+        if no < len(model.trees):
+            continue
+        features = [f for f in names if f in chosen]
+
+        def count(tree, nodes, features=features):
+            return histograms(rows, params, features, names, pending, tree, nodes)
+
+        tree = grow_tree(count, binning, params, features)
+        if progress:
+            commits.publish(spark, _tree_file(progress, no), json.dumps(asdict(tree)))
         model.trees.append(tree)
         pending.append(tree)
         if len(pending) >= params.store_every:
-            rows = stored(with_margin(rows, pending), "boost-rows")
-            pending = []
+            rows, pending = stored(with_margin(rows, pending, names), "boost-rows"), []
     return model
 
 
-def with_margin(rows: DataFrame, trees: list[Tree]) -> DataFrame:
-    """Add the trees' values to the margin ``m``."""
-    for tree in trees:
-        values = tree.values
-        rows = rows.withColumn("m", F.col("m") + F.expr(tree.sql(lambda n, v=values: f"({v[n]!r}D)")))
-    return rows
-
-
-def _leaf_values(codes: pd.DataFrame, tree: Tree) -> np.ndarray:
-    out = np.empty(len(codes))
-    stack = [(0, np.arange(len(codes)))]
-    while stack:
-        node, at = stack.pop()
-        if node not in tree.children:
-            out[at] = tree.values[node]
-            continue
-        split, (left, right) = tree.splits[node], tree.children[node]
-        goes = split.goes_left(codes[f"b_{split.feature}"].to_numpy()[at])
-        stack += [(left, at[goes]), (right, at[~goes])]
-    return out
-
-
 def score_boosted(df: DataFrame, model: BoostedModel, keep: list[str]) -> DataFrame:
     """``keep`` columns plus ``yhat``. Trees are walked with numpy on Arrow batches: hundreds of trees exceed what one
     generated CASE expression can hold."""
     rows = binned(df, model.binning, keep)
     text = model.to_json()
 
-    def walk(batches):
-        trees = BoostedModel.from_json(text)
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = BoostedModel.from_json(text)
         for batch in batches:
-            margin = np.full(len(batch), trees.base)
-            for tree in trees.trees:
-                margin += _leaf_values(batch, tree)
-            yield batch[keep].assign(yhat=np.exp(margin))
+            bins = _bins_of(batch, own.binning.features)
+            margin = np.full(batch.num_rows, own.base)
+            for tree in own.trees:
+                margin += tree.outputs(bins, own.binning.features)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(np.exp(margin))], [*keep, "yhat"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields)
-    return rows.mapInPandas(walk, f"{schema}, yhat double")
+    return rows.mapInArrow(walk, f"{schema}, yhat double")
+
+
+def tree_table(spark, tree: Tree, binning: Binning) -> DataFrame:
+    """One row per split, in the order they were made."""
+    found = []
+    for no, (node, split) in enumerate(tree.splits.items()):
+        cut = float(binning.cuts[split.feature][split.upto]) if split.upto is not None else None
+        levels = [binning.levels[split.feature][b] for b in split.left_bins] if split.upto is None else None
+        left, right = tree.children[node]
+        found.append((no, node, split.feature, cut, levels, tree.rows[left], tree.rows[right], tree.values[left], tree.values[right]))
+    return spark.createDataFrame(pd.DataFrame(found, columns=TREE_COLUMNS).values.tolist(), TREE) if found else spark.createDataFrame([], TREE)
+
+
+TREE = "no int, node int, feature string, upto double, left_levels array<string>, left_rows long, right_rows long, left_value double, right_value double"
+TREE_COLUMNS = [c.split()[0] for c in TREE.split(", ")]

@@ -124,13 +124,18 @@ def fit_design(df: DataFrame, settings: Features, rows: str | None = None) -> De
         aggregates += [F.min(c).cast("double").alias(f"lo_{c}"), F.max(c).cast("double").alias(f"hi_{c}")]
     for c in SCALED_SOURCES:
         aggregates += [F.sum(F.col(c) * n).alias(f"s1_{c}"), F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    aggregates += [F.sum(n).alias("n"), *[F.collect_set(c).alias(f"set_{c}") for c in ONE_HOT_SOURCES]]
+    aggregates += [F.sum(n).alias("n"), *[F.approx_count_distinct(c).alias(f"levels_{c}") for c in ONE_HOT_SOURCES]]
     found = df.agg(*aggregates).first()
+    # Levels are counted, roughly, before any list of them is made; the exact check below sees lists of that size at most.
+    too_many = [c for c in ONE_HOT_SOURCES if found[f"levels_{c}"] > 2 * MAX_LEVELS]
+    if too_many:
+        raise ValueError(f"too many levels for a rating factor: {too_many}")
     means = {c: found[f"s1_{c}"] / found["n"] for c in SCALED_SOURCES}
     spread = df.agg(
-        *[F.sqrt(F.sum(n * (F.col(c) - F.lit(means[c])) * (F.col(c) - F.lit(means[c]))) / F.sum(n)).alias(c) for c in means]
+        *[F.sqrt(F.sum(n * (F.col(c) - F.lit(means[c])) * (F.col(c) - F.lit(means[c]))) / F.sum(n)).alias(c) for c in means],
+        *[F.collect_set(c).alias(f"set_{c}") for c in ONE_HOT_SOURCES],
     ).first()
-    one_hot = {c: sorted(found[f"set_{c}"]) for c in ONE_HOT_SOURCES}
+    one_hot = {c: sorted(spread[f"set_{c}"]) for c in ONE_HOT_SOURCES}
     too_many = [c for c, levels in one_hot.items() if len(levels) > MAX_LEVELS]
     if too_many:
         raise ValueError(f"too many levels for a rating factor: {too_many}")

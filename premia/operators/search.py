@@ -1,21 +1,28 @@
-"""Seeded random search over boosting parameters; finished trials are kept in a table, so a rerun resumes."""
+"""Seeded random search over boosting parameters.
+
+All trials read one binned table and run side by side as concurrent jobs. A trial is claimed by creating a file, so two
+drivers that search the same folder share the work; finished trees are published as they come, so a search that is
+started again goes on inside of the ensemble it was fitting, and finished trials are not fitted again.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import random
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.deviance import mean_deviance
-from premia.operators.boost import BoostedModel, BoostParams, fit_boosted, score_boosted
+from premia.operators.boost import BoostedModel, BoostParams, boost_table, fit_boosted, score_boosted
 from premia.settings import Boosting
-from premia.sources.readers import read_if_there
-from premia.sources.sinks import append_table
+from premia.sources import commits
 
 TRIALS = "trial int, params string, row_share double, deviance double, ended_by_time boolean"
 
@@ -36,6 +43,8 @@ def trial_params(trial: int, loss: str, settings: Boosting, seed: int = 42) -> t
         trees=rng.randint(*settings.trees),
         ridge=log_uniform(settings.ridge),
         feature_share=rng.uniform(*settings.feature_share),
+        depth=settings.depth,
+        bins=settings.bins,
         seed=seed,
     )
     return params, rng.uniform(*settings.row_share)
@@ -46,35 +55,65 @@ def boost_deviance(scored: DataFrame, loss: str, power: float) -> float:
     return scored.agg(value.alias("d")).first()["d"]
 
 
-def finished_trials(spark, path: str) -> set[str]:
-    """Parameters of the trials that the table already holds; a trial of another loss, seed or range is another one."""
-    return {r["params"] for r in read_if_there(spark, path, TRIALS).where("deviance IS NOT NULL").collect()}
+def _key(params: BoostParams) -> str:
+    """Names a trial's files: a trial of another loss, seed or range is another one."""
+    return hashlib.sha256(json.dumps(asdict(params)).encode()).hexdigest()[:32]
+
+
+def finished_trials(spark, path: str) -> dict[str, tuple]:
+    """Rows of the finished trials below ``path`` by trial key."""
+    done = f"{path}/done"
+    return {n.removesuffix(".json"): tuple(json.loads(commits.read_text(spark, f"{done}/{n}"))) for n in commits.names(spark, done)}
+
 
+def _claimed(spark, path: str, key: str) -> bool:
+    """Whether this application may fit the trial: nobody else has claimed it."""
+    mine = spark.sparkContext.applicationId
+    file = f"{path}/claims/{key}.json"
+    return commits.publish(spark, file, json.dumps(mine)) or json.loads(commits.read_text(spark, file)) == mine
 
-def search(train: DataFrame, val: DataFrame, loss: str, settings: Boosting, trials_path: str, seed: int = 42, **fixed):
-    """Runs the missing trials; returns the table of this search's trials.
 
-    There is no time limit unless the settings name one; a search that it ends leaves a row without a score and with
-    ``ended_by_time``. ``fixed`` overrides parameters, for example a smaller depth.
+def release_claims(spark, path: str) -> None:
+    """Give up the claims below ``path``: call it when the driver that made them is gone, then search again."""
+    commits.delete(spark, f"{path}/claims")
+
+
+def search(train: DataFrame, val: DataFrame, loss: str, settings: Boosting, trials_path: str, seed: int = 42, **fixed) -> DataFrame:
+    """Run the missing trials, ``settings.parallel_trials`` at a time; returns the table of this search's trials.
+
+    There is no time limit unless the settings name one; trials that it keeps from starting give a row without a score
+    and with ``ended_by_time``. Trials that another driver holds are left to it and are in the table once they are
+    done. ``fixed`` overrides parameters, for example a depth.
     """
     spark = train.sparkSession
-    done, started = finished_trials(spark, trials_path), time.monotonic()
-    named = []
+    started = time.monotonic()
+    wanted = {}
     for trial in range(settings.trials):
         params, row_share = trial_params(trial, loss, settings, seed)
         params = replace(params, **fixed)
-        text = json.dumps(asdict(params))
-        named.append(text)
-        if text in done:
-            continue
+        wanted[_key(params)] = (trial, params, row_share)
+    done = finished_trials(spark, trials_path)
+    missing = [k for k in wanted if k not in done]
+    tables = {bins: boost_table(train, bins) for bins in {wanted[k][1].bins for k in missing}}
+
+    def run(key: str) -> tuple | None:
+        trial, params, row_share = wanted[key]
         if settings.timeout_s is not None and time.monotonic() - started > settings.timeout_s:
-            append_table(spark.createDataFrame([(trial, text, row_share, None, True)], TRIALS).coalesce(1), trials_path)
-            break
-        model = fit_boosted(train, params)
+            return trial, json.dumps(asdict(params)), row_share, None, True
+        if not _claimed(spark, trials_path, key):
+            return None
+        progress = f"{trials_path}/trees/{key}"
+        model = fit_boosted(None, params, table=tables[params.bins], progress=progress)
         score = boost_deviance(score_boosted(val, model, ["y", "w"]), loss, settings.tweedie_power)
-        row = [(trial, text, row_share, score, False)]
-        append_table(spark.createDataFrame(row, TRIALS).coalesce(1), trials_path)
-    return read_if_there(spark, trials_path, TRIALS).where(F.col("params").isin(named))
+        row = (trial, json.dumps(asdict(params)), row_share, score, False)
+        commits.publish(spark, f"{trials_path}/done/{key}.json", json.dumps(row))
+        commits.delete(spark, progress)
+        return row
+
+    with ThreadPoolExecutor(max(1, settings.parallel_trials)) as pool:
+        late = [r for r in pool.map(inheritable_thread_target(spark)(run), missing) if r and r[-1]]
+    rows = [tuple(r) for k, r in finished_trials(spark, trials_path).items() if k in wanted]
+    return spark.createDataFrame(sorted([*rows, *late]), TRIALS)
 
 
 def best_params(trials: DataFrame) -> BoostParams:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -9,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.deviance import mean_deviance
-from premia.operators.design import GLM_SOURCES, design_cells, fit_design
+from premia.operators.design import GLM_SOURCES, DesignSpec, design_cells, fit_design
 from premia.operators.features import kfold_assign
-from premia.operators.glm import FittedGlm, encode_rows, fit_encoded, fit_glm, start_penalties
+from premia.operators.glm import FittedGlm, fit_glm
+from premia.operators.irls import Point, fit_many, stack
 from premia.settings import Settings
 from premia.workspace import stored
 
@@ -26,50 +28,39 @@ def model_sources(settings: Settings) -> list[str]:
 def cross_validate(train: DataFrame, family: str, grid: list[tuple[float, float | None]], settings: Settings) -> DataFrame:
     """(family, alpha, power, fold, deviance) for every (alpha, power) of ``grid`` and every fold.
 
-    Rows are collapsed to design cells per fold once. For each fold the encoder is learned on the other folds and the
-    grid's fits share one cached encoded table; fits are independent jobs submitted side by side. The validation
-    deviances of a fold's models come from a single pass over the fold.
+    Rows are collapsed to design cells per fold once. For each fold the encoder is learned on the other folds; all fits
+    of all folds then advance together, one pass over the encoded cells per step. The validation deviances of a fold's
+    models come from a single pass over the fold.
     """
+    return validate_folds(train, family, grid, settings, lambda inside: fit_design(inside, settings.features, rows="n_rows"), model_sources(settings))
+
+
+def validate_folds(
+    train: DataFrame, family: str, grid: list[tuple[float, float | None]], settings: Settings, learn: Callable[[DataFrame], DesignSpec], sources: list[str]
+) -> DataFrame:
+    """``cross_validate`` with an encoder of the caller's choice: ``learn`` gets the cells of the other folds."""
     m = settings.modelling
-    sources = model_sources(settings)
     rows = kfold_assign(train, m.folds)
     cells = stored(design_cells(rows, sources, ["fold"]), "cv-cells")
-    submit = inheritable_thread_target(train.sparkSession)
-
-    def prepare(fold):
-        inside = cells.where(F.col("fold") != fold)
-        design = fit_design(inside, settings.features, rows="n_rows")
-        data = encode_rows(inside, design)
-        starts = [None] * len(grid)
-        if family == "tweedie" and m.tweedie_alpha:
-            starts = start_penalties(data, m.tweedie_alpha, [p for _, p in grid], m.max_iter)
-        return fold, design, data, dict(zip(grid, starts))
-
-    def one(task):
-        (_, design, data, starts), point = task
-        alpha, power = point
-        return fit_encoded(data, design, family, alpha, power, m.max_iter, starts[point])
-
+    inside = {fold: cells.where(F.col("fold") != fold) for fold in range(m.folds)}
     with ThreadPoolExecutor(m.parallel_fits) as pool:
-        folds = list(pool.map(submit(prepare), range(m.folds)))
-        tasks = [(f, point) for f in folds for point in grid]
-        fitted = list(pool.map(submit(one), tasks))
-    for _, _, data, _ in folds:
-        data.release()
+        designs = dict(zip(inside, pool.map(inheritable_thread_target(train.sparkSession)(learn), inside.values()), strict=True))
+    tasks = [Point(fold, family, alpha, power) for fold in inside for alpha, power in grid]
+    encoded = stack({fold: (part, designs[fold]) for fold, part in inside.items()})
+    fitted = fit_many(encoded, designs, tasks, m.max_iter)
 
-    out = []
     weight = F.col("sample_weight").cast("double")
-    for fold in range(m.folds):
-        models = [model for (f, _), model in zip(tasks, fitted) if f[0] == fold]
+
+    def score(fold: int) -> list[tuple]:
+        models = [model for point, model in zip(tasks, fitted, strict=True) if point.part == fold]
         held = rows.where(F.col("fold") == fold)
         held = held.withColumns({f"_p{i}": model.prediction() for i, model in enumerate(models)})
-        scores = held.agg(
-            *[
-                mean_deviance(family, F.col("y"), F.col(f"_p{i}"), weight, model.power).alias(f"d{i}")
-                for i, model in enumerate(models)
-            ]
-        ).first()
-        out += [(family, model.alpha, model.power, fold, scores[i]) for i, model in enumerate(models)]
+        parts = [mean_deviance(family, F.col("y"), F.col(f"_p{i}"), weight, model.power).alias(f"d{i}") for i, model in enumerate(models)]
+        scores = held.agg(*parts).first()
+        return [(family, model.alpha, model.power, fold, scores[i]) for i, model in enumerate(models)]
+
+    with ThreadPoolExecutor(m.parallel_fits) as pool:
+        out = [row for part in pool.map(inheritable_thread_target(train.sparkSession)(score), inside) for row in part]
     return train.sparkSession.createDataFrame(out, CV_TABLE)
 
 

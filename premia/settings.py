@@ -83,6 +83,9 @@ class Boosting:
     ridge: tuple[float, float] = (1e-4, 10.0)
     feature_share: tuple[float, float] = (0.5, 1.0)
     row_share: tuple[float, float] = (0.5, 1.0)
+    depth: int | None = None
+    bins: int = 255
+    parallel_trials: int = 4
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from premia.operators import attribution, boost, design, evaluate, explain, glm, search, tune
+from premia.operators import attribution, boost, design, evaluate, explain, glm, irls, search, tune
 from premia.operators.features import scored
 from premia.plans import runs, training
 from premia.settings import Boosting, Modelling, Settings
@@ -47,6 +47,27 @@ def test_ridge_fit_equals_newton(spark, settings, job_folders, case, family, pow
     np.testing.assert_allclose([model.intercept, *model.coefficients], expected, atol=1e-6)
 
 
+def test_fits_of_a_grid_equal_single_fits(spark, settings, job_folders):
+    grids = {
+        "frequency": [("poisson", 0.001, None), ("poisson", 1.0, None)],
+        "severity": [("gamma", 0.01, None)],
+        "pure_premium": [("tweedie", 1.0, 1.2), ("tweedie", 1.0, 1.8)],
+    }
+    parts, points = {}, []
+    for no, (case, grid) in enumerate(grids.items()):
+        cells = design.design_cells(gold(spark, job_folders, case), list(design.GLM_SOURCES))
+        parts[no] = cells, design.fit_design(cells, settings.features, rows="n_rows")
+        points += [irls.Point(no, *g) for g in grid]
+    models = irls.fit_many(irls.stack(parts), {no: spec for no, (_, spec) in parts.items()}, points)
+    for point, model in zip(points, models, strict=True):
+        cells, spec = parts[point.part]
+        single = glm.fit_glm(cells, spec, point.family, point.alpha, point.power)
+        found, wanted = ([m.intercept, *m.coefficients] for m in (model, single))
+        np.testing.assert_allclose(found, wanted, atol=1e-6)
+        exact = newton(gold(spark, job_folders, list(grids)[point.part]), spec, point.p, point.alpha)
+        np.testing.assert_allclose(found, exact, atol=1e-8)
+
+
 def test_unregularised_poisson_is_balanced(spark, job_folders):
     rows = gold(spark, job_folders, "frequency")
     cells = design.design_cells(rows, ["area"])
@@ -133,6 +154,145 @@ def test_ties_go_to_the_first_grid_point(spark):
 PARAMS = boost.BoostParams(trees=4, depth=3, leaves=6, min_child_rows=5)
 
 
+def one_by_one(bins, y, w, m, features, binning, params):
+    """Best-first growth that splits one leaf after the other and sums every histogram anew."""
+
+    def hist(rows):
+        g, h = boost.gradients(params, y[rows], w[rows], m[rows])
+        out = np.zeros((3, len(features), boost.MAX_BINS))
+        for f in range(len(features)):
+            for k, v in enumerate((g, h, np.ones(len(rows)))):
+                np.add.at(out[k, f], bins[rows, f], v)
+        return out
+
+    leaves = {0: (np.arange(len(y)), (-np.inf, np.inf), 0)}
+    splits, next_id = [], 1
+    while len(leaves) < params.leaves:
+        found = {}
+        for node, (rows, bounds, depth) in leaves.items():
+            if params.depth is None or depth < params.depth:
+                candidate = boost.best_split(hist(rows), features, binning, params, bounds)
+                if candidate:
+                    found[node] = candidate
+        if not found:
+            break
+        node = max(found, key=lambda n: (found[n].gain, -n))
+        best, (rows, (low, high), depth) = found[node], leaves.pop(node)
+        goes = best.split.goes_left(bins[rows, features.index(best.split.feature)])
+        middle = (best.left[0] + best.right[0]) / 2
+        tight = best.split.feature in params.increasing
+        leaves[next_id] = rows[goes], (low, middle if tight else high), depth + 1
+        leaves[next_id + 1] = rows[~goes], (middle if tight else low, high), depth + 1
+        splits.append((node, best.split, int(goes.sum()), int((~goes).sum())))
+        next_id += 2
+    return splits
+
+
+@pytest.mark.parametrize(("leaves", "depth", "loss"), [(100, None, "poisson"), (12, None, "tweedie"), (40, 4, "poisson")])
+def test_growth_equals_splitting_one_leaf_at_a_time(leaves, depth, loss):
+    rng = np.random.default_rng(7)
+    n, features = 1000, ["a", "b", "c", "d"]
+    binning = boost.Binning({"a": list(range(29)), "b": list(range(9)), "c": list(range(49))}, {"d": [f"l{i}" for i in range(8)]})
+    bins = np.column_stack([rng.integers(0, binning.size(f), n) for f in features])
+    w = rng.uniform(0.1, 1, n)
+    y = rng.poisson(np.exp(0.05 * bins[:, 0] - 0.3 * (bins[:, 3] % 3) - 1) * w) / w
+    m = np.full(n, np.log(np.average(y, weights=w)))
+    params = boost.BoostParams(loss=loss, leaves=leaves, depth=depth, min_child_rows=4, increasing=("a",), ridge=0.5)
+    counted = []
+
+    def count(tree, nodes):
+        counted.append(len(nodes))
+        at, g_h = tree.places(bins, features), boost.gradients(params, y, w, m)
+        out = {}
+        for node in nodes:
+            rows = at == node
+            out[node] = np.stack(
+                [[np.bincount(bins[rows, f], v[rows], boost.MAX_BINS) for f in range(len(features))] for v in (*g_h, np.ones(n))]
+            )
+        return out
+
+    tree = boost.grow_tree(count, binning, params, features)
+    want = one_by_one(bins, y, w, m, features, binning, params)
+    assert [(n, s) for n, s in tree.splits.items()] == [(n, s) for n, s, _, _ in want]
+    assert [tuple(tree.rows[c] for c in tree.children[n]) for n, *_ in want] == [x[2:] for x in want]
+    assert len(tree.leaves()) == len(want) + 1 and (leaves != 100 or len(tree.leaves()) > 64)
+    assert len(counted) <= tree.depth() + 4
+
+
+def test_large_trees_on_spark_and_missing_bins(spark):
+    n = 6000
+    rows = spark.range(n).selectExpr(
+        "cast(id % 251 as double) AS x", "nullif(id % 17, 3) AS z", "concat('k', id % 5) AS k", "cast(1 + id % 3 as double) AS w", "cast((id * 7919) % 1009 as double) / 100 AS y"
+    )
+    params = boost.BoostParams(trees=2, leaves=90, min_child_rows=5, increasing=())
+    model = boost.fit_boosted(rows, params, numeric=("x", "z"), categorical=("k",))
+    assert [len(t.leaves()) for t in model.trees] == [90, 90]
+    for tree in model.trees:
+        assert sum(tree.rows[leaf] for leaf in tree.leaves()) == n
+    scored_rows = boost.score_boosted(rows, model, ["y", "w"]).toPandas()
+    assert scored_rows["yhat"].notna().all()
+    with pytest.raises(ValueError, match="monotone"):
+        boost.fit_boosted(rows, boost.BoostParams(), numeric=("x",), categorical=("k",))
+
+
+def test_a_fit_goes_on_after_its_finished_trees(spark, job_folders, tmp_path, monkeypatch):
+    rows = training.boost_rows(gold(spark, job_folders, "frequency"), ["policy_id"])
+    path, params = str(tmp_path / "trees"), boost.BoostParams(trees=3, leaves=5, min_child_rows=5, feature_share=0.5)
+    whole = boost.fit_boosted(rows, params)
+    grow, grown = boost.grow_tree, []
+
+    def stops(*args):
+        if len(grown) == 2:
+            raise RuntimeError("driver lost")
+        grown.append(1)
+        return grow(*args)
+
+    monkeypatch.setattr(boost, "grow_tree", stops)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        boost.fit_boosted(rows, params, progress=path)
+    monkeypatch.setattr(boost, "grow_tree", lambda *a: grown.append(1) or grow(*a))
+    again = boost.fit_boosted(rows, params, progress=path)
+    assert len(grown) == 3
+    assert [list(t.splits.values()) for t in again.trees] == [list(t.splits.values()) for t in whole.trees]
+    for one, two in zip(again.trees, whole.trees, strict=True):
+        np.testing.assert_allclose(list(one.values.values()), list(two.values.values()), rtol=1e-9)
+
+
+def brute_shapley(bins, tree, features):
+    """Shapley values by all subsets, with absent features averaged by cover."""
+    from itertools import combinations
+    from math import factorial
+
+    def expected(row, known, node=0):
+        if node not in tree.children:
+            return tree.values[node]
+        split, (a, b) = tree.splits[node], tree.children[node]
+        if split.feature in known:
+            at = row[features.index(split.feature)]
+            return expected(row, known, a if split.goes_left(np.array([at]))[0] else b)
+        return (tree.rows[a] * expected(row, known, a) + tree.rows[b] * expected(row, known, b)) / tree.rows[node]
+
+    d = len(features)
+    out = np.zeros((len(bins), d))
+    for r, row in enumerate(bins):
+        for i, f in enumerate(features):
+            others = [x for x in features if x != f]
+            for k in range(d):
+                for subset in combinations(others, k):
+                    share = factorial(k) * factorial(d - k - 1) / factorial(d)
+                    out[r, i] += share * (expected(row, {*subset, f}) - expected(row, set(subset)))
+    return out
+
+
+def test_attributions_equal_all_subsets(spark):
+    rows = spark.range(800).selectExpr("cast(id % 13 as double) AS a", "cast((id * 7) % 11 as double) AS b", "cast((id * 3) % 5 as double) AS c", "concat('k', id % 4) AS k", "1D AS w", "cast((id * 31) % 97 as double) AS y")
+    model = boost.fit_boosted(rows, boost.BoostParams(trees=2, leaves=14, depth=4, increasing=(), min_child_rows=3), numeric=("a", "b", "c"), categorical=("k",))
+    features = model.binning.features
+    bins = boost.binned(rows.limit(25), model.binning, []).toPandas().to_numpy()
+    want = sum(brute_shapley(bins, t, features) for t in model.trees)
+    np.testing.assert_allclose(attribution.tree_attributions(bins, model.trees, features), want, atol=1e-12)
+
+
 @pytest.fixture(scope="module")
 def boosted(spark, job_folders):
     rows = training.boost_rows(gold(spark, job_folders, "frequency"), ["policy_id"])
@@ -180,6 +340,38 @@ def test_search_resumes(spark, job_folders, tmp_path):
     assert search.best_params(both).trees == 1
 
 
+def test_a_search_that_is_stopped_midway_ends_with_the_same_table(spark, job_folders, tmp_path, monkeypatch):
+    train, val = (training.boost_rows(gold(spark, job_folders, "frequency", s), []) for s in ("train", "val"))
+    settings, fixed = Boosting(trials=2, parallel_trials=2), {"trees": 2, "leaves": 4}
+    whole = search.search(train, val, "poisson", settings, str(tmp_path / "whole"), **fixed).collect()
+    path, fit, fits = str(tmp_path / "stopped"), search.fit_boosted, []
+
+    def stops(*args, **kw):
+        fits.append(1)
+        if len(fits) == 2:
+            raise RuntimeError("driver lost")
+        return fit(*args, **kw)
+
+    monkeypatch.setattr(search, "fit_boosted", stops)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        search.search(train, val, "poisson", settings, path, **fixed)
+    monkeypatch.setattr(search, "fit_boosted", fit)
+    again = search.search(train, val, "poisson", settings, path, **fixed).collect()
+    assert [r[:3] for r in again] == [r[:3] for r in whole]
+    np.testing.assert_allclose([r.deviance for r in again], [r.deviance for r in whole], rtol=1e-9)
+
+
+def test_a_trial_that_another_driver_holds_is_left_to_it(spark, job_folders, tmp_path, monkeypatch):
+    train, val = (training.boost_rows(gold(spark, job_folders, "frequency", s), []) for s in ("train", "val"))
+    path, settings = str(tmp_path / "trials"), Boosting(trials=1)
+    with monkeypatch.context() as patch:
+        patch.setattr(search, "_claimed", lambda *a: False)
+        assert search.search(train, val, "poisson", settings, path, trees=1).count() == 0
+    assert search._claimed(spark, path, "a") and search._claimed(spark, path, "a")
+    search.release_claims(spark, path)
+    assert search.search(train, val, "poisson", settings, path, trees=1, leaves=3).count() == 1
+
+
 def test_training_job_logs_and_registers(spark, job_folders, tmp_path):
     settings = Settings(modelling=Modelling(poisson_alphas=(0.01,), folds=2))
     path = str(tmp_path)
