@@ -376,7 +376,7 @@ def _quote_files(spark, sf) -> str:
             "ts": F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.col("policy_id"), F.lit(600))),
         }
     )
-    sinks.write_table(rows.unionByName(rows.where("policy_id % 97 = 1")), path)
+    rows.unionByName(rows.where("policy_id % 97 = 1")).write.parquet(path)
     return path
 
 

@@ -181,8 +181,8 @@ def _lineage_table(spark, sf):
     older = rows.withColumns(
         {"bundle": F.lit("outdated"), "created_at": F.lit("2024-01-01 00:00:00").cast("timestamp")}
     )
-    sinks.append_table(older, path)
-    sinks.append_table(rows, path)
+    lineage.append(spark, path, older)
+    lineage.append(spark, path, rows)
     return lineage.read_lineage(spark, path)
 
 
@@ -356,6 +356,15 @@ def validate_bronze_sev(spark, sf):
     return quality.violation_counts(layers.stored_claims(spark, sf), quality.bronze_claim_rules(S))
 
 
+@query("validate_job", "SELECT 'policies' AS table_name, count(*) AS rows FROM freq UNION ALL SELECT 'claims', count(*) FROM sev")
+def validate_job(spark, sf):
+    """Both stored bronze tables held against all of their rules, and their row counts."""
+    root = fresh_path(spark, "validate-job")
+    sinks.write_table(layers.stored_policies(spark, sf), f"{root}/policies")
+    sinks.write_table(layers.stored_claims(spark, sf), f"{root}/claims")
+    return bronze.validate_bronze(spark, root, S)
+
+
 SILVER_NULLS = " ".join(
     f"UNION ALL SELECT '{c}', 'not_nullable', count(*) FILTER (WHERE {c} IS NULL) FROM silver"
     for c in ("policy_id", "claim_nb", "exposure", "area", "driv_age", "bonus_malus", "veh_gas")

@@ -23,6 +23,8 @@ class PricingAssets:
     large_loss_load: float
     trained_at: str | None = None
     data_hash: str | None = None
+    #: Bins of the training rows that quotes are held against for drift.
+    reference: DataFrame | None = None
 
     def version(self) -> str:
         return f"freq:{self.frequency_version}|sev:{self.severity_version}"

@@ -11,8 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from premia.operators.digest import content_digest
-from premia.sources.readers import read_if_there
-from premia.sources.sinks import append_table
+from premia.sources import commits
+from premia.sources.readers import read_commits
 
 LINEAGE = (
     "layer string, table_name string, rows bigint, cols int, table_schema map<string,string>, content_digest string, "
@@ -52,7 +52,6 @@ def record(
     upstream: str | None = None,
     extra: dict | None = None,
 ) -> None:
-    stamp = datetime.now(timezone.utc).isoformat()
     rows = manifest(layer, tables).select(
         "layer",
         "table_name",
@@ -63,13 +62,19 @@ def record(
         "bundle",
         F.lit(upstream).cast("string").alias("upstream"),
         F.lit(json.dumps(extra) if extra else None).cast("string").alias("extra"),
-        F.lit(stamp).cast("timestamp").alias("created_at"),
+        F.lit(datetime.now(timezone.utc).isoformat()).cast("timestamp").alias("created_at"),
     )
-    append_table(rows.coalesce(1), path)
+    append(spark, path, rows)
+
+
+def append(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Commit lineage rows; there is one short row per table, and a layer's entries appear together."""
+    lines = [r[0] for r in rows.select(F.to_json(F.struct("*"))).collect()]
+    commits.commit(spark, path, lambda *_: "\n".join(lines))
 
 
 def read_lineage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LINEAGE).parquet(path)
+    return read_commits(spark, path, LINEAGE)
 
 
 def bundles(lineage: DataFrame) -> DataFrame:
@@ -79,7 +84,7 @@ def bundles(lineage: DataFrame) -> DataFrame:
 
 
 def latest_bundle(spark: SparkSession, path: str, layer: str, required: bool = False) -> str | None:
-    row = bundles(read_if_there(spark, path, LINEAGE).where(F.col("layer") == layer)).first()
+    row = bundles(read_lineage(spark, path).where(F.col("layer") == layer)).first()
     if row is None and required:
         raise FileNotFoundError(f"no lineage for layer {layer!r} at {path}")
     return row["bundle"] if row else None

@@ -23,7 +23,10 @@ def pricing_models(models: DataFrame, log: DataFrame, settings: Settings) -> Dat
     return latest.join(stamped, "run_id", "left")
 
 
-def load_pricing_assets(spark: SparkSession, runs_path: str, silver_path: str, settings: Settings) -> PricingAssets:
+def load_pricing_assets(
+    spark: SparkSession, runs_path: str, silver_path: str, settings: Settings, gold_path: str | None = None
+) -> PricingAssets:
+    """Latest models, large-loss load and, with ``gold_path``, the reference distribution of the training rows."""
     found = {
         r["name"]: r
         for r in pricing_models(runs.read_models(spark, runs_path), runs.read_runs(spark, runs_path), settings).collect()
@@ -42,6 +45,7 @@ def load_pricing_assets(spark: SparkSession, runs_path: str, silver_path: str, s
         load,
         str(frequency["started_at"]),
         frequency["data_hash"],
+        read_table(spark, f"{gold_path}/reference_distribution") if gold_path else None,
     )
 
 

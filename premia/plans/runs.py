@@ -1,16 +1,17 @@
-"""Run log and model store as append-only tables."""
+"""Run log and model store as numbered commits: a run or a model version appears whole, once and under its own number."""
 
 from __future__ import annotations
 
 import json
 import uuid
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.sources.readers import read_if_there
-from premia.sources.sinks import append_table
+from premia.sources import commits
+from premia.sources.readers import read_commits
 
 RUNS = (
     "run_id string, run_name string, params map<string,string>, metrics map<string,double>, "
@@ -19,6 +20,16 @@ RUNS = (
 MODELS = "name string, version string, run_id string, model string"
 
 
+def register_model(spark: SparkSession, path: str, name: str, run_id: str, model_json: str) -> int:
+    """Store the model as the next version of its name. Writers that come at once get different versions: the one whose
+    number is taken meanwhile goes on to the next."""
+
+    def entry(number: int, _: list[str]) -> str:
+        return json.dumps({"name": name, "version": str(number), "run_id": run_id, "model": model_json})
+
+    return commits.commit(spark, f"{path}/models/{quote(name, safe='')}", entry)
+
+
 def run_log_append(
     spark: SparkSession,
     path: str,
@@ -31,29 +42,27 @@ def run_log_append(
     register_as: str | None = None,
 ) -> str:
     run_id = uuid.uuid4().hex
-    row = (
-        run_id,
-        run_name,
-        {k: json.dumps(v) for k, v in params.items()},
-        {k: float(v) for k, v in metrics.items()},
-        tags,
-        artifacts or {},
-        datetime.now(timezone.utc),
-    )
-    append_table(spark.createDataFrame([row], RUNS).coalesce(1), f"{path}/runs")
+    row = {
+        "run_id": run_id,
+        "run_name": run_name,
+        "params": {k: json.dumps(v) for k, v in params.items()},
+        "metrics": {k: float(v) for k, v in metrics.items()},
+        "tags": tags,
+        "artifacts": artifacts or {},
+        "started_at": datetime.now(timezone.utc).isoformat(),
+    }
+    commits.commit(spark, f"{path}/runs", lambda *_: json.dumps(row))
     if register_as:
-        version = (latest_version(read_models(spark, path), register_as) or 0) + 1
-        entry = [(register_as, str(version), run_id, model_json)]
-        append_table(spark.createDataFrame(entry, MODELS).coalesce(1), f"{path}/models")
+        register_model(spark, path, register_as, run_id, model_json)
     return run_id
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(f"{path}/runs")
+    return read_commits(spark, f"{path}/runs", RUNS)
 
 
 def read_models(spark: SparkSession, path: str) -> DataFrame:
-    return read_if_there(spark, f"{path}/models", MODELS)
+    return read_commits(spark, f"{path}/models", MODELS)
 
 
 def run_log_metrics(runs: DataFrame, run_id: str | None = None) -> DataFrame:

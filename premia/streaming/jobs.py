@@ -14,9 +14,10 @@ from premia.operators.drift import long_features
 from premia.operators.quality import TableRules, with_reasons
 from premia.operators.quotes import PricingAssets, price_quotes
 from premia.settings import Settings
+from premia.sources import commits
 
-#: How late a row may be by default. Rows that are later are not counted and quotes not priced; a source that is later
-#: than that needs a longer delay, which costs state.
+#: How late a row may be by default. Request rows that are later are not counted, quotes that are later go to quarantine;
+#: a source that is later than that needs a longer delay, which costs state.
 WATERMARK = "10 minutes"
 
 
@@ -91,26 +92,55 @@ def start_pricing(
     delay: str = WATERMARK,
     **trigger,
 ) -> StreamingQuery:
-    """Prices arriving quotes (request_id, ts and the quote fields) once each; invalid ones go to quarantine.
+    """Prices arriving quotes (request_id, ts and the quote fields) once each. Every quote comes out once: in ``priced``,
+    in ``quarantine`` with the rules it fails, or ``late`` where it is more than ``delay`` behind the latest quote of
+    the batches before, or in ``repeated`` where its id came before within ``delay`` (or earlier in its batch).
 
-    Repeated ids are recognised within ``delay``; quotes that are later than that are dropped.
+    What has been seen is a table per micro-batch below ``path/seen``: ids within the delay, and the latest time. A
+    batch reads that of the batch before and writes its own, so a repeated batch gives the same rows again; a quote
+    without a time is late, one without an id is never a repetition.
     """
-    judged = with_reasons(quotes.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["request_id"]), rules)
+    spark = quotes.sparkSession
+    seen_schema = "request_id " + quotes.schema["request_id"].dataType.simpleString() + ", ts timestamp"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        seen = _seen(spark, f"{path}/seen", batch_id - 1, seen_schema)
+        latest = seen.agg(F.max("ts")).first()[0]
+        patience = F.expr(f"INTERVAL {delay}")
+        behind = F.col("ts").isNull() | (F.lit(False) if latest is None else F.col("ts") < F.lit(latest) - patience)
+        rows = batch.withColumn("_row", F.monotonically_increasing_id()).withColumn("_late", behind).persist()
         try:
-            good = batch.where("_reason = ''").drop("_reason")
-            priced = price_quotes(good, assets, settings, keep=["request_id"])
-            priced.write.mode("overwrite").parquet(f"{path}/priced/batch={batch_id}")
-            batch.where("_reason <> ''").write.mode("overwrite").parquet(f"{path}/quarantine/batch={batch_id}")
+            known = seen.select("request_id").where("request_id IS NOT NULL").distinct().withColumn("_known", F.lit(True))
+            timely = rows.where("NOT _late").join(known, "request_id", "left")
+            first = timely.where("request_id IS NOT NULL").groupBy("request_id").agg(F.min("_row").alias("_first"))
+            timely = timely.join(first, "request_id", "left")
+            again = F.coalesce(F.col("_known"), F.lit(False)) | F.coalesce(F.col("_row") != F.col("_first"), F.lit(False))
+            timely = timely.withColumn("_again", again).persist()
+            fresh = with_reasons(timely.where("NOT _again").select(*batch.columns), rules)
+            late = rows.where("_late").select(*batch.columns, F.lit("late").alias("_reason"))
+            good = fresh.where("_reason = ''").drop("_reason")
+            price_quotes(good, assets, settings, keep=["request_id"]).write.mode("overwrite").parquet(f"{path}/priced/batch={batch_id}")
+            rejected = fresh.where("_reason <> ''").unionByName(late)
+            rejected.write.mode("overwrite").parquet(f"{path}/quarantine/batch={batch_id}")
+            timely.where("_again").select(*batch.columns).write.mode("overwrite").parquet(f"{path}/repeated/batch={batch_id}")
+            now = seen.unionByName(rows.select("request_id", "ts"))
+            newest = F.lit(now.agg(F.max("ts")).first()[0])
+            now = now.where(F.col("ts") >= newest - patience).groupBy("request_id").agg(F.max("ts").alias("ts"))
+            now.write.mode("overwrite").parquet(f"{path}/seen/batch={batch_id}")
+            timely.unpersist()
         finally:
-            batch.unpersist()
+            rows.unpersist()
+        commits.delete(spark, f"{path}/seen/batch={batch_id - 2}")
 
-    writer = judged.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = quotes.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _seen(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    folder = f"{path}/batch={batch_id}"
+    return spark.read.schema(schema).parquet(folder) if commits.exists(spark, folder) else spark.createDataFrame([], schema)
+
+
 def start_value_counts(records: DataFrame, features: list[str], path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """(feature, value) -> rows per micro-batch, the mergeable input of the drift score."""
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from premia.operators import cleaning, quality
 from premia.plans import silver
 from premia.settings import Cleaning
+from premia.sources.readers import read_table
 from tests.conftest import make_portfolio
 
 POLICY = "IDpol bigint, ClaimNb bigint, Exposure double"
@@ -17,7 +18,7 @@ def test_silver_and_quarantine_together_are_the_bronze_rows(job_folders):
 
 
 def test_every_step_has_a_statistic(spark, job_folders):
-    stats = spark.read.parquet(f"{job_folders['root']}/silver/clean_stats").orderBy("rank").collect()
+    stats = read_table(spark, f"{job_folders['root']}/silver/clean_stats").orderBy("rank").collect()
     assert [r["step"] for r in stats] == [
         "cap_exposure", "cap_claim_nb", "flag_duplicates", "aggregate_severity", "cap_large_losses",
         "join_frequency_severity", "rename_snake_case", "assert_levels",

@@ -1,10 +1,15 @@
+import json
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from premia import workspace
 from premia.operators import digest, quality
-from premia.plans import lineage
-from premia.sources import adapter
+from premia.plans import bronze, lineage, runs
+from premia.sources import adapter, commits, sinks
+from premia.sources.readers import read_table
 from premia.streaming import jobs
 
 
@@ -12,12 +17,12 @@ def test_gold_files_follow_the_quotas(spark, job_folders):
     total = job_folders["silver"][0]
     assert sum(job_folders["gold"]["frequency"].values()) == total
     assert job_folders["gold"]["frequency"] == job_folders["gold"]["pure_premium"]
-    severity = spark.read.parquet(f"{job_folders['root']}/gold/severity")
+    severity = read_table(spark, f"{job_folders['root']}/gold/severity")
     assert severity.where("claim_nb <= 0").isEmpty()
 
 
 def test_reading_one_split_prunes_the_others(spark, job_folders):
-    rows = spark.read.parquet(f"{job_folders['root']}/gold/frequency").where("split = 'val'").select("y")
+    rows = read_table(spark, f"{job_folders['root']}/gold/frequency").where("split = 'val'").select("y")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "split#" in plan.split("PartitionFilters")[1][:80]
     assert "ReadSchema: struct<y:double>" in plan
@@ -93,6 +98,79 @@ def test_priced_stream_takes_each_request_once(spark, settings, tmp_path):
     assert [(r["request_id"], r["_reason"]) for r in rejected] == [(5, "in_range(18, 100)")]
 
 
+def test_every_quote_is_priced_once_or_set_aside_with_its_reason(spark, settings, tmp_path):
+    from premia.catalog.online import ASSETS
+
+    ddl = (
+        "request_id bigint, ts timestamp, policy_id bigint, exposure double, area string, veh_power bigint, veh_age bigint, "
+        "driv_age bigint, bonus_malus bigint, veh_brand string, veh_gas string, density double, region string"
+    )
+
+    def quote(request_id, ts, age=40):
+        return (request_id, datetime.fromisoformat(ts) if ts else None, 1, 0.5, "A", 6, 3, age, 100, "B1", "Regular", 1000.0, "R11")
+
+    day = "2024-01-0"
+    batches = [
+        [quote(1, day + "3 10:00"), quote(2, day + "3 10:01"), quote(2, day + "3 10:01"), quote(None, day + "3 10:00"), quote(None, day + "3 10:00")],
+        # Two days late, without a time, a repetition from the batch before, an invalid one, a new one.
+        [quote(3, day + "1 10:00"), quote(4, None), quote(1, day + "3 10:02"), quote(5, day + "3 10:03", 200), quote(6, day + "3 10:30")],
+        # Out of the delay the same id is late, not repeated; within it a timely one is priced.
+        [quote(1, day + "3 10:00"), quote(7, day + "3 10:25")],
+    ]
+    source, out = str(tmp_path / "quotes"), str(tmp_path / "out")
+    for rows in batches:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.read_stream(spark, source, ddl)
+        jobs.start_pricing(stream, quality.quote_rules(settings, ["R11"], ["B1"]), ASSETS, out, f"{out}/progress", settings).awaitTermination()
+    ids = lambda name: sorted((r["request_id"] for r in spark.read.parquet(f"{out}/{name}").collect()), key=str)
+    assert ids("priced") == [1, 2, 6, 7, None, None] and ids("repeated") == [1, 2]
+    reasons = sorted((r["request_id"], r["_reason"]) for r in spark.read.parquet(f"{out}/quarantine").collect())
+    assert reasons == [(1, "late"), (3, "late"), (4, "late"), (5, "in_range(18, 100)")]
+    assert len(ids("priced")) + len(ids("repeated")) + len(reasons) == sum(map(len, batches))
+
+
+def test_writers_that_come_at_once_get_versions_of_their_own(spark, tmp_path):
+    path = str(tmp_path)
+    with ThreadPoolExecutor(4) as pool:
+        given = list(pool.map(lambda i: runs.register_model(spark, path, "motor/x", f"r{i}", json.dumps({"no": i})), range(40)))
+    assert sorted(given) == list(range(1, 41))
+    models = runs.read_models(spark, path).collect()
+    assert sorted(int(m["version"]) for m in models) == list(range(1, 41))
+    assert {m["run_id"]: json.loads(m["model"])["no"] for m in models} == {f"r{i}": i for i in range(40)}
+    assert runs.latest_version(runs.read_models(spark, path), "motor/x") == 40
+    assert not [f for f in (tmp_path / "models").rglob("*draft*") if not f.name.startswith(".")]
+
+
+def test_a_failed_write_leaves_the_layer_before(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    sinks.write_table(spark.range(5), path)
+    broken = spark.range(8).selectExpr("IF(id = 7, cast(raise_error('disk lost') AS bigint), id) AS id")
+    with pytest.raises(Exception, match="disk lost"):
+        sinks.write_table(broken, path)
+    assert read_table(spark, path).count() == 5
+    for n in (6, 7, 8):
+        sinks.write_table(spark.range(n), path)
+    assert read_table(spark, path).count() == 8
+    assert len(list((tmp_path / "layer").glob("v-*/_SUCCESS"))) == 2
+
+
+def test_published_files_are_whole_and_not_replaced(spark, tmp_path):
+    path = f"{tmp_path}/folder/a.json"
+    assert commits.publish(spark, path, "é 1") and not commits.publish(spark, path, "2")
+    assert commits.read_text(spark, path) == "é 1" and commits.names(spark, f"{tmp_path}/folder") == ["a.json"]
+    assert commits.latest(spark, f"{tmp_path}/nothing") is None
+
+
+def test_bronze_tables_are_validated_and_counted(spark, settings, job_folders, tmp_path):
+    counts = {r["table_name"]: r["rows"] for r in bronze.validate_bronze(spark, f"{job_folders['root']}/bronze", settings).collect()}
+    assert counts == {"policies": len(job_folders["policies"]), "claims": len(job_folders["claims"])}
+    sinks.write_table(read_table(spark, f"{job_folders['root']}/bronze/claims"), f"{tmp_path}/claims")
+    bad = read_table(spark, f"{job_folders['root']}/bronze/policies").withColumn("Exposure", F.lit(-1.0))
+    sinks.write_table(bad, f"{tmp_path}/policies")
+    with pytest.raises(Exception, match="Exposure"):
+        bronze.validate_bronze(spark, str(tmp_path), settings).collect()
+
+
 class FakeSession:
     """Stands in for a session whose master is a cluster."""
 

@@ -3,10 +3,11 @@ from pyspark.sql import functions as F
 
 from premia.operators import profile, quality
 from premia.operators.skew import salted_lookup
+from premia.sources.readers import read_table
 
 
 def _bronze(spark, job_folders):
-    return spark.read.parquet(f"{job_folders['root']}/bronze/policies")
+    return read_table(spark, f"{job_folders['root']}/bronze/policies")
 
 
 def test_strict_passes_and_raises(spark, settings, job_folders):
@@ -64,7 +65,7 @@ def test_salting_spreads_the_hot_key(spark):
 
 
 def test_profile_covers_all_columns(spark, job_folders):
-    table = {r["column"]: r for r in spark.read.parquet(f"{job_folders['root']}/bronze/profile_policies").collect()}
+    table = {r["column"]: r for r in read_table(spark, f"{job_folders['root']}/bronze/profile_policies").collect()}
     rows = job_folders["policies"]
     assert set(table) == set(rows.columns) | {"_ingested_at", "_source_hash"}
     assert table["IDpol"]["n_unique"] == len(rows) and table["IDpol"]["cardinality_ratio"] == 1.0
@@ -73,7 +74,7 @@ def test_profile_covers_all_columns(spark, job_folders):
 
 
 def test_levels_list_seen_and_configured_values(spark, settings, job_folders):
-    levels = spark.read.parquet(f"{job_folders['root']}/bronze/levels")
+    levels = read_table(spark, f"{job_folders['root']}/bronze/levels")
     assert profile.levels_of(levels, "region") == ["R11", "R24", "R93"]
     assert profile.levels_of(levels, "area") == list("ABCDEF")
 
