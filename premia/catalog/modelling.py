@@ -311,14 +311,14 @@ def cv_alpha_poisson(spark, sf):
     """WITH r AS (SELECT *, CAST(CAST('0x' || substr(md5('fold:' || CAST(policy_id AS VARCHAR)), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold
                   FROM gold_f WHERE split = 'train'),
             f AS (SELECT DISTINCT fold FROM r),
-            m AS (SELECT f.fold, region, sum(y * w) / sum(w) AS mu FROM r JOIN f ON r.fold <> f.fold GROUP BY f.fold, region)
+            m AS (SELECT f.fold, area, sum(y * w) / sum(w) AS mu FROM r JOIN f ON r.fold <> f.fold GROUP BY f.fold, area)
        SELECT r.fold, round(sum(w * 2 * (CASE WHEN y > 0 THEN y * ln(y / mu) ELSE 0 END - y + mu)) / sum(w), 6) AS deviance
-       FROM r JOIN m ON r.fold = m.fold AND r.region = m.region GROUP BY r.fold""",
+       FROM r JOIN m ON r.fold = m.fold AND r.area = m.area GROUP BY r.fold""",
 )
 def cv_one_way(spark, sf):
     """Validation deviance of every fold for one factor without a penalty, where each level's fit is its mean elsewhere."""
     rows = layers.split_of(spark, sf, "frequency", "train")
-    table = tune.validate_folds(rows, "poisson", [(0.0, None)], S, lambda inside: design.one_way_design(inside, "region"), ["region"])
+    table = tune.validate_folds(rows, "poisson", [(0.0, None)], S, lambda inside: design.one_way_design(inside, "area"), ["area"])
     return rounded(table.select("fold", "deviance"), 6, "deviance")
 
 

@@ -17,6 +17,7 @@ QUICK = (
     "cap_large_losses_quantile", "join_frequency_severity", "clean_stats", "lineage_check", "grouped_stratified_split",
     "target_columns", "segment_ae", "weighted_bins", "normalized_gini", "lorenz_curves_by_model", "psi_report",
     "psi_from_reference", "price_quotes", "top_reason_codes", "spline_basis", "glm_severity_one_way", "stream_drift",
+    "gold_build", "validate_job", "gbm_first_splits", "stream_price", "lineage_manifest",
 )
 
 
