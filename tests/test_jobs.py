@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from premia import workspace
 from premia.operators import digest, quality
-from premia.plans import bronze, lineage, runs
+from premia.plans import bronze, lineage, pricing, runs
 from premia.sources import adapter, commits, sinks
 from premia.sources.readers import read_table
 from premia.streaming import jobs
@@ -171,6 +171,21 @@ def test_bronze_tables_are_validated_and_counted(spark, settings, job_folders, t
         bronze.validate_bronze(spark, str(tmp_path), settings).collect()
 
 
+def test_pricing_assets_carry_models_load_and_reference(spark, settings, job_folders, tmp_path):
+    from premia.catalog.online import FREQUENCY, SEVERITY
+
+    path, root, p = str(tmp_path), job_folders["root"], settings.pricing
+    for name, model in ((p.frequency_model, FREQUENCY), (p.severity_model, SEVERITY)):
+        runs.run_log_append(spark, path, name, {}, {"m": 1.0}, {"gold_content_digest": "h"}, model.to_json(), register_as=name)
+    assets = pricing.load_pricing_assets(spark, path, f"{root}/silver", settings, f"{root}/gold")
+    assert assets.frequency.to_json() == FREQUENCY.to_json() and assets.severity.to_json() == SEVERITY.to_json()
+    assert (assets.frequency_version, assets.severity_version, assets.data_hash) == (1, 1, "h") and assets.trained_at
+    assert assets.reference.count() > 0
+    rows = read_table(spark, f"{root}/silver/policies").where("veh_age < 5")
+    drifted = {r["feature"]: r["psi"] for r in pricing.quote_drift(rows, assets.reference, settings).collect()}
+    assert drifted["veh_age"] > drifted["driv_age"]
+
+
 class FakeSession:
     """Stands in for a session whose master is a cluster."""
 
