@@ -10,8 +10,9 @@ are removed.
 
 Equal pieces are combined before the shuffle: a task sends a piece only for the smallest document it has met it in and
 removes it from the others at once. A passage that a third of all documents hold so reaches its group once per task.
-Anchors in more than ``most_documents`` documents, whose different pieces could be too many for one group, are gathered
-by string instead of by anchor; results do not depend on that.
+Anchors in more than ``most_documents`` documents or with more than ``most_bytes`` bytes of pieces, whose different
+pieces could be too many for one group, are gathered by string instead of by anchor; results do not depend on that. So
+what a task holds of a group is bounded even where few long documents have all of its pieces.
 
 Texts are UTF-8 bytes; null counts as empty. Matches never cross documents. Rows that repeat an id are one document
 each: they never remove each other's bytes. Rows without an id neither lose bytes nor remove any. Texts shorter than
@@ -35,6 +36,8 @@ from premia.llm.suffixes import _spread, suffix_orders
 ANCHOR = 16
 #: Piece bytes whose suffix arrays are built in one go.
 BATCH_BYTES = 1 << 20
+#: Strings of anchors gathered by string that a task handles at once, and keys of pieces that it remembers.
+STRINGS, MOST_KNOWN = 1 << 17, 1 << 22
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -78,15 +81,15 @@ def _united(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nd
 
 
 def _anchor_documents(docs: DataFrame, length: int) -> DataFrame:
-    """Anchor, smallest and largest document, and number of documents."""
+    """Anchor, smallest and largest document, number of documents and bytes of pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                anchor, row, _, _ = pieces(*byte_rows(part.column(2)), length)
+                anchor, row, start, stop = pieces(*byte_rows(part.column(2)), length)
                 doc = part.column(0).to_numpy()[row]
                 order = np.lexsort((doc, anchor))
-                anchor, doc = anchor[order], doc[order]
+                anchor, doc, sizes = anchor[order], doc[order], (stop - start)[order]
                 new = np.append(True, anchor[1:] != anchor[:-1])[: len(anchor)]
                 at = np.flatnonzero(new)
                 if not len(at):
@@ -94,10 +97,11 @@ def _anchor_documents(docs: DataFrame, length: int) -> DataFrame:
                 fresh = new | np.append(True, doc[1:] != doc[:-1])
                 n = np.add.reduceat(fresh.astype(np.int64), at)
                 highs = doc[np.append(at[1:], len(doc)) - 1]
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[at].view(np.int64)), pa.array(doc[at]), pa.array(highs), pa.array(n)], names=["anchor", "low", "high", "n"])
+                arrays = [anchor[at].view(np.int64), doc[at], highs, n, np.add.reduceat(sizes, at)]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["anchor", "low", "high", "n", "size"])
 
-    found = docs.mapInArrow(run, "anchor long, low long, high long, n long")
-    return found.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+    found = docs.mapInArrow(run, "anchor long, low long, high long, n long, size long")
+    return found.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.sum("size").alias("size"))
 
 
 def _document_anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -130,6 +134,46 @@ def _sent(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, least = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def combined(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, anchor: np.ndarray, row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+            """Rows for pieces of one slice, with what this task has met before."""
+            nonlocal known, least
+            doc = part.column(0).to_numpy()[row]
+            key = mixed(anchor ^ mixed(_hashes_near(data, start, stop) + (stop - start).astype(np.uint64)))
+            if len(known) > MOST_KNOWN:
+                # What is forgotten is sent once more; its group finds it.
+                known, least = known[:0], least[:0]
+            order = np.lexsort((doc, key))
+            lead = order[np.append(True, key[order][1:] != key[order][:-1])]
+            place = np.searchsorted(known, key[lead])
+            met = np.zeros(len(lead), bool)
+            if len(known):
+                met = known[np.minimum(place, len(known) - 1)] == key[lead]
+            least[place[met]] = np.minimum(least[place[met]], doc[lead[met]])
+            known, least = (np.insert(old, place[~met], new[lead[~met]]) for old, new in ((known, key), (least, doc)))
+            later = doc > least[np.searchsorted(known, key)]
+            r, a, b = _united(row[later], start[later], stop[later])
+            first = ~later
+            rows, starts, stops = np.append(r, row[first]), np.append(a, start[first]), np.append(b, stop[first])
+            n_cut = len(r)
+            sizes = stops[n_cut:] - starts[n_cut:]
+            bounds = np.concatenate([np.zeros(n_cut + 1, np.int64), np.cumsum(sizes)]).astype(np.int32)
+            flat = data[_spread(starts[n_cut:], sizes)]
+            cut = np.arange(len(rows)) < n_cut
+            binary = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(bounds), pa.py_buffer(flat.tobytes())])
+            take = pa.array(rows)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(np.zeros(n_cut, np.uint64), anchor[first]).view(np.int64), mask=cut),
+                    part.column(0).take(take),
+                    part.column(1).take(take),
+                    pa.array(starts - offsets[rows]),
+                    pa.array(np.where(cut, stops - offsets[rows], 0)),
+                    binary,
+                ],
+                names=["key", "doc", "th", "start", "stop", "piece"],
+            )
+
         for batch in batches:
             for part in slices(batch, "text"):
                 data, offsets = byte_rows(part.column(2))
@@ -139,44 +183,25 @@ def _sent(docs: DataFrame, length: int) -> DataFrame:
                 if not len(anchor):
                     continue
                 single = member(row, anchor, part.column(4))
-                if single.any():
-                    n = stop[single] - start[single] - length + 1
-                    at = _spread(start[single], n)
-                    keep = ~single
-                    anchor = np.append(anchor[keep], mixed(np.repeat(anchor[single], n) ^ run_hashes(data, at, at + length)))
-                    row, start, stop = np.append(row[keep], np.repeat(row[single], n)), np.append(start[keep], at), np.append(stop[keep], at + length)
-                doc = part.column(0).to_numpy()[row]
-                key = mixed(anchor ^ mixed(run_hashes(data, start, stop) + (stop - start).astype(np.uint64)))
-                both, docs_both = np.append(known, key), np.append(least, doc)
-                order = np.lexsort((docs_both, both))
-                new = np.append(True, both[order][1:] != both[order][:-1])
-                known, least = both[order][new], docs_both[order][new]
-                later = doc > least[np.searchsorted(known, key)]
-                r, a, b = _united(row[later], start[later], stop[later])
-                first = ~later
-                rows, starts, stops = np.append(r, row[first]), np.append(a, start[first]), np.append(b, stop[first])
-                n_cut = len(r)
-                sizes = stops[n_cut:] - starts[n_cut:]
-                bounds = np.concatenate([np.zeros(n_cut + 1, np.int64), np.cumsum(sizes)]).astype(np.int32)
-                flat = data[_spread(starts[n_cut:], sizes)]
-                cut = np.arange(len(rows)) < n_cut
-                binary = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(bounds), pa.py_buffer(flat.tobytes())])
-                take = pa.array(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.append(np.zeros(n_cut, np.uint64), anchor[first]).view(np.int64), mask=cut),
-                        part.column(0).take(take),
-                        part.column(1).take(take),
-                        pa.array(starts - offsets[rows]),
-                        pa.array(np.where(cut, stops - offsets[rows], 0)),
-                        binary,
-                    ],
-                    names=["key", "doc", "th", "start", "stop", "piece"],
-                )
+                if not single.all():
+                    yield combined(part, data, offsets, *(x[~single] for x in (anchor, row, start, stop)))
+                anchor, row, start, n = anchor[single], row[single], start[single], (stop - start - length + 1)[single]
+                ends = np.cumsum(n)
+                for low in range(0, int(n.sum()), STRINGS):
+                    number = np.arange(low, min(low + STRINGS, int(ends[-1])))
+                    of = np.searchsorted(ends, number, side="right")
+                    at = start[of] + number - (ends - n)[of]
+                    yield combined(part, data, offsets, mixed(anchor[of] ^ _hashes_near(data, at, at + length)), row[of], at, at + length)
 
     return docs.mapInArrow(run, _FOUND)
 
 
+def _hashes_near(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """``run_hashes`` that reads only from the first start to the last stop."""
+    low, high = int(starts.min()), int(stops.max())
+    return run_hashes(data[low:high], starts - low, stops - low)
+
+
 def _windows_equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
     """Whether the strings of ``length`` bytes at places ``a`` and ``b`` are equal."""
     same = np.ones(len(a), bool)
@@ -330,13 +355,13 @@ def _gathered(sent: DataFrame, length: int) -> DataFrame:
     return sent.mapInArrow(run, "doc long, th long, start long, stop long")
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", most_documents: int = 5_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", most_documents: int = 5_000, most_bytes: int = 2 << 20) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_bytes``, ``spans`` (maximal removed runs: start and end in bytes) and
     ``kept`` (the bytes that remain)."""
     text = text_of(text_col)
     every = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("th"), F.encode(text, "UTF-8").alias("text"))
     usable = every.filter(F.col("doc").isNotNull() & (F.octet_length("text") >= length))
-    anchors = stored(_anchor_documents(usable, length).filter("low < high").select("anchor", (F.col("n") > most_documents).alias("many")), "repeat-anchors")
+    anchors = stored(_anchor_documents(usable, length).filter("low < high").select("anchor", ((F.col("n") > most_documents) | (F.col("size") > most_bytes)).alias("many")), "repeat-anchors")
     of_docs = _document_anchors(usable, length).join(anchors, "anchor").groupBy("doc", "th")
     listed = stored(of_docs.agg(F.collect_list("anchor").alias("anchors"), F.collect_list(F.when(F.col("many"), F.col("anchor"))).alias("single")), "repeat-documents")
     sent = stored(_sent(usable.join(listed, ["doc", "th"]).select("doc", "th", "text", "anchors", "single"), length), "repeat-pieces")

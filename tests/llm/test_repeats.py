@@ -81,5 +81,20 @@ def test_removed_bytes(spark, seed, length, most, monkeypatch):
     assert got == brute(rows, length)
 
 
+@pytest.mark.parametrize("seed, strings, known", [(6, 40, 1 << 22), (7, 1 << 17, 30), (8, 7, 10)])
+def test_anchors_of_many_bytes_in_few_documents(spark, seed, strings, known, monkeypatch):
+    """One delimiter is the anchor of thousands of pieces in two long documents; groups are bounded by bytes."""
+    monkeypatch.setattr(repeats, "STRINGS", strings)
+    monkeypatch.setattr(repeats, "MOST_KNOWN", known)
+    rng = random.Random(seed)
+    field = lambda: "<--delimiter-->!" + "".join(rng.choice("abc") for _ in range(rng.choice([3, 20, 36])))
+    common = [field() for _ in range(8)]
+    rows = [(i, "".join(rng.choice(common) if rng.random() < 0.3 else field() for _ in range(60)), "x", 1) for i in (3, 1)] + rows_of(seed)[:10]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, key int").repartition(3)
+    out = repeats.remove_repeats(docs, most_bytes=100).collect()
+    got = sorted(((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in out), key=str)
+    assert got == brute(rows, 50)
+
+
 def test_empty_table(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
