@@ -79,11 +79,20 @@ def encode_text(enc, pattern: str, text: str, size: int = CHUNK, reach: int = RE
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: its id, the columns of ``keep``, and ``ids`` (array of int)."""
+def encode(
+    docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), decoded: bool = False
+) -> DataFrame:
+    """One row per row of ``docs``: its id, the columns of ``keep``, and ``ids`` (array of int).
+
+    With ``decoded`` it has the column that ``decode`` adds, too, made in the same pass: a task then needs one Python
+    worker with one copy of the ranks, where ``decode`` after ``encode`` needs two of them at once.
+    """
     kept = [id_col, *[c for c in keep if c != id_col]]
     given = docs.select(*[docs[c] for c in kept], text_of(text_col).alias("__text"))
-    schema = T.StructType([*given.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
+    fields = [*given.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)]
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType()))
+    names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(rank_file, pattern)
@@ -93,9 +102,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=[*kept, "ids"])
+                raw = [pa.array([enc.decode_bytes(x.tolist()) for x in ids], pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists, *raw], names=names)
 
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(run, T.StructType(fields))
 
 
 def decode(tokens: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids") -> DataFrame:

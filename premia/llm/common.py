@@ -96,15 +96,18 @@ def byte_rows(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
+#: Powers that a worker keeps; those that only a longer text needs are made anew for it.
+_MOST_POWERS = 1 << 22
 
 
 def powers(factor: int, n: int) -> np.ndarray:
-    """``factor ** i`` modulo 2**64 for i below ``n``; kept for the next call."""
+    """``factor ** i`` modulo 2**64 for i below ``n``; up to ``_MOST_POWERS`` are kept for the next call."""
     have = _powers.get(factor)
     if have is None or len(have) < n:
         steps = np.full(max(n, 1 << 16), factor, np.uint64)
         steps[0] = 1
-        have = _powers[factor] = np.multiply.accumulate(steps)
+        have = np.multiply.accumulate(steps)
+        _powers[factor] = have[:_MOST_POWERS].copy() if n > _MOST_POWERS else have
     return have[:n]
 
 

@@ -49,6 +49,8 @@ def test_rows_nulls_repeats_and_other_columns(spark, enc):
     got = sorted((r.doc_id is None, r.doc_id, list(r.ids), bytes(r.decoded)) for r in out.collect())
     want = sorted((i is None, i, enc.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in rows)
     assert got == want
+    at_once = bpe.encode(docs.drop("decoded"), FILE, PATTERN, decoded=True).collect()
+    assert sorted((r.doc_id is None, r.doc_id, list(r.ids), bytes(r.decoded)) for r in at_once) == want
     assert bpe.encode(docs.limit(0), FILE, PATTERN).count() == 0
 
 
