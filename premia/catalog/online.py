@@ -414,9 +414,9 @@ def stream_drift(spark, sf):
     source, out = _quote_files(spark, sf), fresh_path(spark, "stream-drift")
     stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema).where("driv_age <= 100")
     rows = quotes.quote_features(stream, S)
-    jobs.start_value_counts(rows, FEATURES, f"{out}/counts", f"{out}/progress").awaitTermination()
-    counts = spark.read.parquet(f"{out}/counts").groupBy("feature", "value").agg(F.sum("rows").alias("rows"))
-    return rounded(drift.psi_from_counts(layers.reference(spark, sf), counts, S.monitoring), 6, "psi")
+    reference = layers.reference(spark, sf)
+    jobs.start_bin_counts(rows, FEATURES, reference, f"{out}/counts", f"{out}/progress").awaitTermination()
+    return rounded(drift.psi_from_bins(reference, jobs.bin_counts(spark, f"{out}/counts"), S.monitoring), 6, "psi")
 
 
 @query("price_with_trained_models")

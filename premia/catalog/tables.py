@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from premia.catalog import layers
 from premia.catalog.registry import query, rounded
 from premia.operators import cleaning, profile, quality, split
-from premia.operators.digest import content_digest, portable_digest
+from premia.operators.digest import LIMBS, PRIME, content_digest, digest_state, finished, merged, portable_digest
 from premia.plans import bronze, lineage, runs, silver
 from premia.settings import Cleaning
 from premia.sources import adapter, readers, sinks
@@ -206,6 +206,23 @@ def digest(spark, sf):
     return content_digest(layers.stored_policies(spark, sf))
 
 
+def _merged_digest_sql(table: str, columns: list[str]) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    limbs = [f"sum(CAST('0x' || substr(h, {8 * i + 1}, 8) AS HUGEINT)) % {PRIME} AS s{i}" for i in range(LIMBS)]
+    joined = " || ':' || ".join(f"CAST(s{i} AS VARCHAR)" for i in range(LIMBS))
+    return f"""SELECT rows, {len(columns)} AS cols, sha256(CAST(rows AS VARCHAR) || ':' || {joined}) AS content_digest
+        FROM (SELECT count(*) AS rows, {", ".join(limbs)} FROM (SELECT sha256({text}) AS h FROM {table}))"""
+
+
+@query("content_digest_merged", _merged_digest_sql("freq", DIGEST_COLUMNS["raw"]["freq"]))
+def digest_merged(spark, sf):
+    """The digest of all policies from the digests of their parts by area."""
+    columns = DIGEST_COLUMNS["raw"]["freq"]
+    rows = layers.stored_policies(spark, sf)
+    urban = F.coalesce(F.col("Area") >= "D", F.lit(False))
+    return finished(merged(*[digest_state(rows.where(part), columns) for part in (urban, ~urban)]))
+
+
 @query("portable_digest", _digest_sql("raw", "freq", DIGEST_COLUMNS["raw"]["freq"]).replace("'raw' AS layer, 'freq' AS table_name,", ""))
 def digest_portable(spark, sf):
     columns = DIGEST_COLUMNS["raw"]["freq"]

@@ -116,16 +116,30 @@ def psi_from_long(stored_bins: DataFrame, long: DataFrame, settings: Monitoring)
 
 
 def psi_from_counts(stored_bins: DataFrame, counts: DataFrame, settings: Monitoring) -> DataFrame:
-    """From (feature, value, rows), for example the summed counts of many micro-batches."""
-    bins = stored_bins.select(
-        "feature",
-        inner(F.col("bin_edges")).alias("inner_edges"),
-        (F.size("bin_edges") - 1).alias("n_bins"),
-        "bin_counts",
-    )
-    ref = bins.select("feature", F.posexplode("bin_counts").alias("bin", "ref_rows"))
+    """From (feature, value, rows)."""
+    return psi_from_bins(stored_bins, counts_in_bins(stored_bins, counts), settings)
+
+
+def _stored_edges(stored_bins: DataFrame) -> DataFrame:
+    return stored_bins.select("feature", inner(F.col("bin_edges")).alias("inner_edges"), (F.size("bin_edges") - 1).alias("n_bins"))
+
+
+def counts_in_bins(stored_bins: DataFrame, counts: DataFrame, *by: str) -> DataFrame:
+    """Rows per (feature, bin and the columns of ``by``) of (feature, value, rows, ...): at most features x bins rows for
+    each combination of these, whatever the number of values. A value that is null has no bin, nor has a feature that
+    the reference lacks."""
+    bins = _stored_edges(stored_bins)
     most = bins.agg(F.max("n_bins")).first()[0] or 1
-    return _compare(bins, ref, _bin_counts(counts, bins, "cur_rows", most), settings)
+    position = edges_up_to(F.col("inner_edges"), F.col("value"), most)
+    placed = counts.where(F.col("value").isNotNull()).join(F.broadcast(bins.select("feature", "inner_edges")), "feature")
+    return placed.groupBy("feature", position.alias("bin"), *by).agg(F.sum("rows").alias("rows"))
+
+
+def psi_from_bins(stored_bins: DataFrame, counts: DataFrame, settings: Monitoring) -> DataFrame:
+    """From (feature, bin, rows) in the stored bins, for example the state of ``start_bin_counts``."""
+    ref = stored_bins.select("feature", F.posexplode("bin_counts").alias("bin", "ref_rows"))
+    cur = counts.groupBy("feature", "bin").agg(F.sum("rows").alias("cur_rows"))
+    return _compare(_stored_edges(stored_bins), ref, cur, settings)
 
 
 # Chart colour per status.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from premia.operators.drift import long_features
+from premia.operators.drift import counts_in_bins
 from premia.operators.quality import TableRules, with_reasons
 from premia.operators.quotes import PricingAssets, price_quotes
 from premia.settings import Settings
@@ -19,6 +19,7 @@ from premia.sources import commits
 #: How late a row may be by default. Request rows that are later are not counted, quotes that are later go to quarantine;
 #: a source that is later than that needs a longer delay, which costs state.
 WATERMARK = "10 minutes"
+BIN_COUNTS = "feature string, bin int, window_start timestamp, rows bigint"
 
 
 def read_stream(spark: SparkSession, folder: str, schema, pattern: str | None = None) -> DataFrame:
@@ -141,13 +142,36 @@ def _seen(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFra
     return spark.read.schema(schema).parquet(folder) if commits.exists(spark, folder) else spark.createDataFrame([], schema)
 
 
-def start_value_counts(records: DataFrame, features: list[str], path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """(feature, value) -> rows per micro-batch, the mergeable input of the drift score."""
+def start_bin_counts(
+    records: DataFrame, features: list[str], stored_bins: DataFrame, path: str, checkpoint: str, window: str | None = None, **trigger
+) -> StreamingQuery:
+    """Rows per (feature, bin of the stored reference, window), the state of the drift score. ``window`` is a duration
+    over the column ``ts``; without one there is a single window, ``window_start`` null, and no ``ts`` is needed.
+
+    A micro-batch is binned as it arrives and added to the state of the batch before, which is then deleted; so the
+    state never has more than features x bins x windows rows. A repeated batch starts from the same state again. Late
+    records count in their own window. ``bin_counts`` reads the last state that is complete.
+    """
+    spark = records.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = long_features(batch, features).where(F.col("value").isNotNull())
-        counts = counts.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
-        counts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        start = F.window("ts", window).start if window else F.lit(None).cast("timestamp")
+        wide = batch.select(start.alias("window_start"), *[F.col(f).cast("double").alias(f) for f in features])
+        long = wide.unpivot(["window_start"], features, "feature", "value").withColumn("rows", F.lit(1).cast("bigint"))
+        fresh = counts_in_bins(stored_bins, long, "window_start").select("feature", F.col("bin").cast("int").alias("bin"), "window_start", "rows")
+        before = f"{path}/batch={batch_id - 1}"
+        if commits.exists(spark, f"{before}/_SUCCESS"):
+            fresh = spark.read.schema(BIN_COUNTS).parquet(before).unionByName(fresh)
+        state = fresh.groupBy("feature", "bin", "window_start").agg(F.sum("rows").alias("rows"))
+        state.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        commits.delete(spark, f"{path}/batch={batch_id - 2}")
 
     writer = records.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def bin_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete state of ``start_bin_counts``; no rows before the first batch is done."""
+    ids = sorted((int(n.split("=")[1]) for n in commits.names(spark, path) if n.startswith("batch=")), reverse=True)
+    whole = next((i for i in ids if commits.exists(spark, f"{path}/batch={i}/_SUCCESS")), None)
+    return spark.createDataFrame([], BIN_COUNTS) if whole is None else spark.read.schema(BIN_COUNTS).parquet(f"{path}/batch={whole}")

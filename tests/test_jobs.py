@@ -1,3 +1,4 @@
+import hashlib
 import json
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from premia import workspace
-from premia.operators import digest, quality
+from premia.operators import digest, drift, quality
 from premia.plans import bronze, lineage, pricing, runs
 from premia.sources import adapter, commits, sinks
 from premia.sources.readers import read_table
@@ -48,6 +49,50 @@ def test_digest_ignores_order_and_sees_changes(spark):
     assert digest.content_digest(df.unionByName(df.limit(1))).first() != one
 
 
+def test_digests_of_parts_merge_to_that_of_the_whole(spark):
+    df = spark.sql("SELECT id, IF(id % 3 = 0, NULL, repeat('x', id % 5)) AS t, array(id, NULL) AS a, id / 7 AS v FROM range(500)")
+    parts = [df.where(f"id % 4 = {i}") for i in range(4)] + [df.where("id < 0"), df.limit(3)]
+    states = [digest.digest_state(p) for p in parts]
+    whole = digest.content_digest(df.unionByName(df.limit(3))).first()
+    assert digest.finished(digest.merged(*states)).first() == whole
+    assert digest.finished(digest.merged(digest.merged(*states[:2]), digest.merged(*states[2:]))).first() == whole
+    assert digest.finished(digest.merged(*states[:-1])).first() != whole
+    with pytest.raises(Exception, match="different columns"):
+        digest.merged(states[0], digest.digest_state(df.select("id"))).collect()
+
+
+def test_digest_tells_nulls_texts_and_columns_apart(spark):
+    tables = ["SELECT NULL AS a, 'x' AS b", "SELECT 'x' AS a, NULL AS b", "SELECT 'null' AS a, 'x' AS b", "SELECT '' AS a, 'x' AS b", "SELECT 'x\",' AS a, '' AS b"]
+    found = [digest.content_digest(spark.sql(t)).first()["content_digest"] for t in tables]
+    assert len(set(found)) == len(tables)
+    # By hand: the SHA-256 of one row's text in limbs.
+    state = digest.digest_state(spark.sql("SELECT 'k' AS a, 7 AS b, CAST(NULL AS INT) AS c"), ["a", "b", "c"]).first()
+    h = hashlib.sha256(b"k|7|~").hexdigest()
+    assert state["limbs"] == [int(h[i : i + 8], 16) for i in range(0, 64, 8)] and (state["rows"], state["cols"]) == (1, 3)
+
+
+def test_drift_state_is_bins_whatever_the_values(spark, settings, tmp_path):
+    """Files arrive one by one and the job is started twice; the state equals counting all rows at once."""
+    base = spark.sql("SELECT id AS k, CAST(id AS DOUBLE) AS v, timestamp_seconds(86400 * (id % 3)) AS ts FROM range(3000)")
+    reference = workspace.stored(drift.reference_distribution(base, ["v", "k"], settings.monitoring), "reference")
+    moved = base.withColumn("v", F.when(F.col("k") % 10 == 0, None).otherwise(F.col("v") * 1.7 + F.rand(3)))
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (0, 1):
+        moved.where(f"k % 2 = {part}").repartition(3).write.mode("append").parquet(source)
+        stream = jobs.read_stream(spark, source, base.schema)
+        writer = jobs.start_bin_counts(stream, ["v", "k"], reference, f"{out}/state", f"{out}/progress", window="1 day")
+        writer.awaitTermination()
+        state = jobs.bin_counts(spark, f"{out}/state")
+        assert state.agg(F.sum("rows")).first()[0] == sum(moved.where(f"k % 2 <= {part}").agg(F.count("v"), F.count("k")).first())
+        assert state.count() <= 2 * settings.monitoring.bins * 3
+    live = {r["feature"]: r["psi"] for r in drift.psi_from_bins(reference, state, settings.monitoring).collect()}
+    batch = {r["feature"]: r["psi"] for r in drift.psi_from_reference(reference, moved, ["v", "k"], settings.monitoring).collect()}
+    assert live == pytest.approx(batch, abs=1e-12)
+    days = state.groupBy("window_start").agg(F.sum("rows").alias("n")).collect()
+    assert len(days) == 3
+    assert jobs.bin_counts(spark, str(tmp_path / "nothing")).isEmpty()
+
+
 LOG = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
