@@ -77,7 +77,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digest of the bytes they decode to."""
-    tokens = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS, PATTERN)
+    tokens = bpe.encode(docs, RANKS, PATTERN, decoded=True)
     return tokens.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
