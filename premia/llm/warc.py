@@ -14,7 +14,7 @@ stored once).
 
 Null html is an empty payload. A null url leaves out the target field; line breaks in a url are percent-encoded. Rows
 that share the largest page id of their payload are all responses, as nothing tells them apart; a null id is below all
-others and has the record id ``<urn:page:null>``. Extra columns are ignored. An empty table gives an empty archive.
+others and has the record id ``<urn:page:null>``. Ids are whole numbers, or text if the reader is told so. Extra columns are ignored. An empty table gives an empty archive.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ CRLF = "\r\n"
 #: Fixed values of the WARC 1.1 format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RESPONSE, REVISIT = "response", "revisit"
+URN = "<urn:page:"
 
 
 def _payload(html_col: str) -> Column:
@@ -33,7 +34,9 @@ def _payload(html_col: str) -> Column:
 
 
 def _record_id(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
+    """A text id is percent-encoded, and the text ``null`` so that it differs from a null id."""
+    name = F.url_encode(page_id.cast("string"))
+    return F.concat(F.lit(URN), F.coalesce(F.when(name == "null", F.lit("%6Eull")).otherwise(name), F.lit("null")), F.lit(">"))
 
 
 def _field(name: str, value: Column) -> Column:
@@ -100,18 +103,26 @@ def write_archive(
 
 
 def _named(head: Column, name: str) -> Column:
-    found = F.regexp_extract(head, f"(?m)^{name}: ([^\r\n]*)$", 1)
+    """The value of a field, null where the head lacks it. Only CR LF ends a line, and written values hold neither."""
+    found = F.regexp_extract(head, f"\r\n{name}: ([^\r\n]*)\r\n", 1)
     return F.when(found != "", found)
 
 
+def _page_id(head: Column, name: str, id_type: str) -> Column:
+    uri = _named(head, name)
+    given = F.when(uri != f"{URN}null>", F.url_decode(uri.substr(F.lit(len(URN) + 1), F.length(uri) - len(URN) - 1)))
+    found = given.try_cast(id_type)
+    return _checked(given.isNull() | found.isNotNull(), found, f"a page id is no {id_type}")
+
+
 def _checked(ok: Column, value: Column, fault: str) -> Column:
     return F.when(ok, value).otherwise(F.raise_error(F.lit(fault)))
 
 
-def read_records(spark: SparkSession, root: str) -> DataFrame:
+def read_records(spark: SparkSession, root: str, id_type: str = "bigint") -> DataFrame:
     """The records of an archive: fields read from the heads, ``payload`` and the full bytes in ``record``.
 
-    A payload that doesn't match its key, or a head that names another digest, raises.
+    A payload that doesn't match its key, a head that names another digest, or an id that is not of ``id_type`` raises.
     """
     payloads = spark.read.parquet(f"{root}/payloads").select(
         "payload_key",
@@ -126,9 +137,9 @@ def read_records(spark: SparkSession, root: str) -> DataFrame:
         "payload_key",
         "head",
         _named(text, "WARC-Type").alias("record_type"),
-        F.regexp_extract(text, "(?m)^WARC-Record-ID: <urn:page:([^>]*)>$", 1).try_cast("long").alias("page_id"),
+        _page_id(text, "WARC-Record-ID", id_type).alias("page_id"),
         _named(text, "WARC-Target-URI").alias("url"),
-        F.regexp_extract(text, "(?m)^WARC-Refers-To: <urn:page:([^>]*)>$", 1).try_cast("long").alias("refers_to"),
+        _page_id(text, "WARC-Refers-To", id_type).alias("refers_to"),
         _named(text, "WARC-Payload-Digest").alias("named_digest"),
     )
     joined = heads.join(payloads, "payload_key")

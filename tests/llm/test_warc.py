@@ -71,6 +71,25 @@ def test_a_changed_payload_is_noticed(spark, archive, tmp_path):
         warc.read_records(spark, str(tmp_path)).select("payload_digest").collect()
 
 
+@pytest.mark.parametrize("mark", ["\x85", "\u2028", "\u2029", "\n", "\r\n", "\x0b"])
+def test_a_url_cannot_forge_fields(spark, tmp_path, mark):
+    url = f"http://a{mark}WARC-Refers-To: <urn:page:99>{mark}WARC-Type: revisit"
+    warc.write_archive(spark.createDataFrame([(1, url, "x")], "page_id long, url string, html string"), f"{tmp_path}/f")
+    row = warc.read_records(spark, f"{tmp_path}/f").first()
+    assert (row.page_id, row.record_type, row.refers_to) == (1, "response", None)
+    assert row.url == url.replace("\r", "%0D").replace("\n", "%0A")
+
+
+def test_text_ids(spark, tmp_path):
+    ids = ["a b>", "é%41", "null", None, "", "7"]
+    pages = spark.createDataFrame([(i, "u", "x" * 2000) for i in ids], "page_id string, url string, html string")
+    warc.write_archive(pages, f"{tmp_path}/t")
+    rows = warc.read_records(spark, f"{tmp_path}/t", id_type="string").collect()
+    assert {r.page_id: r.refers_to for r in rows} == {i: None if i == "é%41" else "é%41" for i in ids}
+    with pytest.raises(PySparkException, match="a page id is no bigint"):
+        warc.read_records(spark, f"{tmp_path}/t").collect()
+
+
 def test_empty_table(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archive(pages, f"{tmp_path}/e")
