@@ -13,7 +13,7 @@ from premia.operators import cleaning, profile, quality, split
 from premia.operators.digest import LIMBS, PRIME, content_digest, digest_state, finished, merged, portable_digest
 from premia.plans import bronze, lineage, runs, silver
 from premia.settings import Cleaning
-from premia.sources import adapter, readers, sinks
+from premia.sources import adapter, digests, readers, sinks
 from premia.sources.schemas import RAW_POLICY_FIELDS
 from premia.workspace import fresh_path
 
@@ -231,7 +231,12 @@ def digest_portable(spark, sf):
 
 @query("file_digest")
 def file_digest(spark, sf):
-    return readers.file_digests(spark, _raw(spark, sf))
+    return digests.file_digests(spark, _raw(spark, sf))
+
+
+@query("file_tree_digest")
+def file_tree_digest(spark, sf):
+    return digests.tree_digests(spark, _raw(spark, sf))
 
 
 @query("row_count", "SELECT count(*) AS n FROM lineitem")

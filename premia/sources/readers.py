@@ -38,22 +38,3 @@ def read_split(spark: SparkSession, gold_path: str, split: str) -> DataFrame:
 def row_count(df: DataFrame) -> int:
     """Reads no column, so Parquet answers from its footers."""
     return df.count()
-
-
-MAX_BINARY_FILE = 2**31 - 1
-
-
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of every stored file below ``path``; one task per file, never through the driver.
-
-    ``binaryFile`` holds one file in memory, so it fits part files. A file beyond 2 GiB raises; fingerprint such
-    tables with ``content_digest``.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.col("length").alias("bytes"),
-        F.when(F.col("length") <= MAX_BINARY_FILE, F.sha2("content", 256))
-        .otherwise(F.raise_error(F.lit("file too large for a file digest; use content_digest")))
-        .alias("file_sha256"),
-    )
