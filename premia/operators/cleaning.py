@@ -38,7 +38,7 @@ def flag_duplicates(df: DataFrame, keys=COVARIATES, id_column: str = "IDpol") ->
     Counted by a pre-aggregating group-by and joined back with hot groups salted. A window over the covariates would
     put a whole group into one task.
     """
-    sized = salted_lookup(df, group_sizes(df, keys), list(keys), [id_column])
+    sized = salted_lookup(df, group_sizes(df, keys), list(keys), [id_column], rows="n_covariate_duplicates")
     return sized.withColumn("is_duplicate_group", F.col("n_covariate_duplicates") > 1)
 
 

@@ -145,7 +145,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def rows_with_duplicate_key(df: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
     """Every row of every duplicate group."""
-    return salted_lookup(df, duplicate_keys(df, key), [key], spread_by, how="inner").drop("copies")
+    return salted_lookup(df, duplicate_keys(df, key), [key], spread_by, how="inner", rows="copies").drop("copies")
 
 
 def violation_counts(df: DataFrame, rules: TableRules) -> DataFrame:
@@ -185,7 +185,7 @@ def with_reasons(df: DataFrame, rules: TableRules) -> DataFrame:
     if rules.unique:
         others = [c for c in rules.columns if c != rules.unique]
         keys = duplicate_keys(df.where(F.col(rules.unique).isNotNull()), rules.unique)
-        source = salted_lookup(df, keys, [rules.unique], others or [rules.unique])
+        source = salted_lookup(df, keys, [rules.unique], others or [rules.unique], rows="copies")
         failed[UNIQUE_REASON] = F.col("copies").isNotNull()
     named = [F.when(failed[reason], F.lit(reason)) for reason in sorted(failed)]
     return source.withColumn("_reason", F.concat_ws(", ", *named)).drop("copies")

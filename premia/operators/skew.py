@@ -2,21 +2,45 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from premia.workspace import stored
+
 #: Hot keys for each shuffle partition; a key that is not among them has at most an eighth of an even partition.
 HOT_KEYS_PER_PARTITION = 8
 
 
+def _limit(facts: DataFrame, limit: int | None) -> int:
+    return limit or HOT_KEYS_PER_PARTITION * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def most_frequent(counts: DataFrame, keys: list[str], rows: str, limit: int) -> DataFrame:
+    """The ``limit`` keys with the largest ``rows``; equal counts are taken in key order, so every evaluation of the
+    plan finds the same keys."""
+    return counts.where(F.col(rows) > 1).orderBy(F.desc(rows), *keys).limit(limit).select(*keys)
+
+
 def hot_keys(facts: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
     """The ``limit`` most frequent keys, by default a few per shuffle partition. Every key with at least 1/limit of the
     rows is among them, and the table has at most ``limit`` rows, so it may be broadcast."""
-    limit = limit or HOT_KEYS_PER_PARTITION * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where("_rows > 1").orderBy(F.desc("_rows")).limit(limit).select(*keys)
+    return most_frequent(counts, keys, "_rows", _limit(facts, limit))
+
+
+#: Plan nodes below which a task that runs again reads the same rows in the same order: files and what stays in place.
+_IN_PLACE = {"Project", "Filter", "Relation", "RelationV2", "Range", "LocalRelation"}
+
+
+def in_place(df: DataFrame) -> DataFrame:
+    """``df`` with rows whose places are the same whenever a task runs again. A plan that moves rows between tasks may
+    deliver them in another order after an executor is lost; such a plan is written once and read back."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {re.split(r"[ \[(]", line.lstrip(" :+-"), maxsplit=1)[0] for line in plan.splitlines() if line.strip()}
+    return df if nodes <= _IN_PLACE else stored(df, "facts")
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -30,16 +54,20 @@ def salted_lookup(
     spread_by: list[str],
     how: str = "left",
     salts: int | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` (one row per key) on ``keys``; null keys match null keys.
 
     Rows of hot keys are spread over ``salts`` sub-keys by a hash of ``spread_by`` and of their place in the input, so
-    that rows that are equal in every column are spread, too. The matching lookup rows are repeated once per sub-key, so
-    no task receives a whole hot group. Cold keys are joined unchanged.
+    that rows that are equal in every column are spread, too; ``in_place`` keeps these places when tasks run again. The
+    matching lookup rows are repeated once per sub-key, so no task receives a whole hot group. Cold keys are joined
+    unchanged. ``rows`` names a column of the lookup that holds the number of facts per key; without it they are counted.
     """
+    facts = in_place(facts)
     spark = facts.sparkSession
     n = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(facts, keys).withColumn("_hot", F.lit(True))
+    found = most_frequent(lookup, keys, rows, _limit(facts, None)) if rows else hot_keys(facts, keys)
+    hot = found.withColumn("_hot", F.lit(True))
     hot_f = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_hot")
 
     left = facts.join(F.broadcast(hot_f), _same(facts, hot_f, [(k, f"_h_{k}") for k in keys]), "left")

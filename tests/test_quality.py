@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from premia.operators import profile, quality
-from premia.operators.skew import salted_lookup
+from premia.operators.skew import hot_keys, in_place, salted_lookup
 from premia.sources.readers import read_table
 
 
@@ -64,6 +64,30 @@ def test_salting_spreads_the_hot_key(spark):
     assert "_salt" in plan
 
 
+def test_hot_keys_from_the_counts_of_the_lookup_give_the_same_join(spark):
+    facts = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 200).alias("k"))
+    lookup = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    counted = salted_lookup(facts, lookup, ["k"], ["id"])
+    given = salted_lookup(facts, lookup, ["k"], ["id"], rows="n")
+    assert counted.exceptAll(given).count() == 0 and given.count() == 3000
+
+
+def test_hot_keys_of_equal_counts_are_the_same_in_every_evaluation(spark):
+    facts = spark.range(4000).select((F.col("id") % 1000).alias("k"))
+    for df in (facts, facts.repartition(13), facts.repartition(3, "k")):
+        assert sorted(r["k"] for r in hot_keys(df, ["k"], 50).collect()) == list(range(50))
+
+
+def test_salts_do_not_depend_on_the_order_a_shuffle_delivers(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(500).withColumn("k", F.col("id") % 5).write.parquet(path)
+    scan = spark.read.parquet(path).where("k < 4").selectExpr("id", "k", "id + 1 AS next")
+    assert in_place(scan) is scan
+    for moved in (scan.repartition(4), scan.groupBy("k").count(), scan.distinct(), scan.join(scan.select("id"), "id"), scan.unionByName(scan)):
+        kept = in_place(moved)
+        assert kept is not moved and kept.exceptAll(moved).count() == 0 and kept.count() == moved.count()
+
+
 def test_profile_covers_all_columns(spark, job_folders):
     table = {r["column"]: r for r in read_table(spark, f"{job_folders['root']}/bronze/profile_policies").collect()}
     rows = job_folders["policies"]
