@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from premia.operators.quality import level_pairs
 from premia.settings import Settings
 
+#: Levels that one rule may list; they become part of an expression.
+MAX_RULE_LEVELS = 2000
+
 
 def profile_columns(df: DataFrame) -> DataFrame:
     """Per column: dtype, distinct values, nulls, numeric range, most frequent value and its share of all rows.
@@ -67,4 +70,9 @@ def sorted_levels(levels: DataFrame) -> DataFrame:
 
 
 def levels_of(levels: DataFrame, feature: str) -> list[str]:
-    return sorted(r["level"] for r in levels.where(F.col("feature") == feature).collect())
+    """The sorted levels of one rating factor, for rules that list them; more than ``MAX_RULE_LEVELS`` are an error that
+    is found without fetching them all."""
+    found = [r["level"] for r in levels.where(F.col("feature") == feature).select("level").distinct().limit(MAX_RULE_LEVELS + 1).collect()]
+    if len(found) > MAX_RULE_LEVELS:
+        raise ValueError(f"{feature} has more than {MAX_RULE_LEVELS} levels; that is no rating factor")
+    return sorted(found)

@@ -121,3 +121,11 @@ def test_claims_only(spark):
     with pytest.raises(ValueError, match="claim_nb"):
         quality.assert_claims_only(df)
     quality.assert_claims_only(quality.claims_only(df))
+
+
+def test_a_factor_with_too_many_levels_is_an_error(spark):
+    levels = spark.range(profile.MAX_RULE_LEVELS + 1).select(F.lit("region").alias("feature"), F.format_string("R%05d", "id").alias("level"))
+    kept = levels.where("level <> 'R00000'")
+    assert profile.levels_of(kept.unionByName(kept.limit(3)), "region") == [f"R{i:05d}" for i in range(1, profile.MAX_RULE_LEVELS + 1)]
+    with pytest.raises(ValueError, match="region"):
+        profile.levels_of(levels, "region")
