@@ -1,9 +1,14 @@
 """Registered queries and operators on small tables of their own: faults found on larger tables and odd inputs."""
 
+import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from premia.catalog import all_queries
+from premia.catalog import all_queries, layers
+from premia.catalog.online import FREQUENCY
+from premia.operators import boost, design, ordered
+from premia.plans import training
 
 
 def write_tables(root, n: int = 600, customers: int = 60):
@@ -32,3 +37,59 @@ def test_interaction_of_age_and_power(spark, tables):
     for r in rows:
         c = customer_of[r["policy_id"]]
         assert r["driv_age_x_veh_power"] == float((18 + c % 83) * (4 + c % 12))
+
+
+def test_boosting_passes_read_blocks(spark):
+    """A pass costs Spark a row per block; odd numbers fall into the bins that the column expression gives."""
+    values = [None, float("nan"), -0.0, 0.0, 1.0, 2.5, -3.0, float("inf")] * 2500
+    levels = ["a", "b", None, "c"] * 5000
+    rows = spark.createDataFrame([(x, k, 1.0, 0.5) for x, k in zip(values, levels, strict=True)], "x double, k string, y double, w double").coalesce(2)
+    binning = boost.Binning({"x": [-1.0, 0.0, 2.0]}, {"k": ["a", "b"]})
+    direct = rows.select("x", "k", F.coalesce(binning.column("x"), F.lit(-1)).alias("bx"), F.coalesce(binning.column("k"), F.lit(-1)).alias("bk"))
+    by_numpy = boost.binned(rows, binning, ["x", "k"])
+    wanted = sorted(map(str, direct.distinct().collect()))
+    got = sorted(str(r).replace("b_x", "bx").replace("b_k", "bk") for r in by_numpy.distinct().collect())
+    assert got == wanted
+    table, _, _ = boost.boost_table(rows, 8, numeric=("x",), categorical=("k",))
+    assert table.count() < 20 and table.agg(F.sum("n")).first()[0] == len(values)
+
+
+def test_codes_expand_to_the_terms(spark):
+    spec = design.DesignSpec(
+        splines={"driv_age": [18.0, 90.0]}, scaled={"bonus_malus": [60.0, 12.0]}, area_levels=["A", "B", "C"],
+        one_hot={"region": ["R1", "R2", "R3"], "veh_gas": ["Diesel"]}, interactions=True,
+    )
+    rows = spark.range(300).selectExpr(
+        "nullif(id, 7) + 10 AS driv_age", "50 + id % 40 AS bonus_malus", "substr('ABC', cast(1 + id % 3 AS int), 1) AS area",
+        "concat('R', 1 + id % 7 % 3) AS region", "'Diesel' AS veh_gas", "nullif(id % 12, 50) AS veh_power",
+    )
+    names = [t.name for t in design.terms(spec)]
+    both = design.encoded_columns(rows.where("driv_age IS NOT NULL"), spec, []).toPandas()
+    codes = rows.where("driv_age IS NOT NULL").select(F.array(*[F.expr(c) for c in design.codes(spec)]).alias("x")).toPandas()
+    made = design.expanded(spec, np.array(codes["x"].tolist()))
+    assert made.shape[1] == 1 + len(names) and (made[:, 0] == 1).all()
+    np.testing.assert_allclose(made[:, 1:], both[names].to_numpy(), atol=1e-12)
+
+
+def test_stability_computes_each_split_once(spark, settings, tables, monkeypatch):
+    """Every seed's gold table is written; nothing downstream computes it again."""
+    root, _ = tables
+    seen = []
+
+    def fit(kind, train, val, own):
+        seen.append(train._jdf.queryExecution().optimizedPlan().toString())
+        return training.TrainedModel(kind, "", {}, {}, glm=FREQUENCY)
+
+    monkeypatch.setattr(training, "fit_glm_model", fit)
+    found = training.stability_runs(layers.silver_policies(spark, root), "frequency", settings, [1, 2]).collect()
+    assert [r["seed"] for r in found] == [1, 2] and len(seen) == 2
+    assert all("md5" not in plan for plan in seen)
+
+
+def test_measures_are_not_stored(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ordered, "stored", lambda df, label: kept.append(df.columns) or df)
+    rows = spark.createDataFrame([(1.0, 1, 2.0), (1.0, 2, 3.0), (float("nan"), 3, 4.0), (None, 4, 1.0)], "x double, id long, w double")
+    out = {r["id"]: r["c"] for r in ordered.prefix_sum(rows, "x", "id", {"c": F.col("w") * 2}).collect()}
+    assert out == {4: 2.0, 1: 6.0, 2: 12.0, 3: 20.0}
+    assert kept == [["x", "id", "w", "_all"]]
