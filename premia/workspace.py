@@ -40,15 +40,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
+def stored(df: DataFrame, label: str, *by: str, **options) -> DataFrame:
     """Write once to the shared folder and read back, for results that several jobs use. With ``by`` there is a folder per
-    value of these columns, so a job that filters on them reads its own folders alone.
+    value of these columns, so a job that filters on them reads its own folders alone. ``options`` are the writer's.
 
     The table carries no lineage and survives the loss of executors; unlike a checkpoint it is computed once and stays
     columnar.
     """
     path = fresh_path(df.sparkSession, label)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").options(**options)
     (writer.partitionBy(*by) if by else writer).parquet(path)
     read = df.sparkSession.read.schema(df.schema).parquet(path)
     return read.select(*df.columns) if by else read
