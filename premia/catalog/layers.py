@@ -60,9 +60,8 @@ def all_policies(spark, sf_dir) -> DataFrame:
 
 
 def silver_policies(spark, sf_dir) -> DataFrame:
-    return _once(
-        spark, sf_dir, "silver", lambda: stored(cleaning.split_quarantine(all_policies(spark, sf_dir))[0], "silver")
-    )
+    """A filter over the stored joined rows, which therefore are not written a second time."""
+    return cleaning.split_quarantine(all_policies(spark, sf_dir))[0]
 
 
 def gold(spark, sf_dir, use_case: str) -> DataFrame:
@@ -115,4 +114,5 @@ def reference(spark, sf_dir) -> DataFrame:
 
 
 def quotes(spark, sf_dir) -> DataFrame:
-    return _once(spark, sf_dir, "quotes", lambda: stored(adapter.quotes(spark, sf_dir), "quotes"))
+    """Columns of the stored policies: the joins behind them run once for policies and quotes."""
+    return adapter.quotes(stored_policies(spark, sf_dir))

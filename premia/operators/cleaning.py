@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from premia.operators.quantiles import exact_quantiles
-from premia.operators.skew import salted_lookup
+from premia.operators.skew import hot_keys, in_place, left_broadcast, salt_of
 from premia.settings import Cleaning
 from premia.sources.schemas import COVARIATES, SNAKE_NAMES
 
@@ -35,13 +36,28 @@ def group_sizes(df: DataFrame, keys) -> DataFrame:
 def flag_duplicates(df: DataFrame, keys=COVARIATES, id_column: str = "IDpol") -> DataFrame:
     """Size of each row's covariate group and whether it is shared.
 
-    Counted by a pre-aggregating group-by and joined back with hot groups salted. A window over the covariates would
-    put a whole group into one task.
+    The rows are exchanged once, by their covariates, and counted where they meet. Hot groups would fill one task: their
+    sizes come from a pre-aggregating group-by, are broadcast, and their rows are salted.
     """
-    sized = salted_lookup(df, group_sizes(df, keys), list(keys), [id_column], rows="n_covariate_duplicates")
+    keys = list(keys)
+    df = in_place(df)
+    hot = hot_group_sizes(df, keys)
+    rows = left_broadcast(df, hot.withColumnRenamed("n_covariate_duplicates", "_size"), keys)
+    salt = F.when(F.col("_size").isNotNull(), salt_of(df.sparkSession, [id_column])).otherwise(F.lit(0))
+    together = W.partitionBy(*keys, "_salt")
+    counted = F.coalesce("_size", F.count(F.lit(1)).over(together))
+    sized = rows.withColumn("_salt", salt).withColumn("n_covariate_duplicates", counted).drop("_size", "_salt")
     return sized.withColumn("is_duplicate_group", F.col("n_covariate_duplicates") > 1)
 
 
+def hot_group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Sizes of the largest groups, bounded as in ``hot_keys``. Hot are hashes of the keys, of which counts are exchanged
+    instead of keys; groups of one hash are told apart by their keys, so that every row of a group is hot or none is."""
+    code = F.xxhash64(*keys).alias("_code")
+    codes = hot_keys(df.select(code), ["_code"])
+    return group_sizes(df.withColumn("_code", code).join(F.broadcast(codes), "_code", "left_semi"), keys)
+
+
 def aggregate_severity(claims: DataFrame) -> DataFrame:
     return claims.groupBy("IDpol").agg(*_severity_totals())
 

@@ -47,6 +47,19 @@ def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Co
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
+def left_broadcast(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the other columns of ``small`` (few rows, one per key); null keys match null keys."""
+    renamed = small.withColumnsRenamed({k: f"_b_{k}" for k in keys})
+    match = _same(rows, renamed, [(k, f"_b_{k}") for k in keys])
+    return rows.join(F.broadcast(renamed), match, "left").drop(*[f"_b_{k}" for k in keys])
+
+
+def salt_of(spark, spread_by: list[str], salts: int | None = None) -> Column:
+    """A sub-key from a hash of ``spread_by`` and of the row's place in the input (see ``in_place``)."""
+    n = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return F.pmod(F.xxhash64(*spread_by, F.monotonically_increasing_id()), F.lit(n)).cast("int")
+
+
 def salted_lookup(
     facts: DataFrame,
     lookup: DataFrame,
@@ -73,7 +86,7 @@ def salted_lookup(
     left = facts.join(F.broadcast(hot_f), _same(facts, hot_f, [(k, f"_h_{k}") for k in keys]), "left")
     left = left.withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by, F.monotonically_increasing_id()), F.lit(n))).otherwise(F.lit(0)).cast("int"),
+        F.when(F.col("_hot"), salt_of(spark, spread_by, n)).otherwise(F.lit(0)),
     ).drop("_hot", *[f"_h_{k}" for k in keys])
 
     renamed = lookup.withColumnsRenamed({k: f"_k_{k}" for k in keys})

@@ -61,17 +61,18 @@ def grouped_split(df: DataFrame, settings: Splitting, id_column: str = "policy_i
     The cutoffs are two hashes per stratum. Labelling compares each row's hash with them, so the rows themselves are
     never shuffled.
     """
-    hash_value, stratum = salted_md5(F.col(id_column), settings.seed), F.col("claim_nb") > 0
+    stratum = F.col("claim_nb") > 0
     # Ids alone are exchanged and stored; their hashes, several times as long, are made on reading.
     ids = stored(df.select(stratum.alias("_stratum"), F.col(id_column).alias("_id")).distinct(), "split-ids")
     ids = ids.withColumn("_hash", salted_md5(F.col("_id"), settings.seed))
+    hash_value = F.col("_hash")
     label = F.lit("train")
     for row in _cutoffs(ids, settings).collect():
         own = F.when(hash_value <= F.lit(row["_last_test"]), "test").when(
             hash_value <= F.lit(row["_last_val"]), "val"
         )
         label = F.when(stratum == F.lit(row["_stratum"]), own.otherwise("train")).otherwise(label)
-    return df.withColumn("split", label)
+    return df.withColumn("_hash", salted_md5(F.col(id_column), settings.seed)).withColumn("split", label).drop("_hash")
 
 
 def leaked_ids(df: DataFrame, label_column: str = "split", id_column: str = "policy_id") -> DataFrame:

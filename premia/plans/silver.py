@@ -23,10 +23,11 @@ from premia.workspace import fresh_path
 def joined_policies(policies: DataFrame, claims: DataFrame, settings: Settings) -> DataFrame:
     """Capped and flagged policies with their severity totals, raw column names, plus the uncapped values."""
     rules = settings.cleaning
-    kept = policies.withColumns({"_exposure": F.col("Exposure"), "_claims": F.col("ClaimNb")})
+    # Capped columns are no covariates, so the rows are flagged first and exchanged without them.
+    flagged = cleaning.flag_duplicates(policies)
+    kept = flagged.withColumns({"_exposure": F.col("Exposure"), "_claims": F.col("ClaimNb")})
     capped = cleaning.cap_claim_nb(cleaning.cap_exposure(kept, rules.exposure_cap), rules.claim_cap)
-    flagged = cleaning.flag_duplicates(capped)
-    return cleaning.join_frequency_severity(flagged, cleaning.severity_per_policy(claims, rules))
+    return cleaning.join_frequency_severity(capped, cleaning.severity_per_policy(claims, rules))
 
 
 def all_policies(policies: DataFrame, claims: DataFrame, settings: Settings) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premia.operators.skew import salted_lookup
-from premia.sources.schemas import SNAKE_NAMES
+from premia.sources.schemas import QUOTE_FIELDS, SNAKE_NAMES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,9 +77,9 @@ def faulty_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spoiled.unionByName(repeated)
 
 
-def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quotes(policies: DataFrame) -> DataFrame:
     """Quote requests: policy columns in snake case, with an impossible driver age on every fiftieth row."""
-    base = policies(spark, sf_dir).drop("ClaimNb").withColumnsRenamed(SNAKE_NAMES)
+    base = policies.withColumnsRenamed(SNAKE_NAMES).select(*QUOTE_FIELDS)
     return base.withColumn("policy_id", F.col("policy_id").cast("bigint")).withColumn(
         "driv_age", F.when(F.col("policy_id") % 50 == 0, F.lit(200)).otherwise(F.col("driv_age")).cast("bigint")
     )

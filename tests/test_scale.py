@@ -5,9 +5,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from premia import workspace
 from premia.catalog import all_queries, layers
 from premia.catalog.online import FREQUENCY
-from premia.operators import boost, design, ordered
+from premia.operators import boost, cleaning, design, ordered
 from premia.plans import training
 
 
@@ -93,3 +94,30 @@ def test_measures_are_not_stored(spark, monkeypatch):
     out = {r["id"]: r["c"] for r in ordered.prefix_sum(rows, "x", "id", {"c": F.col("w") * 2}).collect()}
     assert out == {4: 2.0, 1: 6.0, 2: 12.0, 3: 20.0}
     assert kept == [["x", "id", "w", "_all"]]
+
+
+def test_duplicates_are_counted_where_rows_meet(spark):
+    """Rows are exchanged once by their covariates; hot groups, nulls and zeros of both signs are counted exactly."""
+    rows = [("hot", 0.0 if i % 2 else -0.0, i) for i in range(500)]
+    rows += [(None, None, i) for i in range(40)] + [(f"c{i // 3}", float(i // 3), i) for i in range(600)] + [("once", float("nan"), 1)]
+    df = spark.createDataFrame(rows, "k string, x double, id long")
+    sizes = {"hot": 500, None: 40, "once": 1}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = cleaning.flag_duplicates(df, ["k", "x"], "id")
+        assert "SortMergeJoin" not in flagged._jdf.queryExecution().executedPlan().toString()
+        found = flagged.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(map(str, ((r["k"], r["x"], r["id"]) for r in found))) == sorted(map(str, rows))
+    for r in found:
+        assert r["n_covariate_duplicates"] == sizes.get(r["k"], 3) and r["is_duplicate_group"] == (r["k"] != "once")
+
+
+def test_silver_and_quotes_follow_from_stored_rows(spark, tables):
+    """Neither is written or joined a second time."""
+    root, _ = tables
+    assert layers.silver_policies(spark, root).count() > 0 and layers.quotes(spark, root).count() == 600
+    labels = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in workspace._written[spark.sparkContext.applicationId]}
+    assert "silver-joined" in labels and not labels & {"silver", "quotes"}
