@@ -80,44 +80,60 @@ def _united(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nd
     return row[firsts], start[firsts], reach[lasts] - shift[lasts]
 
 
-def _anchor_documents(docs: DataFrame, length: int) -> DataFrame:
-    """Anchor, smallest and largest document, number of documents and bytes of pieces."""
+def _document_anchors(docs: DataFrame, length: int) -> DataFrame:
+    """Each document's different anchors, with the bytes of its pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 anchor, row, start, stop = pieces(*byte_rows(part.column(2)), length)
-                doc = part.column(0).to_numpy()[row]
-                order = np.lexsort((doc, anchor))
-                anchor, doc, sizes = anchor[order], doc[order], (stop - start)[order]
-                new = np.append(True, anchor[1:] != anchor[:-1])[: len(anchor)]
-                at = np.flatnonzero(new)
-                if not len(at):
+                if not len(anchor):
                     continue
-                fresh = new | np.append(True, doc[1:] != doc[:-1])
-                n = np.add.reduceat(fresh.astype(np.int64), at)
-                highs = doc[np.append(at[1:], len(doc)) - 1]
-                arrays = [anchor[at].view(np.int64), doc[at], highs, n, np.add.reduceat(sizes, at)]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["anchor", "low", "high", "n", "size"])
+                order = np.lexsort((anchor, row))
+                anchor, row, sizes = anchor[order], row[order], (stop - start)[order]
+                at = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])))
+                take = pa.array(row[at])
+                columns = [pa.array(anchor[at].view(np.int64)), part.column(0).take(take), part.column(1).take(take), pa.array(np.add.reduceat(sizes, at))]
+                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "doc", "th", "size"])
 
-    found = docs.mapInArrow(run, "anchor long, low long, high long, n long, size long")
-    return found.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+    return docs.mapInArrow(run, "anchor long, doc long, th long, size long")
 
 
-def _document_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """Each document's different anchors."""
+def _shared_anchors(anchors: DataFrame, most_documents: int, most_bytes: int) -> DataFrame:
+    """The rows of anchors that several documents have, and whether their anchor is to be gathered by string.
+
+    Rows come sorted by anchor. An anchor's rows wait for its last one, or until there are too many of them for one group:
+    from then on they pass as those of a shared anchor, which at worst sends strings that no other document has.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, passing = np.zeros((4, 0), np.int64), None
+
+        def judged(rows: np.ndarray, last: bool) -> pa.RecordBatch:
+            nonlocal held, passing
+            anchor, doc, th, size = rows
+            at = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+            n = np.diff(np.append(at, len(anchor)))
+            many = (n > most_documents) | (np.add.reduceat(size, at) > most_bytes)
+            shared = np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at)
+            if passing == anchor[0]:
+                many[0] = shared[0] = True
+            held, passing = rows[:, :0], None
+            if not last and many[-1]:
+                shared[-1], passing = True, anchor[-1]
+            elif not last:
+                shared[-1], held = False, rows[:, at[-1] :].copy()
+            stays = np.repeat(shared, n)
+            columns = [anchor[stays], doc[stays], th[stays], np.repeat(many, n)[stays]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "doc", "th", "many"])
+
         for batch in batches:
-            for part in slices(batch, "text"):
-                anchor, row, _, _ = pieces(*byte_rows(part.column(2)), length)
-                order = np.lexsort((anchor, row))
-                anchor, row = anchor[order], row[order]
-                new = np.append(True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]))[: len(anchor)]
-                take = pa.array(row[new])
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), part.column(0).take(take), part.column(1).take(take)], names=["anchor", "doc", "th"])
+            if batch.num_rows:
+                yield judged(np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1), False)
+        if held.shape[1]:
+            yield judged(held, True)
 
-    return docs.mapInArrow(run, "anchor long, doc long, th long")
+    return anchors.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, doc long, th long, many boolean")
 
 
 _FOUND = "key long, doc long, th long, start long, stop long, piece binary"
@@ -361,11 +377,10 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     text = text_of(text_col)
     every = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("th"), F.encode(text, "UTF-8").alias("text"))
     usable = every.filter(F.col("doc").isNotNull() & (F.octet_length("text") >= length))
-    anchors = stored(_anchor_documents(usable, length).filter("low < high").select("anchor", ((F.col("n") > most_documents) | (F.col("size") > most_bytes)).alias("many")), "repeat-anchors")
-    of_docs = _document_anchors(usable, length).join(anchors, "anchor").groupBy("doc", "th")
+    of_docs = _shared_anchors(_document_anchors(usable, length), most_documents, most_bytes).groupBy("doc", "th")
     listed = stored(of_docs.agg(F.collect_list("anchor").alias("anchors"), F.collect_list(F.when(F.col("many"), F.col("anchor"))).alias("single")), "repeat-documents")
     sent = stored(_sent(usable.join(listed, ["doc", "th"]).select("doc", "th", "text", "anchors", "single"), length), "repeat-pieces")
-    discard(anchors, listed)
+    discard(listed)
     gathered = sent.filter(F.col("key").isNotNull()).repartition("key").sortWithinPartitions("key")
     found = sent.filter(F.col("key").isNull()).select("doc", "th", "start", "stop").unionByName(_gathered(gathered, length))
     cuts = stored(found.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")), "repeat-cuts")

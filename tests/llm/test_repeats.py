@@ -98,3 +98,36 @@ def test_anchors_of_many_bytes_in_few_documents(spark, seed, strings, known, mon
 
 def test_empty_table(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_shared_anchors(spark, batch):
+    """Anchors of several documents, however their rows fall into batches; from too many rows on they pass unjudged."""
+    rng = random.Random(batch)
+    rows = [(a, rng.randrange(3) if a % 3 else a, a, rng.randrange(20)) for a in range(-20, 20) for _ in range(rng.choice([1, 2, 5, 30]))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = repeats._shared_anchors(spark.createDataFrame(rows, "anchor long, doc long, th long, size long"), 10, 80).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = sorted(map(tuple, found))
+    groups = {a: [r for r in rows if r[0] == a] for a in range(-20, 20)}
+    many = {a: len(g) > 10 or sum(r[3] for r in g) > 80 for a, g in groups.items()}
+    shared = {a for a, g in groups.items() if len({r[1] for r in g}) > 1}
+    assert [r for r in got if r[0] in shared] == sorted((*r[:3], many[r[0]]) for r in rows if r[0] in shared)
+    assert {r[0] for r in got} - shared <= {a for a in many if many[a]}
+
+
+def test_anchors_are_dealt_once(spark, monkeypatch):
+    """Shared anchors come from one pass over the texts and one exchange by anchor, without a join of them."""
+    plans = {}
+    stored = repeats.stored
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, label)
+
+    monkeypatch.setattr(repeats, "stored", seen)
+    docs = spark.createDataFrame(rows_of(9), "doc_id long, text string, spans string, key int")
+    repeats.remove_repeats(docs).count()
+    assert "Join" not in plans["repeat-documents"] and plans["repeat-documents"].count("hashpartitioning(anchor") == 1
