@@ -23,6 +23,7 @@ from dataclasses import asdict, dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -250,16 +251,23 @@ def packed(rows: DataFrame, features: list[str]) -> DataFrame:
 
 
 def _block(bins: np.ndarray, *numbers: np.ndarray) -> pa.RecordBatch:
+    """Bins take one byte, raised by one because of -1, unless there are 256 of them and -1: then they take two."""
+    if bins.max(initial=0) < 255:
+        bins = (bins + 1).astype(np.uint8)
     cells = [pa.array([bins.tobytes(order="F")], pa.binary()), *[pa.array([x.astype(np.float64).tobytes()], pa.binary()) for x in numbers]]
     return pa.RecordBatch.from_arrays([pa.array([len(bins)], pa.int32()), *cells], ["n", "bins", "y", "w", "m"])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(bins, y, w, m) of each block."""
     for batch in batches:
         for no, n in enumerate(batch.column("n").to_pylist()):
             raw = [batch.column(c)[no].as_buffer() for c in ("bins", "y", "w", "m")]
-            yield np.frombuffer(raw[0], np.int16).reshape(n, -1, order="F"), *(np.frombuffer(x, np.float64) for x in raw[1:])
+            if raw[0].size > n * n_features:
+                bins = np.frombuffer(raw[0], np.int16)
+            else:
+                bins = np.subtract(np.frombuffer(raw[0], np.uint8), 1, dtype=np.int16)
+            yield bins.reshape(n, n_features, order="F"), *(np.frombuffer(x, np.float64) for x in raw[1:])
 
 
 def gradients(params: BoostParams, y: np.ndarray, w: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -282,7 +290,7 @@ def _counted(params: BoostParams, features: list[str], all_features: list[str],
         # By slot, feature and bin: what a batch adds is one feature of all slots.
         sums = np.zeros((3, len(slot_of), len(features), MAX_BINS))
         own, wanted = [all_features.index(f) for f in features], set(slot_of)
-        for bins, y, w, m in _blocks(batches):
+        for bins, y, w, m in _blocks(batches, len(all_features)):
             slot = np.full(len(bins), -1)
             for node, rows in tree.leaf_rows(bins, all_features, wanted):
                 slot[rows] = slot_of[node]
@@ -290,8 +298,9 @@ def _counted(params: BoostParams, features: list[str], all_features: list[str],
             if not len(here):
                 continue
             if len(here) < len(bins):
-                bins, slot = np.asfortranarray(bins[here]), slot[here]
-            y, w, m = y[here], w[here], m[here]
+                # One feature at a time, as they lie.
+                bins, slot = bins.T[:, here].T, slot[here]
+                y, w, m = y[here], w[here], m[here]
             for one in pending:
                 m = m + one.outputs(bins, all_features)
             g, h = gradients(params, y, w, m)
@@ -460,7 +469,7 @@ def with_margin(rows: DataFrame, trees: list[Tree], features: list[str]) -> Data
         return rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bins, y, w, m in _blocks(batches):
+        for bins, y, w, m in _blocks(batches, len(features)):
             for tree in trees:
                 m = m + tree.outputs(bins, features)
             yield _block(bins, y, w, m)
@@ -507,6 +516,9 @@ def fit_boosted(
     give the same model, and predictions are rates in both. ``table`` is a ``boost_table`` to use instead of ``train``.
     ``progress`` names a folder of this fit alone: finished trees go there, and a fit that finds trees goes on after
     them. A feature in ``increasing`` that the rows do not have is an error.
+
+    The rows of the passes are cached while the fit lasts: what does not fit into memory goes to disk, and what is lost with
+    an executor is read from the stored table again.
     """
     unknown = [f for f in params.increasing if f not in (*numeric, *categorical)]
     if unknown:
@@ -519,22 +531,28 @@ def fit_boosted(
         rows = stored(with_margin(rows, model.trees, names), "boost-rows")
     pending: list[Tree] = []
     rng = random.Random(params.seed)
-    for no in range(params.trees):
-        chosen = set(rng.sample(names, max(1, round(params.feature_share * len(names)))))
-        if no < len(model.trees):
-            continue
-        features = [f for f in names if f in chosen]
-
-        def count(tree, nodes, features=features):
-            return histograms(rows, params, features, names, pending, tree, nodes)
-
-        tree = grow_tree(count, binning, params, features)
-        if progress:
-            commits.publish(spark, _tree_file(progress, no), json.dumps(asdict(tree)))
-        model.trees.append(tree)
-        pending.append(tree)
-        if len(pending) >= params.store_every:
-            rows, pending = stored(with_margin(rows, pending, names), "boost-rows"), []
+    try:
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+        for no in range(params.trees):
+            chosen = set(rng.sample(names, max(1, round(params.feature_share * len(names)))))
+            if no < len(model.trees):
+                continue
+            features = [f for f in names if f in chosen]
+
+            def count(tree, nodes, features=features):
+                return histograms(rows, params, features, names, pending, tree, nodes)
+
+            tree = grow_tree(count, binning, params, features)
+            if progress:
+                commits.publish(spark, _tree_file(progress, no), json.dumps(asdict(tree)))
+            model.trees.append(tree)
+            pending.append(tree)
+            if len(pending) >= params.store_every:
+                old, rows, pending = rows, stored(with_margin(rows, pending, names), "boost-rows"), []
+                old.unpersist()
+                rows.persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        rows.unpersist()
     return model
 
 

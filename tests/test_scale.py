@@ -121,3 +121,23 @@ def test_silver_and_quotes_follow_from_stored_rows(spark, tables):
     assert layers.silver_policies(spark, root).count() > 0 and layers.quotes(spark, root).count() == 600
     labels = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in workspace._written[spark.sparkContext.applicationId]}
     assert "silver-joined" in labels and not labels & {"silver", "quotes"}
+
+
+def test_boosting_rows_are_narrow_and_cached(spark, monkeypatch):
+    """A bin takes one byte where it fits, passes read cached rows, and nothing stays cached."""
+    rows = [(float(i % 300), "ab"[i % 2], float(i % 3), 1.0) for i in range(3000)]
+    train = spark.createDataFrame(rows, "x double, k string, y double, w double")
+    for bins, width in ((255, 1), (8, 1)):
+        table, _, _ = boost.boost_table(train, bins, numeric=("x",), categorical=("k",))
+        assert all(len(r["bins"]) == 2 * width * r["n"] for r in table.collect())
+    wide = np.array([[-1, 0], [255, 3], [7, 254]], np.int16)
+    narrow = np.array([[-1, 0], [254, 3], [7, 254]], np.int16)
+    for bins in (wide, narrow):
+        ((back, *_),) = boost._blocks(iter([boost._block(np.asfortranarray(bins), *np.ones((3, 3)))]), 2)
+        assert (back == bins).all()
+    levels, counted = [], boost.histograms
+    monkeypatch.setattr(boost, "histograms", lambda rows, *a: levels.append(rows.storageLevel.useMemory) or counted(rows, *a))
+    params = boost.BoostParams(trees=5, leaves=4, bins=8, increasing=(), store_every=2)
+    model = boost.fit_boosted(None, params, numeric=("x",), categorical=("k",), table=(table, *boost.boost_table(train, 8, numeric=("x",), categorical=("k",))[1:]))
+    assert len(model.trees) == 5 and levels and all(levels)
+    assert not table.storageLevel.useMemory
