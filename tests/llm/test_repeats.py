@@ -131,3 +131,63 @@ def test_anchors_are_dealt_once(spark, monkeypatch):
     docs = spark.createDataFrame(rows_of(9), "doc_id long, text string, spans string, key int")
     repeats.remove_repeats(docs).count()
     assert "Join" not in plans["repeat-documents"] and plans["repeat-documents"].count("hashpartitioning(anchor") == 1
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_smallest_documents_of_pieces(spark, batch):
+    """Pieces that a smaller document has go at once; the others count as rows of their anchor."""
+    rng = random.Random(batch)
+    rows = [(a, rng.randrange(6), rng.randrange(1 if a % 3 else 4) << repeats.LOW_BITS + 4 | rng.randrange(2)) for a in range(-20, 20) for _ in range(rng.choice([1, 2, 5, 30]))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = [tuple(r) for r in repeats._shared_anchors(spark.createDataFrame(rows, "anchor long, doc long, th long"), 1000, 1 << 20).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    least = {}
+    for a, doc, th in rows:
+        least[a, th >> repeats.LOW_BITS] = min(doc, least.get((a, th >> repeats.LOW_BITS), doc))
+    first = [r for r in rows if r[1] == least[r[0], r[2] >> repeats.LOW_BITS]]
+    shared = {a for a in range(-20, 20) if len({r[1] for r in first if r[0] == a}) > 1}
+    assert sorted(r[:3] for r in found if r[3] is None) == sorted(r for r in rows if r not in first)
+    assert sorted(r for r in found if r[3] is not None) == sorted((*r, False) for r in first if r[0] in shared)
+
+
+def sent_by(spark, monkeypatch, rows, **limits):
+    """The rows of the pieces' table and of what their groups find, and the result."""
+    kept, stored = {"repeat-pieces": [], "repeat-found": []}, repeats.stored
+
+    def seen(df, label):
+        out = stored(df, label)
+        kept.setdefault(label, []).extend(out.collect())
+        return out
+
+    monkeypatch.setattr(repeats, "stored", seen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    out = repeats.remove_repeats(docs, **limits).collect()
+    got = sorted(((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in out), key=str)
+    assert got == brute(rows, 50)
+    return kept["repeat-pieces"], kept["repeat-found"]
+
+
+def test_copies_send_no_bytes(spark, monkeypatch):
+    """Of equal texts hashes alone meet: the bytes of none of them are exchanged."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(10)]
+    pieces, _ = sent_by(spark, monkeypatch, [(100 * k + i, t) for k in range(3) for i, t in enumerate(texts)])
+    assert not [r for r in pieces if r.key is not None] and len({r.doc for r in pieces}) == 20
+
+
+def test_only_pieces_that_differ_are_sent(spark, monkeypatch):
+    """Texts that share a passage send the pieces at its ends, not its inner ones."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = text(3000)
+    pieces, _ = sent_by(spark, monkeypatch, [(i, text(300) + passage + text(300)) for i in range(20)])
+    assert 0 < sum(len(r.piece) for r in pieces if r.key is not None) < 20 * 500
+
+
+def test_a_repeated_passage_is_found_once(spark, monkeypatch):
+    """What a group finds at meeting places of one text is one row of it."""
+    monkeypatch.setattr(repeats, "ROUNDS", 3)
+    pieces, found = sent_by(spark, monkeypatch, [(i, "Is onhe. " * (40 + i) + "xyz " * i) for i in range(1, 5)], most_bytes=100)
+    assert len(pieces) > 1000 and len(found) <= 4 * 30
