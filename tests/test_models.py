@@ -1,10 +1,12 @@
 from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from premia.catalog import modelling
 from premia.operators import attribution, boost, design, evaluate, explain, glm, irls, search, tune
 from premia.operators.features import scored
 from premia.plans import runs, training
@@ -394,3 +396,28 @@ def test_latest_version_is_a_number(spark):
     rows = [("m", str(v), f"r{v}", "{}") for v in (2, 9, 10)]
     models = spark.createDataFrame(rows, runs.MODELS)
     assert runs.latest_version(models, "m") == 10
+
+
+def test_the_search_query_runs_every_trial_of_the_settings(spark, monkeypatch):
+    """All trials, each with the trees, leaves and other parameters that it draws."""
+    seen = []
+    monkeypatch.setattr(modelling, "_boost_rows", lambda spark, sf, use_case, split="train": split)
+    monkeypatch.setattr(search, "search", lambda train, val, loss, settings, path, **fixed: seen.append((train, val, loss, settings, fixed)))
+    modelling.gbm_search(spark, "unused")
+    assert seen == [("train", "val", "poisson", Boosting(), {})]
+    drawn = [search.trial_params(t, "poisson", Boosting())[0].trees for t in range(Boosting().trials)]
+    assert len(drawn) == 50 and min(drawn) >= 50 and max(drawn) > 500
+
+
+def test_a_fit_keeps_one_table_of_margins(spark, boosted, tmp_path, monkeypatch):
+    """Hundreds of trees store dozens of tables; those before the last are deleted, and the shared one stays."""
+    rows, _ = boosted
+    made, stored = [], boost.stored
+    monkeypatch.setattr(boost, "stored", lambda df, label: made.append(stored(df, label)) or made[-1])
+    table = boost.boost_table(rows, 16)
+    params = boost.BoostParams(trees=5, leaves=3, bins=16, store_every=2)
+    model = boost.fit_boosted(None, params, table=table)
+    assert len(made) == 3 and len(model.trees) == 5
+    folders = [Path(df.inputFiles()[0].removeprefix("file://")).parent for df in made]
+    assert [f.exists() for f in folders] == [True, False, False]
+    assert boost.fit_boosted(None, params, table=table) == model
