@@ -421,3 +421,14 @@ def test_a_fit_keeps_one_table_of_margins(spark, boosted, tmp_path, monkeypatch)
     folders = [Path(df.inputFiles()[0].removeprefix("file://")).parent for df in made]
     assert [f.exists() for f in folders] == [True, False, False]
     assert boost.fit_boosted(None, params, table=table) == model
+
+
+def test_the_challenger_query_searches_as_configured(spark, monkeypatch):
+    """Neither fewer trials nor fewer trees than the settings name."""
+    seen = []
+    monkeypatch.setattr(modelling, "_gold_files", lambda spark, sf, use_case: f"gold/{use_case}")
+    monkeypatch.setattr(training, "train", lambda spark, *args, **named: seen.append((args, named)))
+    monkeypatch.setattr(runs, "read_runs", lambda *args: None)
+    monkeypatch.setattr(runs, "run_log_metrics", lambda rows: spark.createDataFrame([("r", "m", 1.0)], "run_id string, metric string, value double"))
+    assert modelling.train_report_challenger(spark, "unused").columns == ["metric", "value"]
+    assert seen == [(("gold/pure_premium", "gold/pure_premium/runs", "challenger", Settings()), {"use_case": "pure_premium"})]
